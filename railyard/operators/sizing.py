@@ -1,0 +1,38 @@
+"""Broadcast only what is measured to be small.
+
+Dimension tables are bounded by the number of business entities (routes,
+vehicles, stops), not by fact volume, but that is a property of the data, not
+a guarantee; so the hint is given only after counting at most
+``max_rows + 1`` rows. Anything larger is left to a shuffled sort-merge join,
+which AQE may still turn into a broadcast when the runtime size allows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default bound: a key map of ~2M rows (key + surrogate, tens of MB).
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
+    rows = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if rows <= max_rows else df
+
+
+def maybe_broadcast(df: DataFrame, flag: bool | None, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """Apply a caller's broadcast choice.
+
+    ``True``: the caller has proven the bound, hint directly. ``None``: check
+    the size first. ``False``: leave the strategy to Catalyst and AQE.
+    """
+    if flag is True:
+        return F.broadcast(df)
+    if flag is None:
+        return bounded_broadcast(df, max_rows)
+    return df
+
+
+__all__ = ["bounded_broadcast", "maybe_broadcast", "DEFAULT_MAX_ROWS"]
