@@ -182,3 +182,153 @@ FROM htrips h LEFT JOIN sh
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
+
+
+# --- typing, stamp, dedupe, quality ------------------------------------------
+
+LI_COLS_REST = [
+    "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus",
+]
+
+LI_DEDUP = """
+li_dedup AS (
+  SELECT * FROM lineitem
+  QUALIFY row_number() OVER (
+    PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_shipdate DESC NULLS LAST, """ + ", ".join(
+    f"{c} DESC NULLS LAST" for c in LI_COLS_REST
+) + """) = 1)"""
+
+
+def _dtrips(name: str, source: str) -> str:
+    return f"""
+{name} AS (
+  SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS trip_id,
+         l.l_orderkey, l.l_linenumber, o.o_custkey AS user_id, l.l_suppkey AS route_id,
+         l.l_partkey AS vehicle_id, o.o_orderdate AS start_ts, l.l_shipdate AS end_ts,
+         l.l_suppkey % 25 AS start_stop_id, l.l_partkey % 25 AS end_stop_id,
+         CAST(CAST(l.l_quantity AS DECIMAL(14,3)) * 1000 AS DECIMAL(14,3)) AS distance_m,
+         CAST(l.l_extendedprice AS DECIMAL(12,2)) AS fare, l.l_linestatus AS status
+  FROM {source} l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
+
+DTRIPS = _dtrips("dtrips", "li_dedup")
+DTRIPS_ALL = _dtrips("dtrips_all", "lineitem")
+
+TRIP_RULES = [
+    ("trip_id_null", "trip_id IS NULL"),
+    ("user_id_null", "user_id IS NULL"),
+    ("route_id_null", "route_id IS NULL"),
+    ("start_ts_null", "start_ts IS NULL"),
+    ("end_before_start", "end_ts < start_ts"),
+    ("negative_distance", "distance_m < 0"),
+    ("negative_fare", "fare < 0"),
+]
+POSITION_RULES = [
+    ("event_ts_null", "event_ts IS NULL"),
+    ("vehicle_id_null", "vehicle_id IS NULL"),
+    ("route_id_null", "route_id IS NULL"),
+    ("lat_out_of_range", "(lat < -90 OR lat > 90)"),
+    ("lon_out_of_range", "(lon < -180 OR lon > 180)"),
+    ("negative_speed", "speed < 0"),
+]
+PAYMENT_RULES = [
+    ("payment_id_null", "payment_id IS NULL"),
+    ("user_id_null", "user_id IS NULL"),
+    ("negative_amount", "amount < 0"),
+    ("trip_link_missing", "trip_id IS NULL"),
+]
+
+
+def _reasons(rules) -> str:
+    return "concat_ws(',', " + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in rules) + ")"
+
+
+TRIPS_TAGGED = f"""
+trips_tagged AS (SELECT *, {_reasons(TRIP_RULES)} AS reasons FROM dtrips)"""
+
+CLEAN_IDS = """
+clean_ids AS (SELECT trip_id FROM trips_tagged WHERE reasons = '')"""
+
+PAYMENTS = """
+first_line AS (
+  SELECT l_orderkey, min(l_linenumber) AS l_linenumber FROM lineitem GROUP BY l_orderkey),
+first_route AS (
+  SELECT l.l_orderkey, f.l_linenumber, min(l.l_suppkey) AS l_suppkey
+  FROM lineitem l JOIN first_line f
+    ON l.l_orderkey = f.l_orderkey AND l.l_linenumber = f.l_linenumber
+  GROUP BY l.l_orderkey, f.l_linenumber),
+payments AS (
+  SELECT o.o_orderkey AS payment_id, o.o_custkey AS user_id, fr.l_suppkey AS route_id,
+         CASE WHEN fr.l_linenumber IS NOT NULL
+              THEN CAST(o.o_orderkey AS VARCHAR) || '-' || CAST(fr.l_linenumber AS VARCHAR) END AS trip_id,
+         CAST(o.o_totalprice AS DECIMAL(12,2)) AS amount, CAST(NULL AS VARCHAR) AS currency,
+         o.o_orderstatus AS status, o.o_orderpriority AS payment_method, o.o_orderdate AS paid_at
+  FROM orders o LEFT JOIN first_route fr ON o.o_orderkey = fr.l_orderkey)"""
+
+CONFORMED_PAYMENTS = """
+SELECT CAST(o_orderkey AS VARCHAR) AS payment_id, CAST(o_custkey AS VARCHAR) AS user_id,
+       CAST(NULL AS VARCHAR) AS route_id, CAST(NULL AS VARCHAR) AS trip_id,
+       CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS amount,
+       CAST(NULL AS VARCHAR) AS currency, o_orderstatus AS status,
+       o_orderpriority AS payment_method, o_orderdate AS paid_at"""
+
+SQL["raw_conform"] = CONFORMED_PAYMENTS + " FROM orders"
+SQL["staging_stamp"] = (
+    CONFORMED_PAYMENTS + f", {LOAD_ID} AS load_id, {LOAD_TS} AS ingestion_ts FROM orders"
+)
+SQL["dedupe_trips"] = with_(LI_DEDUP) + " SELECT * FROM li_dedup"
+
+TRIP_VIEW = """
+SELECT trip_id, user_id, route_id, vehicle_id, start_ts, end_ts,
+       CAST(date_diff('second', start_ts, end_ts) AS INTEGER) AS duration_sec,
+       CAST(distance_m AS DOUBLE) AS distance_m, CAST(fare AS DOUBLE) AS fare"""
+
+SQL["clean_trips"] = with_(LI_DEDUP, DTRIPS, TRIPS_TAGGED) + TRIP_VIEW + (
+    " FROM trips_tagged WHERE reasons = ''"
+)
+SQL["reject_trips"] = with_(LI_DEDUP, DTRIPS, TRIPS_TAGGED) + (
+    " SELECT trip_id, reasons FROM trips_tagged WHERE reasons <> ''"
+)
+SQL["reject_positions"] = with_(POS) + f"""
+SELECT event_id, reasons FROM (SELECT event_id, {_reasons(POSITION_RULES)} AS reasons FROM pos)
+WHERE reasons <> ''"""
+SQL["dup_keys"] = with_(DTRIPS_ALL) + """
+SELECT trip_id, COUNT(*) AS copies FROM dtrips_all GROUP BY trip_id HAVING COUNT(*) > 1"""
+
+SQL["fk_orphans"] = with_(LI_DEDUP, DTRIPS, TRIPS_TAGGED, CLEAN_IDS, PAYMENTS, POS, ROUTES) + """
+SELECT 'payments.fk_trip' AS fk, CAST(payment_id AS VARCHAR) AS orphan_key FROM payments
+WHERE trip_id IS NOT NULL AND trip_id NOT IN (SELECT trip_id FROM clean_ids)
+UNION ALL
+SELECT 'positions.fk_vehicle', CAST(event_id AS VARCHAR) FROM pos
+WHERE vehicle_id IS NOT NULL AND vehicle_id NOT IN (SELECT p_partkey FROM part)
+UNION ALL
+SELECT 'positions.fk_route', CAST(event_id AS VARCHAR) FROM pos
+WHERE route_id IS NOT NULL AND route_id NOT IN (SELECT route_id FROM routes)"""
+
+
+def _rule_counts(table: str, source: str, rules) -> str:
+    parts = [
+        f"SELECT '{table}.{n}' AS \"check\", CAST(SUM(CASE WHEN {c} THEN 1 ELSE 0 END) AS BIGINT) AS violations FROM {source}"
+        for n, c in rules
+    ]
+    parts.append(
+        f"SELECT '{table}.table_empty', CAST(CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END AS BIGINT) FROM {source}"
+    )
+    return "\nUNION ALL\n".join(parts)
+
+
+SQL["dq_report"] = with_(LI_DEDUP, DTRIPS, DTRIPS_ALL, TRIPS_TAGGED, CLEAN_IDS, PAYMENTS, POS, ROUTES) + "\n" + "\nUNION ALL\n".join(
+    [
+        _rule_counts("trips", "dtrips_all", TRIP_RULES),
+        _rule_counts("positions", "pos", POSITION_RULES),
+        _rule_counts("payments", "payments", PAYMENT_RULES),
+        "SELECT 'trips.duplicate_key', COUNT(*) FROM (SELECT trip_id FROM dtrips_all GROUP BY trip_id HAVING COUNT(*) > 1)",
+        "SELECT 'payments.duplicate_key', COUNT(*) FROM (SELECT payment_id FROM payments GROUP BY payment_id HAVING COUNT(*) > 1)",
+        "SELECT 'trips.fk_vehicle', COUNT(*) FROM dtrips_all WHERE vehicle_id IS NOT NULL AND vehicle_id NOT IN (SELECT p_partkey FROM part)",
+        "SELECT 'trips.fk_route', COUNT(*) FROM dtrips_all WHERE route_id IS NOT NULL AND route_id NOT IN (SELECT s_suppkey FROM supplier)",
+        "SELECT 'trips.fk_user', COUNT(*) FROM dtrips_all WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT c_custkey FROM customer)",
+        "SELECT 'payments.fk_trip', COUNT(*) FROM payments WHERE trip_id IS NOT NULL AND trip_id NOT IN (SELECT trip_id FROM clean_ids)",
+    ]
+)
