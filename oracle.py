@@ -332,3 +332,239 @@ SQL["dq_report"] = with_(LI_DEDUP, DTRIPS, DTRIPS_ALL, TRIPS_TAGGED, CLEAN_IDS,
         "SELECT 'payments.fk_trip', COUNT(*) FROM payments WHERE trip_id IS NOT NULL AND trip_id NOT IN (SELECT trip_id FROM clean_ids)",
     ]
 )
+
+
+# --- calendars, keys, dimensions, lookups, facts --------------------------------
+
+USERS = """
+users AS (SELECT c_custkey AS user_id, CAST(c_nationkey AS VARCHAR) AS city, c_mktsegment AS lang
+          FROM customer)"""
+
+DIM_USER1 = f"""
+dim_user1 AS (
+  SELECT row_number() OVER (ORDER BY user_id) AS user_sk, user_id, city, lang,
+         {AS_OF_FIRST} AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to,
+         TRUE AS is_current
+  FROM users)"""
+
+USERS2 = """
+users2 AS (
+  SELECT user_id,
+         CASE WHEN user_id % 10 = 0 THEN CAST((CAST(city AS INTEGER) + 1) % 25 AS VARCHAR) ELSE city END AS city,
+         CASE WHEN user_id % 10 = 1 THEN NULL ELSE lang END AS lang
+  FROM users WHERE user_id % 10 <> 2
+  UNION ALL
+  SELECT user_id + 1000000, city, lang FROM users WHERE user_id % 20 = 0)"""
+
+DIM_USER2 = f"""
+u_cmp AS (
+  SELECT c.*, i.user_id AS i_user_id, i.city AS i_city, i.lang AS i_lang,
+         (i.user_id IS NOT NULL AND (c.city IS DISTINCT FROM i.city
+            OR c.lang IS DISTINCT FROM i.lang)) AS changed
+  FROM dim_user1 c LEFT JOIN users2 i ON c.user_id = i.user_id),
+u_new AS (
+  SELECT i_user_id AS user_id, i_city AS city, i_lang AS lang FROM u_cmp WHERE changed
+  UNION ALL
+  SELECT user_id, city, lang FROM users2 WHERE user_id NOT IN (SELECT user_id FROM dim_user1)),
+dim_user2 AS (
+  SELECT user_sk, user_id, city, lang, effective_from,
+         CASE WHEN changed THEN {AS_OF_SECOND} ELSE effective_to END AS effective_to,
+         CASE WHEN changed THEN FALSE ELSE is_current END AS is_current
+  FROM u_cmp
+  UNION ALL
+  SELECT (SELECT max(user_sk) FROM dim_user1) + row_number() OVER (ORDER BY user_id),
+         user_id, city, lang, {AS_OF_SECOND}, CAST(NULL AS TIMESTAMP), TRUE
+  FROM u_new)"""
+
+VEHICLES = """
+vehicles AS (SELECT p_partkey AS vehicle_id, p_type AS transport_type,
+                    CAST(p_size AS INTEGER) AS capacity, p_brand AS vendor FROM part)"""
+
+DIM_VEHICLE1 = """
+dim_vehicle1 AS (
+  SELECT row_number() OVER (ORDER BY vehicle_id) AS vehicle_sk, * FROM vehicles)"""
+
+VEHICLES2 = """
+vehicles2 AS (
+  SELECT vehicle_id, transport_type,
+         CAST(CASE WHEN vehicle_id % 10 = 0 THEN capacity + 10 ELSE capacity END AS INTEGER) AS capacity,
+         vendor
+  FROM vehicles
+  UNION ALL
+  SELECT vehicle_id + 1000000, transport_type, capacity, vendor FROM vehicles WHERE vehicle_id % 20 = 0)"""
+
+DIM_STOP = """
+stop_refs AS (
+  SELECT DISTINCT stop_id FROM (
+    SELECT start_stop_id AS stop_id FROM dtrips UNION ALL SELECT end_stop_id FROM dtrips)
+  WHERE stop_id IS NOT NULL),
+stop_inferred AS (SELECT row_number() OVER (ORDER BY stop_id) AS stop_sk, stop_id FROM stop_refs),
+stop_feed AS (SELECT CAST(n_nationkey AS BIGINT) AS stop_id, n_name AS name FROM nation),
+dim_stop AS (
+  SELECT i.stop_sk, i.stop_id, f.name, CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS DOUBLE) AS lon,
+         CAST(NULL AS VARCHAR) AS city
+  FROM stop_inferred i LEFT JOIN stop_feed f ON i.stop_id = f.stop_id
+  UNION ALL
+  SELECT (SELECT coalesce(max(stop_sk), 0) FROM stop_inferred) + row_number() OVER (ORDER BY f.stop_id),
+         f.stop_id, f.name, NULL, NULL, NULL
+  FROM stop_feed f WHERE f.stop_id NOT IN (SELECT stop_id FROM stop_inferred))"""
+
+METHODS = """
+methods AS (
+  SELECT row_number() OVER (ORDER BY code) AS payment_method_sk, code FROM (
+    SELECT code FROM (VALUES ('card'), ('wallet'), ('promo')) AS s(code)
+    UNION SELECT o_orderpriority FROM orders))"""
+
+FACT_TRIP = f"""
+fact_trip AS (
+  SELECT row_number() OVER (ORDER BY d.trip_id) AS trip_sk, d.trip_id, u.user_sk, r.route_sk,
+         v.vehicle_sk, s1.stop_sk AS start_stop_sk, s2.stop_sk AS end_stop_sk, d.start_ts, d.end_ts,
+         CAST(date_diff('second', d.start_ts, d.end_ts) AS INTEGER) AS duration_sec,
+         CAST(d.distance_m AS DOUBLE) AS distance_m, CAST(d.fare AS DOUBLE) AS fare_amount,
+         CAST(NULL AS INTEGER) AS delay_start_sec, CAST(NULL AS INTEGER) AS delay_end_sec,
+         d.status, {LOAD_ID} AS load_id, {LOAD_TS} AS inserted_at
+  FROM dtrips d
+  LEFT JOIN dim_user1 u ON d.user_id = u.user_id
+  LEFT JOIN dim_route1 r ON d.route_id = r.route_id
+  LEFT JOIN dim_vehicle1 v ON d.vehicle_id = v.vehicle_id
+  LEFT JOIN dim_stop s1 ON d.start_stop_id = s1.stop_id
+  LEFT JOIN dim_stop s2 ON d.end_stop_id = s2.stop_id)"""
+
+ROUTE_AS_OF = """
+route_versions AS (
+  SELECT route_id, route_sk,
+         CASE WHEN valid_from = min(valid_from) OVER (PARTITION BY route_id) THEN NULL ELSE valid_from END AS vf,
+         valid_to AS vt
+  FROM dim_route2)"""
+
+ROUTE_COLS = """route_sk, route_id, name, transport_type, CAST(base_fare AS DOUBLE) AS base_fare,
+       active_flag, valid_from, valid_to, is_current"""
+
+SQL["dim_date"] = """
+WITH bounds AS (
+  SELECT min(d) AS lo, max(d) AS hi FROM (
+    SELECT CAST(o_orderdate AS DATE) AS d FROM orders
+    UNION ALL SELECT CAST(l_shipdate AS DATE) FROM lineitem
+    UNION ALL SELECT CAST(ts AS DATE) FROM events)),
+days AS (SELECT CAST(g.generate_series AS DATE) AS d
+         FROM bounds, generate_series(bounds.lo, bounds.hi, INTERVAL 1 DAY) AS g)
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk, d AS full_date,
+       CAST(day(d) AS SMALLINT) AS day, CAST(weekofyear(d) AS SMALLINT) AS week,
+       CAST(month(d) AS SMALLINT) AS month, CAST(quarter(d) AS SMALLINT) AS quarter,
+       CAST(year(d) AS INTEGER) AS year, isodow(d) >= 6 AS is_weekend
+FROM days"""
+
+SQL["dim_time"] = with_(POS) + """,
+keys AS (SELECT DISTINCT CAST(hour(event_ts) * 3600 + minute(event_ts) * 60 + second(event_ts) AS INTEGER) AS k FROM pos)
+SELECT k AS time_sk, lpad(CAST(k // 3600 AS VARCHAR), 2, '0') || ':' || lpad(CAST((k % 3600) // 60 AS VARCHAR), 2, '0') AS hh24mi,
+       CAST(k // 3600 AS SMALLINT) AS hour, CAST((k % 3600) // 60 AS SMALLINT) AS minute,
+       CAST(k % 60 AS SMALLINT) AS second
+FROM keys"""
+
+SQL["surrogate_keys"] = with_(USERS) + """
+SELECT row_number() OVER (ORDER BY user_id) AS user_sk, user_id, city, lang FROM users"""
+
+SQL["scd1_upsert"] = with_(VEHICLES, DIM_VEHICLE1, VEHICLES2) + """
+SELECT c.vehicle_sk, i.vehicle_id, i.transport_type, i.capacity, i.vendor
+FROM vehicles2 i JOIN dim_vehicle1 c ON i.vehicle_id = c.vehicle_id
+UNION ALL
+SELECT vehicle_sk, vehicle_id, transport_type, capacity, vendor FROM dim_vehicle1
+WHERE vehicle_id NOT IN (SELECT vehicle_id FROM vehicles2)
+UNION ALL
+SELECT (SELECT max(vehicle_sk) FROM dim_vehicle1) + row_number() OVER (ORDER BY vehicle_id),
+       vehicle_id, transport_type, capacity, vendor
+FROM vehicles2 WHERE vehicle_id NOT IN (SELECT vehicle_id FROM dim_vehicle1)"""
+
+SQL["insert_if_absent"] = """
+WITH existing AS (
+  SELECT row_number() OVER (ORDER BY o_orderkey) AS payment_sk, o_orderkey AS payment_id,
+         'batch_1' AS load_id
+  FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01 00:00:00')
+SELECT * FROM existing
+UNION ALL
+SELECT (SELECT coalesce(max(payment_sk), 0) FROM existing) + row_number() OVER (ORDER BY o_orderkey),
+       o_orderkey, 'batch_2'
+FROM orders WHERE o_orderkey NOT IN (SELECT payment_id FROM existing)"""
+
+SQL["inferred_stops"] = with_(LI_DEDUP, DTRIPS, DIM_STOP) + " SELECT * FROM dim_stop"
+
+SQL["scd2_initial"] = with_(ROUTES, DIM_ROUTE1) + f" SELECT {ROUTE_COLS} FROM dim_route1"
+
+SQL["scd2_merge"] = with_(ROUTES, DIM_ROUTE1, ROUTES2, DIM_ROUTE2) + f" SELECT {ROUTE_COLS} FROM dim_route2"
+
+SQL["scd2_changes"] = with_(ROUTES, DIM_ROUTE1, ROUTES2, DIM_ROUTE2) + f"""
+SELECT {ROUTE_COLS}, change FROM dim_route2 WHERE change IN ('closed', 'new')"""
+
+SQL["scd2_validity"] = with_(ROUTES, DIM_ROUTE1, ROUTES2, DIM_ROUTE2) + """,
+v AS (
+  SELECT valid_from AS vf, valid_to AS vt, is_current AS cur,
+         lead(valid_from) OVER (PARTITION BY route_id ORDER BY valid_from ASC NULLS FIRST) AS nxt,
+         sum(CAST(is_current AS INTEGER)) OVER (PARTITION BY route_id) AS ncur
+  FROM dim_route2)
+SELECT 'gap_or_overlap' AS rule,
+       CAST(SUM(CASE WHEN nxt IS NOT NULL AND vt IS DISTINCT FROM nxt THEN 1 ELSE 0 END) AS BIGINT) AS violations FROM v
+UNION ALL SELECT 'open_not_last', CAST(SUM(CASE WHEN nxt IS NOT NULL AND (vt IS NULL OR cur) THEN 1 ELSE 0 END) AS BIGINT) FROM v
+UNION ALL SELECT 'last_not_current', CAST(SUM(CASE WHEN nxt IS NULL AND (vt IS NOT NULL OR NOT cur) THEN 1 ELSE 0 END) AS BIGINT) FROM v
+UNION ALL SELECT 'empty_interval', CAST(SUM(CASE WHEN vt IS NOT NULL AND vt <= vf THEN 1 ELSE 0 END) AS BIGINT) FROM v
+UNION ALL SELECT 'multiple_current', CAST(SUM(CASE WHEN cur AND ncur > 1 THEN 1 ELSE 0 END) AS BIGINT) FROM v"""
+
+SQL["scd2_user"] = with_(USERS, DIM_USER1, USERS2, DIM_USER2) + " SELECT * FROM dim_user2"
+
+EVENT_ROUTES = """
+ev AS (SELECT event_id, user_id % 100 AS route_id, ts AS event_ts FROM events)"""
+
+SQL["lookup_current"] = with_(ROUTES, DIM_ROUTE1, ROUTES2, DIM_ROUTE2, EVENT_ROUTES) + """
+SELECT e.event_id, e.route_id, d.route_sk
+FROM ev e LEFT JOIN (SELECT route_id, route_sk FROM dim_route2 WHERE is_current) d
+  ON e.route_id = d.route_id"""
+
+SQL["lookup_as_of"] = with_(ROUTES, DIM_ROUTE1, ROUTES2, DIM_ROUTE2, ROUTE_AS_OF, EVENT_ROUTES) + """
+SELECT e.event_id, e.route_id, v.route_sk
+FROM ev e LEFT JOIN route_versions v
+  ON e.route_id = v.route_id AND (v.vf IS NULL OR e.event_ts >= v.vf)
+ AND (v.vt IS NULL OR e.event_ts < v.vt)"""
+
+SQL["payment_method_lookup"] = with_(METHODS) + """
+SELECT o.o_orderkey AS payment_id, o.o_orderpriority AS payment_method, m.payment_method_sk
+FROM orders o LEFT JOIN methods m ON o.o_orderpriority = m.code"""
+
+SQL["payment_trip_link"] = with_(LI_DEDUP, DTRIPS, PAYMENTS) + """
+SELECT p.payment_id, p.trip_id, t.trip_sk
+FROM payments p LEFT JOIN (
+  SELECT trip_id, row_number() OVER (ORDER BY trip_id) AS trip_sk FROM dtrips) t
+  ON p.trip_id = t.trip_id"""
+
+SQL["stop_lookup"] = with_(LI_DEDUP, DTRIPS, DIM_STOP) + """
+SELECT d.trip_id, d.start_stop_id, d.end_stop_id, s1.stop_sk AS start_stop_sk, s2.stop_sk AS end_stop_sk
+FROM dtrips d LEFT JOIN dim_stop s1 ON d.start_stop_id = s1.stop_id
+LEFT JOIN dim_stop s2 ON d.end_stop_id = s2.stop_id"""
+
+SQL["fact_trip"] = with_(
+    LI_DEDUP, DTRIPS, USERS, DIM_USER1, ROUTES, DIM_ROUTE1, VEHICLES, DIM_VEHICLE1, DIM_STOP, FACT_TRIP
+) + " SELECT * FROM fact_trip"
+
+SQL["fact_payment"] = with_(
+    LI_DEDUP, DTRIPS, USERS, DIM_USER1, ROUTES, DIM_ROUTE1, VEHICLES, DIM_VEHICLE1, DIM_STOP,
+    FACT_TRIP, PAYMENTS, METHODS,
+) + f"""
+SELECT row_number() OVER (ORDER BY p.payment_id) AS payment_sk, p.payment_id, u.user_sk, r.route_sk,
+       t.trip_sk, m.payment_method_sk, CAST(p.amount AS DOUBLE) AS amount, p.currency, p.status,
+       p.paid_at, {LOAD_ID} AS load_id, {LOAD_TS} AS inserted_at
+FROM payments p
+LEFT JOIN dim_user1 u ON p.user_id = u.user_id
+LEFT JOIN dim_route1 r ON p.route_id = r.route_id
+LEFT JOIN methods m ON p.payment_method = m.code
+LEFT JOIN fact_trip t ON p.trip_id = t.trip_id"""
+
+SQL["fact_vehicle_position"] = with_(
+    ROUTES, DIM_ROUTE1, ROUTES2, DIM_ROUTE2, ROUTE_AS_OF, VEHICLES, DIM_VEHICLE1, POS
+) + f"""
+SELECT p.event_ts, CAST(strftime(p.event_ts, '%Y%m%d') AS INTEGER) AS event_date_sk,
+       CAST(hour(p.event_ts) * 3600 + minute(p.event_ts) * 60 + second(p.event_ts) AS INTEGER) AS event_time_sk,
+       v.vehicle_sk, rv.route_sk, CAST(p.lat AS DOUBLE) AS lat, CAST(p.lon AS DOUBLE) AS lon,
+       CAST(p.speed AS DOUBLE) AS speed, CAST(p.heading AS DOUBLE) AS heading, p.provider_ts,
+       {LOAD_ID} AS load_id, {LOAD_TS} AS inserted_at
+FROM pos p
+LEFT JOIN route_versions rv ON p.route_id = rv.route_id AND (rv.vf IS NULL OR p.event_ts >= rv.vf)
+ AND (rv.vt IS NULL OR p.event_ts < rv.vt)
+LEFT JOIN dim_vehicle1 v ON p.vehicle_id = v.vehicle_id"""

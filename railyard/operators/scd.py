@@ -158,10 +158,12 @@ def scd1_upsert(
     """
     keys = _as_list(key)
     cols = current.columns
-    with_sk = incoming.join(current.select(*keys, sk), keys, "left")
+    # Attributes the batch does not carry keep their current value.
+    kept_cols = [c for c in cols if c not in incoming.columns and c != sk and c not in keys]
+    with_sk = incoming.join(current.select(*keys, sk, *kept_cols), keys, "left")
     updated = with_sk.filter(F.col(sk).isNotNull())
     fresh = assign_surrogates(
-        with_sk.filter(F.col(sk).isNull()).drop(sk), keys, sk, base=max_key(current, sk)
+        with_sk.filter(F.col(sk).isNull()).drop(sk, *kept_cols), keys, sk, base=max_key(current, sk)
     )
     untouched = current.join(incoming.select(*keys), keys, "left_anti")
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from railyard.operators.conform import dedupe_latest
 from railyard.operators.keys import assign_surrogates, max_key
 from railyard.operators.lookup import absent_rows
 from railyard.operators.scd import empty_versions, infer_members, scd1_upsert, scd2_merge
@@ -29,7 +30,9 @@ PAYMENT_METHODS = [
 ]
 
 
-def route_dimension(current: DataFrame | None, incoming: DataFrame, as_of) -> DataFrame:
+def route_dimension(
+    current: DataFrame | None, incoming: DataFrame, as_of, with_change: bool = False
+) -> DataFrame:
     """SCD2 route dimension after ``incoming`` at ``as_of``."""
     compare = [c for c in ROUTE_COMPARE if c in incoming.columns]
     if current is None:
@@ -42,6 +45,7 @@ def route_dimension(current: DataFrame | None, incoming: DataFrame, as_of) -> Da
         as_of,
         sk="route_sk",
         new_defaults={"active_flag": F.lit(True)},
+        with_change=with_change,
     )
 
 
@@ -100,15 +104,16 @@ def payment_method_dimension(
 ) -> DataFrame:
     """Add methods whose code is absent; existing rows untouched.
 
-    ``incoming`` has ``code`` (and optionally ``name``, ``provider``), one
-    row per code or not: codes are deduplicated first.
+    ``incoming`` has ``code`` (and optionally ``name``, ``provider``); codes
+    are deduplicated first (the greatest name, then provider, wins).
     """
     spark = incoming.sparkSession
     cols = ["payment_method_sk", "code", "name", "provider"]
     inc = incoming.select(
         "code",
         *[(F.col(c) if c in incoming.columns else F.lit(None)).cast("string").alias(c) for c in ("name", "provider")],
-    ).dropDuplicates(["code"])
+    )
+    inc = dedupe_latest(inc, "code", ["name", "provider"])
     if current is None:
         schema = T.StructType(
             [T.StructField("payment_method_sk", T.LongType())]

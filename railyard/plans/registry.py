@@ -51,7 +51,7 @@ def register(name: str) -> Callable[[Query], Query]:
 
 def queries() -> dict[str, Query]:
     # Importing the query modules fills QUERIES.
-    from railyard.plans import queries_core, queries_quality  # noqa: F401
+    from railyard.plans import queries_core, queries_quality, queries_warehouse  # noqa: F401
 
     return dict(QUERIES)
 
