@@ -1,28 +1,38 @@
 """Surrogate key assignment (K1).
 
 The warehouse DDL uses sequence-backed keys. On Spark the equivalent is a
-dense, ordered numbering computed in two passes without ever moving all rows
-into one task (a global ``row_number()`` window would):
+dense, ordered numbering. The rows to number are first checkpointed into the
+shared checkpoint folder: that computes the upstream plan once, cuts its
+lineage, and makes every later pass read the very same rows, so a lost
+executor cannot make a recomputation number rows differently. Then:
 
-1. range-partition the new members by the order columns and sort inside each
-   partition; tag each row with its partition id and a position id;
-2. count rows per partition (one small row per partition), turn the counts
-   into running offsets, broadcast them (their size is the partition count,
-   not the data size) and add ``offset + position`` to every row.
-
-The tagged frame is checkpointed between the passes, into the shared
-checkpoint folder, so a lost executor cannot make a recomputation number the
-rows differently.
+* up to ``single_task_rows`` rows (the count of the checkpoint is cheap):
+  one ``row_number()`` over the order columns -- exact and deterministic on
+  the fixed, checkpointed input;
+* above that, two passes without ever moving all rows into one task (a
+  global window would): range-partition by the order columns and sort within
+  partitions, tag each row with its partition and its position there (the
+  low 33 bits of ``monotonically_increasing_id``), count rows per partition
+  -- one number per partition, so the collected list is bounded by the
+  partition count, never by the data -- and add the running offset, shipped
+  to the tasks as a literal array. The tagged frame is persisted between the
+  passes; because its input is a checkpoint, a lost cached block recomputes
+  to identical tags.
 """
 
 from __future__ import annotations
 
+from itertools import accumulate
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from railyard.session import checkpoint_dir, default_parallelism
 
-_PID, _POS, _N, _FIRST, _OFF = "_ry_pid", "_ry_pos", "_ry_n", "_ry_first", "_ry_off"
+_PID, _POS = "_ry_pid", "_ry_pos"
+_POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row number
+SINGLE_TASK_ROWS = 1_000_000
 
 
 def max_key(dim: DataFrame, sk: str) -> Column:
@@ -36,6 +46,7 @@ def assign_surrogates(
     sk: str,
     base: Column | int = 0,
     num_partitions: int | None = None,
+    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Add ``sk`` = base+1 .. base+n, dense, in ``order_by`` order.
 
@@ -45,31 +56,28 @@ def assign_surrogates(
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
+    base_col = base if isinstance(base, Column) else F.lit(int(base))
+    staged = df.checkpoint(eager=True)
+    rows = staged.count()
+    if rows <= single_task_rows:
+        ordered = Window.orderBy(*order_by)
+        return staged.withColumn(sk, (base_col + F.row_number().over(ordered)).cast("long"))
+
     n = num_partitions or default_parallelism(spark)
     tagged = (
-        df.repartitionByRange(n, *order_by)
+        staged.repartitionByRange(n, *order_by)
         .sortWithinPartitions(*order_by)
         .withColumn(_PID, F.spark_partition_id())
-        .withColumn(_POS, F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
-    counts = tagged.groupBy(_PID).agg(
-        F.count(F.lit(1)).alias(_N), F.min(_POS).alias(_FIRST)
-    )
-    # One row per partition: the running total needs no partitioning key.
-    running = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        _PID, _FIRST, F.coalesce(F.sum(_N).over(running), F.lit(0)).alias(_OFF)
-    )
-    base_col = base if isinstance(base, Column) else F.lit(int(base))
-    return (
-        tagged.join(F.broadcast(offsets), _PID)
-        .withColumn(
-            sk,
-            (base_col + F.col(_OFF) + (F.col(_POS) - F.col(_FIRST)) + F.lit(1)).cast("long"),
-        )
-        .drop(_PID, _POS, _FIRST, _OFF)
+        .withColumn(_POS, F.monotonically_increasing_id().bitwiseAND((1 << _POS_BITS) - 1))
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    counts = dict(tagged.groupBy(_PID).count().collect())
+    sizes = [int(counts.get(p, 0)) for p in range(max(counts, default=0) + 1)]
+    offsets = [0] + list(accumulate(sizes))[:-1]
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PID) + 1)
+    return tagged.withColumn(
+        sk, (base_col + offset + F.col(_POS) + F.lit(1)).cast("long")
+    ).drop(_PID, _POS)
 
 
-__all__ = ["assign_surrogates", "max_key"]
+__all__ = ["assign_surrogates", "max_key", "SINGLE_TASK_ROWS"]

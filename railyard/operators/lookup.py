@@ -73,7 +73,7 @@ def lookup(
             F.col(sk).alias(out_sk),
             *[F.col(a) for a in attrs],
         )
-        d = maybe_broadcast(d, broadcast)
+        d = maybe_broadcast(d, broadcast, measure=dim)
         cond = _and([facts[fk] == d[dk] for fk, dk in zip(fkeys, d_keys)])
         return facts.join(d, cond, "left").drop(*d_keys)
 
@@ -92,7 +92,7 @@ def lookup(
     if first_open:
         first = F.min(vf).over(Window.partitionBy(*d_keys))
         d = d.withColumn(vf, F.when(F.col(vf) == first, F.lit(None)).otherwise(F.col(vf)))
-    d = maybe_broadcast(d, broadcast)
+    d = maybe_broadcast(d, broadcast, measure=dim)
     t = facts[ts]
     cond = _and(
         [facts[fk] == d[dk] for fk, dk in zip(fkeys, d_keys)]

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from railyard.functions.exprs import changed_any, ts_literal
 from railyard.operators.keys import assign_surrogates, max_key
+from railyard.schemas import empty
 
 CHANGE = "_change"
 
@@ -48,7 +49,7 @@ def empty_versions(
         T.StructField(valid_to, T.TimestampType()),
         T.StructField(is_current, T.BooleanType()),
     ]
-    return incoming.sparkSession.createDataFrame([], T.StructType(fields))
+    return empty(incoming.sparkSession, T.StructType(fields))
 
 
 def scd2_merge(

@@ -9,30 +9,52 @@ which AQE may still turn into a broadcast when the runtime size allows.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Default bound: a key map of ~2M rows (key + surrogate, tens of MB).
 DEFAULT_MAX_ROWS = 2_000_000
 
+_measured: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Counts at most ``max_rows + 1`` rows, once per DataFrame object: a
+    dimension reused by several lookups is measured a single time.
+    """
+    seen = _measured.setdefault(df, {})
+    if max_rows not in seen:
+        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return seen[max_rows]
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
-    rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
-def maybe_broadcast(df: DataFrame, flag: bool | None, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """Apply a caller's broadcast choice.
+def maybe_broadcast(
+    df: DataFrame,
+    flag: bool | None,
+    max_rows: int = DEFAULT_MAX_ROWS,
+    measure: DataFrame | None = None,
+) -> DataFrame:
+    """Apply a caller's broadcast choice to ``df``.
 
     ``True``: the caller has proven the bound, hint directly. ``None``: check
-    the size first. ``False``: leave the strategy to Catalyst and AQE.
+    the size first -- of ``measure`` when given (the table ``df`` projects,
+    so one measurement serves every projection of it). ``False``: leave the
+    strategy to Catalyst's size estimate and AQE's runtime statistics.
     """
     if flag is True:
         return F.broadcast(df)
     if flag is None:
-        return bounded_broadcast(df, max_rows)
+        return F.broadcast(df) if is_small(measure if measure is not None else df, max_rows) else df
     return df
 
 
-__all__ = ["bounded_broadcast", "maybe_broadcast", "DEFAULT_MAX_ROWS"]
+__all__ = ["is_small", "bounded_broadcast", "maybe_broadcast", "DEFAULT_MAX_ROWS"]

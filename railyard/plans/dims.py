@@ -17,6 +17,7 @@ from railyard.operators.conform import dedupe_latest
 from railyard.operators.keys import assign_surrogates, max_key
 from railyard.operators.lookup import absent_rows
 from railyard.operators.scd import empty_versions, infer_members, scd1_upsert, scd2_merge
+from railyard.schemas import empty
 
 ROUTE_COMPARE = ["name", "transport_type", "base_fare", "schema_json"]
 USER_COMPARE = ["city", "lang", "birthdate", "gender", "created_at", "is_active"]
@@ -84,7 +85,7 @@ def stop_dimension(
             T.StructField("lon", T.DecimalType(10, 7)),
             T.StructField("city", T.StringType()),
         ]
-        current = referenced.sparkSession.createDataFrame([], T.StructType(fields))
+        current = empty(referenced.sparkSession, T.StructType(fields))
     dim = infer_members(current, referenced, "stop_id", sk="stop_sk")
     if feed is not None:
         dim = scd1_upsert(dim, feed, "stop_id", sk="stop_sk")
@@ -119,7 +120,7 @@ def payment_method_dimension(
             [T.StructField("payment_method_sk", T.LongType())]
             + [T.StructField(c, T.StringType()) for c in cols[1:]]
         )
-        current = spark.createDataFrame([], schema)
+        current = empty(spark, schema)
     new = assign_surrogates(
         absent_rows(inc, current, "code"), ["code"], "payment_method_sk",
         base=max_key(current, "payment_method_sk"),

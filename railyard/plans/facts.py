@@ -37,7 +37,7 @@ def _sk(
     mode: str = "current",
     ts: str | None = None,
     validity: dict | None = None,
-    broadcast: bool | None = False,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     out = sk_as or sk
     if dim is None:
@@ -71,7 +71,7 @@ def build_fact_trip(
     load_id: str,
     inserted_at=None,
     mode: str = "current",
-    broadcast: bool | None = False,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Trips -> fact_trip rows (without ``trip_sk``).
 
@@ -115,7 +115,7 @@ def build_fact_payment(
     load_id: str,
     inserted_at=None,
     mode: str = "current",
-    broadcast: bool | None = False,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Payments -> fact_payment rows (without ``payment_sk``).
 
@@ -151,7 +151,7 @@ def build_fact_position(
     load_id: str,
     inserted_at=None,
     mode: str = "current",
-    broadcast: bool | None = False,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Positions -> fact_vehicle_position rows with date/time keys."""
     f = _sk(positions, dim_route, "route_id", "route_sk", mode=mode, ts="event_ts",

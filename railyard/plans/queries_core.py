@@ -11,22 +11,25 @@ from railyard.plans import fixtures as fx
 from railyard.plans.dims import route_dimension
 from railyard.plans.facts import build_fact_position, build_fact_trip
 from railyard.plans.mart import build_mart
-from railyard.plans.registry import register
+from railyard.plans.registry import per_query, register
 
 
 # --- shared building blocks -------------------------------------------------
 
+@per_query
 def first_route_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """dim_route after the first load (one version per supplier)."""
     return route_dimension(None, fx.raw_routes(spark, sf_dir), fx.AS_OF_FIRST)
 
 
+@per_query
 def two_version_route_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """dim_route after the first load and the derived second batch."""
     first = first_route_dim(spark, sf_dir)
     return route_dimension(first, fx.raw_routes_second_batch(spark, sf_dir), fx.AS_OF_SECOND)
 
 
+@per_query
 def hourly_trip_fact(spark: SparkSession, sf_dir: str, dim_route: DataFrame) -> DataFrame:
     return build_fact_trip(
         fx.raw_hourly_trips(spark, sf_dir),
@@ -36,6 +39,7 @@ def hourly_trip_fact(spark: SparkSession, sf_dir: str, dim_route: DataFrame) ->
     )
 
 
+@per_query
 def position_fact(spark: SparkSession, sf_dir: str, dim_route: DataFrame) -> DataFrame:
     return build_fact_position(
         fx.raw_positions(spark, sf_dir),
@@ -45,6 +49,7 @@ def position_fact(spark: SparkSession, sf_dir: str, dim_route: DataFrame) -> Dat
     )
 
 
+@per_query
 def mart_for(spark: SparkSession, sf_dir: str, lo, hi, snapshot) -> DataFrame:
     dim_route = first_route_dim(spark, sf_dir)
     return build_mart(

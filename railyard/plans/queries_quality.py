@@ -11,12 +11,13 @@ from railyard.operators import quality as dq
 from railyard.operators.conform import conform, dedupe_latest, stamp
 from railyard.operators.lookup import orphans
 from railyard.plans import fixtures as fx
-from railyard.plans.registry import register
+from railyard.plans.registry import per_query, register
 from railyard.schemas import PAYMENTS_RAW
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 
 
+@per_query
 def raw_payment_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as an untyped raw payment batch: keys as bigint, money as
     double, ``timestamp_ntz``, an extra column, three columns missing."""
@@ -32,10 +33,12 @@ def raw_payment_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_query
 def deduped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_latest(fx.table(spark, sf_dir, "lineitem"), LINE_KEY, ["l_shipdate"])
 
 
+@per_query
 def daily_trips(spark: SparkSession, sf_dir: str, dedupe: bool = True) -> DataFrame:
     """Daily trips from line items (deduplicated on the line key first)."""
     lines = deduped_lines(spark, sf_dir) if dedupe else fx.table(spark, sf_dir, "lineitem")
@@ -107,6 +110,7 @@ def dup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.duplicate_keys(daily_trips(spark, sf_dir, dedupe=False), "trip_id")
 
 
+@per_query
 def _clean_trip_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean, _ = dq.split(daily_trips(spark, sf_dir), dq.trip_rules())
     return clean.select("trip_id")

@@ -27,7 +27,7 @@ from railyard.plans.facts import (
 )
 from railyard.plans.queries_core import first_route_dim, two_version_route_dim
 from railyard.plans.queries_quality import daily_trips
-from railyard.plans.registry import register
+from railyard.plans.registry import per_query, register
 from railyard.plans.dims import route_dimension
 
 LOAD_ID = f"batch_{fx.LOAD_DATE}"
@@ -36,10 +36,12 @@ FIRST_PAYMENT_CUTOFF = "1998-01-01 00:00:00"
 
 # --- shared dimensions --------------------------------------------------------
 
+@per_query
 def first_user_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_dimension(None, fx.raw_users(spark, sf_dir), fx.AS_OF_FIRST)
 
 
+@per_query
 def first_vehicle_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vehicle_dimension(None, fx.raw_vehicles(spark, sf_dir))
 
@@ -50,15 +52,18 @@ def stops_referenced(trips: DataFrame) -> DataFrame:
     )
 
 
+@per_query
 def stop_dim(spark: SparkSession, sf_dir: str, trips: DataFrame) -> DataFrame:
     return stop_dimension(None, stops_referenced(trips), fx.raw_stops(spark, sf_dir))
 
 
+@per_query
 def payment_method_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = fx.table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("code"))
     return payment_method_dimension(None, payment_method_seed(spark).unionByName(codes, allowMissingColumns=True))
 
 
+@per_query
 def trip_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fact_trip with trip_sk: deduplicated daily trips, five lookups."""
     trips = daily_trips(spark, sf_dir)

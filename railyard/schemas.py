@@ -162,3 +162,12 @@ MART_ROUTE_HOURLY = _schema(
     ("trip_cnt", L), ("avg_fare", DBL), ("avg_duration_sec", DBL),
     ("sum_distance_m", DBL), ("avg_speed", DBL), ("snapshot_ts", TS),
 )
+
+
+def empty(spark, schema: T.StructType):
+    """An empty table of ``schema`` that the optimizer knows is empty.
+
+    ``limit(0)`` becomes an empty local relation, so joins and unions with
+    it are pruned at planning time (a first load plans like an insert).
+    """
+    return spark.createDataFrame([], schema).limit(0)
