@@ -568,3 +568,22 @@ FROM pos p
 LEFT JOIN route_versions rv ON p.route_id = rv.route_id AND (rv.vf IS NULL OR p.event_ts >= rv.vf)
  AND (rv.vt IS NULL OR p.event_ts < rv.vt)
 LEFT JOIN dim_vehicle1 v ON p.vehicle_id = v.vehicle_id"""
+
+
+# --- streaming -------------------------------------------------------------------
+
+# Append mode emits a window once the watermark (latest event time minus the
+# 10 minute delay) has passed its end.
+SQL["stream_route_speed"] = with_(POS) + """
+SELECT route_id, date_trunc('hour', event_ts) AS window_start,
+       date_trunc('hour', event_ts) + INTERVAL 1 HOUR AS window_end,
+       CAST(SUM(speed) AS DOUBLE) / COUNT(speed) AS avg_speed, COUNT(*) AS position_cnt
+FROM pos GROUP BY 1, 2, 3
+HAVING date_trunc('hour', event_ts) + INTERVAL 1 HOUR
+       <= (SELECT max(event_ts) FROM pos) - INTERVAL 10 MINUTE"""
+
+SQL["stream_dedupe"] = with_(POS) + """
+SELECT event_id, vehicle_id, route_id, event_ts, CAST(speed AS DOUBLE) AS speed FROM pos
+QUALIFY row_number() OVER (PARTITION BY vehicle_id, event_ts ORDER BY event_id) = 1"""
+
+SQL["stream_position_facts"] = SQL["fact_vehicle_position"]

@@ -160,7 +160,12 @@ def raw_hourly_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """position <- events of type view, click."""
-    e = table(spark, sf_dir, "events").filter(F.col("event_type").isin(POSITION_EVENT_TYPES))
+    return positions_from_events(table(spark, sf_dir, "events"))
+
+
+def positions_from_events(events: DataFrame) -> DataFrame:
+    """The position projection of an events frame (batch or streaming)."""
+    e = events.filter(F.col("event_type").isin(POSITION_EVENT_TYPES))
     eid = F.col("event_id")
     return e.select(
         _ts("ts").alias("event_ts"),

@@ -87,7 +87,12 @@ def register(name: str) -> Callable[[Query], Query]:
 
 def queries() -> dict[str, Query]:
     # Importing the query modules fills QUERIES.
-    from railyard.plans import queries_core, queries_quality, queries_warehouse  # noqa: F401
+    from railyard.plans import (  # noqa: F401
+        queries_core,
+        queries_quality,
+        queries_stream,
+        queries_warehouse,
+    )
 
     return dict(QUERIES)
 
