@@ -3,7 +3,7 @@ SCD1, payment methods insert-if-absent, calendars.
 
 Each load is ``(current, incoming, as_of) -> whole new dimension``. The
 caller writes the result to a fresh version folder and switches to it
-(``sources.tables.write_version``): Parquet cannot be overwritten while it
+(``sources.parquet.write_version``): Parquet cannot be overwritten while it
 is being read, and readers never see a half-written dimension.
 """
 
