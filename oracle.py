@@ -587,3 +587,23 @@ SELECT event_id, vehicle_id, route_id, event_ts, CAST(speed AS DOUBLE) AS speed
 QUALIFY row_number() OVER (PARTITION BY vehicle_id, event_ts ORDER BY event_id) = 1"""
 
 SQL["stream_position_facts"] = SQL["fact_vehicle_position"]
+
+
+# --- file round trips --------------------------------------------------------------
+
+SQL["parquet_partition_roundtrip"] = with_(ROUTES, DIM_ROUTE1, HTRIPS, POS, MART1) + """
+SELECT *, CAST(hour_bucket AS DATE) AS dt FROM mart
+WHERE hour_bucket >= TIMESTAMP '2024-01-08 00:00:00' AND hour_bucket < TIMESTAMP '2024-01-12 00:00:00'"""
+
+SQL["raw_landing_roundtrip"] = with_(POS) + """
+SELECT event_ts, CAST(vehicle_id AS VARCHAR) AS vehicle_id, CAST(route_id AS VARCHAR) AS route_id,
+       CAST(lat AS DOUBLE) AS lat, CAST(lon AS DOUBLE) AS lon, CAST(speed AS DOUBLE) AS speed,
+       CAST(heading AS DOUBLE) AS heading, provider_ts, payload
+FROM pos"""
+
+SQL["staging_load"] = with_(PAYMENTS) + f"""
+SELECT CAST(payment_id AS VARCHAR) AS payment_id, CAST(user_id AS VARCHAR) AS user_id,
+       CAST(route_id AS VARCHAR) AS route_id, trip_id, CAST(amount AS DOUBLE) AS amount, currency,
+       status, payment_method, paid_at, {LOAD_ID} AS load_id, {LOAD_TS} AS ingestion_ts,
+       DATE '2024-02-01' AS load_dt
+FROM payments"""

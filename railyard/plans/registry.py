@@ -89,6 +89,7 @@ def queries() -> dict[str, Query]:
     # Importing the query modules fills QUERIES.
     from railyard.plans import (  # noqa: F401
         queries_core,
+        queries_io,
         queries_quality,
         queries_stream,
         queries_warehouse,
