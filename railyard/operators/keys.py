@@ -1,23 +1,28 @@
 """Surrogate key assignment (K1).
 
 The warehouse DDL uses sequence-backed keys. On Spark the equivalent is a
-dense, ordered numbering. The rows to number are first checkpointed into the
-shared checkpoint folder: that computes the upstream plan once, cuts its
-lineage, and makes every later pass read the very same rows, so a lost
-executor cannot make a recomputation number rows differently. Then:
-
-* up to ``single_task_rows`` rows (the count of the checkpoint is cheap):
-  one ``row_number()`` over the order columns -- exact and deterministic on
-  the fixed, checkpointed input;
+dense numbering in the order of a unique key:
+
+* up to ``single_task_rows`` rows (measured by counting at most that many
+  plus one): one ``row_number()`` over the order columns. Its result depends
+  only on the rows' content and the unique order key, so a recomputation
+  after a lost executor gives the same keys;
 * above that, two passes without ever moving all rows into one task (a
-  global window would): range-partition by the order columns and sort within
-  partitions, tag each row with its partition and its position there (the
-  low 33 bits of ``monotonically_increasing_id``), count rows per partition
-  -- one number per partition, so the collected list is bounded by the
-  partition count, never by the data -- and add the running offset, shipped
-  to the tasks as a literal array. The tagged frame is persisted between the
-  passes; because its input is a checkpoint, a lost cached block recomputes
-  to identical tags.
+  global window would). The rows are checkpointed into the shared
+  checkpoint folder, range-partitioned by the order columns and sorted
+  within partitions; each row is tagged with its partition and its position
+  there (the low 33 bits of ``monotonically_increasing_id``); rows are
+  counted per partition -- one number per partition, so the collected list
+  is bounded by the partition count, never by the data -- and every row
+  gets ``base + offset[partition] + position + 1``, the offsets shipped as a
+  literal array. The tagged frame is persisted between the passes; because
+  its input is a checkpoint, a lost cached block recomputes to identical
+  tags (range bounds and positions depend on partitioning, content alone
+  would not fix them).
+
+``materialize=True`` checkpoints the input first, for inputs whose upstream
+is expensive (a fact batch after its lookups): it is then computed once for
+both the size check and the numbering.
 """
 
 from __future__ import annotations
@@ -28,6 +33,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from railyard.operators.sizing import is_small, known_bound, note_bound
 from railyard.session import checkpoint_dir, default_parallelism
 
 _PID, _POS = "_ry_pid", "_ry_pos"
@@ -47,22 +53,26 @@ def assign_surrogates(
     base: Column | int = 0,
     num_partitions: int | None = None,
     single_task_rows: int = SINGLE_TASK_ROWS,
+    materialize: bool = False,
 ) -> DataFrame:
     """Add ``sk`` = base+1 .. base+n, dense, in ``order_by`` order.
 
-    ``order_by`` should be a unique key of ``df`` (ties are numbered in an
-    arbitrary but fixed order). ``base`` is usually :func:`max_key` of the
-    existing table, so new members continue its sequence.
+    ``order_by`` must be a unique key of ``df``. ``base`` is usually
+    :func:`max_key` of the existing table, so new members continue its
+    sequence.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
     base_col = base if isinstance(base, Column) else F.lit(int(base))
-    staged = df.checkpoint(eager=True)
-    rows = staged.count()
-    if rows <= single_task_rows:
+    if materialize:
+        df = df.checkpoint(eager=True)
+    if single_task_rows > 0 and is_small(df, single_task_rows):
+        # Bounded (measured): one ordered numbering, content-deterministic.
         ordered = Window.orderBy(*order_by)
-        return staged.withColumn(sk, (base_col + F.row_number().over(ordered)).cast("long"))
+        out = df.withColumn(sk, (base_col + F.row_number().over(ordered)).cast("long"))
+        return note_bound(out, known_bound(df) if known_bound(df) is not None else single_task_rows)
 
+    staged = df if materialize else df.checkpoint(eager=True)
     n = num_partitions or default_parallelism(spark)
     tagged = (
         staged.repartitionByRange(n, *order_by)

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from railyard.functions.exprs import changed_any, ts_literal
 from railyard.operators.keys import assign_surrogates, max_key
+from railyard.operators.sizing import known_bound, note_bound, sum_bounds
 from railyard.schemas import empty
 
 CHANGE = "_change"
@@ -78,6 +79,7 @@ def scd2_merge(
     keys = _as_list(key)
     at = ts_literal(as_of)
     cols = current.columns
+    cur_types = {f.name: f.dataType for f in current.schema.fields}
     defaults = dict(new_defaults or {})
 
     history = current.filter(~F.col(is_current)).withColumn(CHANGE, F.lit("history"))
@@ -125,23 +127,25 @@ def scd2_merge(
             return F.col(f"i.{c}").alias(c)
         if c in defaults:
             return defaults[c].alias(c)
-        return F.lit(None).cast(current.schema[c].dataType).alias(c)
+        return F.lit(None).cast(cur_types[c]).alias(c)
 
     fresh = joined.filter(in_i & (~in_c | F.col("_ry_changed"))).select(
         *[new_col(c) for c in cols if c != sk]
     )
-    fresh = assign_surrogates(fresh, keys, sk, base=max_key(current, sk)).select(
-        *cols
-    ).withColumn(CHANGE, F.lit("new"))
+    keyed_new = assign_surrogates(fresh, keys, sk, base=max_key(current, sk))
+    fresh_bound = known_bound(keyed_new)
+    fresh = keyed_new.select(*cols).withColumn(CHANGE, F.lit("new"))
 
     # Keep declared types of the current table on every branch.
-    typed = [F.col(c).cast(current.schema[c].dataType).alias(c) for c in cols]
+    typed = [F.col(c).cast(cur_types[c]).alias(c) for c in cols]
     out = (
         history.select(*typed, CHANGE)
         .unionByName(kept.select(*typed, CHANGE))
         .unionByName(fresh.select(*typed, CHANGE))
     )
-    return out if with_change else out.drop(CHANGE)
+    out = out if with_change else out.drop(CHANGE)
+    # history + kept <= current, new versions <= the measured batch
+    return note_bound(out, sum_bounds(known_bound(current), fresh_bound))
 
 
 def scd1_upsert(
@@ -159,6 +163,7 @@ def scd1_upsert(
     """
     keys = _as_list(key)
     cols = current.columns
+    cur_types = {f.name: f.dataType for f in current.schema.fields}
     # Attributes the batch does not carry keep their current value.
     kept_cols = [c for c in cols if c not in incoming.columns and c != sk and c not in keys]
     with_sk = incoming.join(current.select(*keys, sk, *kept_cols), keys, "left")
@@ -169,14 +174,15 @@ def scd1_upsert(
     untouched = current.join(incoming.select(*keys), keys, "left_anti")
 
     def typed(df: DataFrame) -> DataFrame:
+        have = set(df.columns)
         return df.select(
-            *[
-                (F.col(c) if c in df.columns else F.lit(None)).cast(current.schema[c].dataType).alias(c)
-                for c in cols
-            ]
+            *[(F.col(c) if c in have else F.lit(None)).cast(cur_types[c]).alias(c) for c in cols]
         )
 
-    return typed(untouched).unionByName(typed(updated)).unionByName(typed(fresh))
+    out = typed(untouched).unionByName(typed(updated)).unionByName(typed(fresh))
+    # untouched and updated rows each match at most one current row
+    cur = known_bound(current)
+    return note_bound(out, sum_bounds(None if cur is None else 2 * cur, known_bound(fresh)))
 
 
 def infer_members(
@@ -199,14 +205,12 @@ def infer_members(
         .join(dim.select(key), key, "left_anti")
     )
     keyed = assign_surrogates(missing, [key], sk, base=max_key(dim, sk))
-    return dim.unionByName(
-        keyed.select(
-            *[
-                (F.col(c) if c in keyed.columns else F.lit(None)).cast(dim.schema[c].dataType).alias(c)
-                for c in dim.columns
-            ]
-        )
+    dim_types = [(f.name, f.dataType) for f in dim.schema.fields]
+    have = set(keyed.columns)
+    out = dim.unionByName(
+        keyed.select(*[(F.col(c) if c in have else F.lit(None)).cast(t).alias(c) for c, t in dim_types])
     )
+    return note_bound(out, sum_bounds(known_bound(dim), known_bound(keyed)))
 
 
 def validity_report(

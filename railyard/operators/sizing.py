@@ -18,14 +18,38 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_ROWS = 2_000_000
 
 _measured: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+_bounds: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+
+
+def note_bound(df: DataFrame, rows: int | None) -> DataFrame:
+    """Record a proven upper bound on ``df``'s row count (from how it was
+    built: an empty table, a measured batch, a union of bounded parts).
+    ``None`` records nothing. Returns ``df``."""
+    if rows is not None:
+        _bounds[df] = min(int(rows), _bounds.get(df, int(rows)))
+    return df
+
+
+def known_bound(df: DataFrame) -> int | None:
+    """The recorded upper bound on ``df``'s rows, if one was proven."""
+    return _bounds.get(df)
+
+
+def sum_bounds(*parts: int | None) -> int | None:
+    """Bound of a union: the sum, known only if every part is known."""
+    return None if any(p is None for p in parts) else sum(parts)
 
 
 def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Counts at most ``max_rows + 1`` rows, once per DataFrame object: a
-    dimension reused by several lookups is measured a single time.
+    Uses a proven bound when there is one; otherwise counts at most
+    ``max_rows + 1`` rows, once per DataFrame object, so a dimension reused
+    by several lookups is measured a single time.
     """
+    bound = known_bound(df)
+    if bound is not None and bound <= max_rows:
+        return True
     seen = _measured.setdefault(df, {})
     if max_rows not in seen:
         seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
@@ -57,4 +81,12 @@ def maybe_broadcast(
     return df
 
 
-__all__ = ["is_small", "bounded_broadcast", "maybe_broadcast", "DEFAULT_MAX_ROWS"]
+__all__ = [
+    "note_bound",
+    "known_bound",
+    "sum_bounds",
+    "is_small",
+    "bounded_broadcast",
+    "maybe_broadcast",
+    "DEFAULT_MAX_ROWS",
+]

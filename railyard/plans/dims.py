@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from railyard.operators.conform import dedupe_latest
 from railyard.operators.keys import assign_surrogates, max_key
 from railyard.operators.lookup import absent_rows
+from railyard.operators.sizing import known_bound, note_bound, sum_bounds
 from railyard.operators.scd import empty_versions, infer_members, scd1_upsert, scd2_merge
 from railyard.schemas import empty
 
@@ -62,9 +63,8 @@ def user_dimension(current: DataFrame | None, incoming: DataFrame, as_of) -> Dat
 def vehicle_dimension(current: DataFrame | None, incoming: DataFrame) -> DataFrame:
     """SCD1 vehicle dimension; surrogates stable across reloads."""
     if current is None:
-        return assign_surrogates(incoming, ["vehicle_id"], "vehicle_sk").select(
-            "vehicle_sk", *incoming.columns
-        )
+        keyed = assign_surrogates(incoming, ["vehicle_id"], "vehicle_sk")
+        return note_bound(keyed.select("vehicle_sk", *incoming.columns), known_bound(keyed))
     return scd1_upsert(current, incoming, "vehicle_id", sk="vehicle_sk")
 
 
@@ -125,7 +125,8 @@ def payment_method_dimension(
         absent_rows(inc, current, "code"), ["code"], "payment_method_sk",
         base=max_key(current, "payment_method_sk"),
     )
-    return current.select(*cols).unionByName(new.select(*cols))
+    out = current.select(*cols).unionByName(new.select(*cols))
+    return note_bound(out, sum_bounds(known_bound(current), known_bound(new)))
 
 
 __all__ = [

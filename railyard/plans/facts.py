@@ -187,7 +187,7 @@ def keyed(
         base = max_key(existing, sk)
     else:
         base = 0
-    out = assign_surrogates(new_rows, [key], sk, base=base)
+    out = assign_surrogates(new_rows, [key], sk, base=base, materialize=True)
     return out.select(sk, *[c for c in new_rows.columns if c != sk])
 
 

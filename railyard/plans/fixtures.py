@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railyard.functions.exprs import typed_null
+from railyard.plans.memo import per_query
 from railyard.schemas import COORD, DIST, HEADING, MONEY, SPEED
 
 # Fixed values of the mapping (FIXTURES.md section 2 and 3).
@@ -35,6 +36,7 @@ NEW_ROUTE_OFFSET = 100000
 NEW_USER_OFFSET = 1000000
 
 
+@per_query
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

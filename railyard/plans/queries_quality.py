@@ -44,7 +44,10 @@ def daily_trips(spark: SparkSession, sf_dir: str, dedupe: bool = True) -> DataFr
     lines = deduped_lines(spark, sf_dir) if dedupe else fx.table(spark, sf_dir, "lineitem")
     orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     joined = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"], "left").drop("o_orderkey")
-    return fx.raw_daily_trips(joined)
+    trips = fx.raw_daily_trips(joined)
+    # The deduplicated batch feeds several jobs (stop dimension, fact rows,
+    # checks): compute it once and cut its lineage, as a staged table would.
+    return trips.checkpoint(eager=True) if dedupe else trips
 
 
 def payment_rules() -> dict:

@@ -170,4 +170,6 @@ def empty(spark, schema: T.StructType):
     ``limit(0)`` becomes an empty local relation, so joins and unions with
     it are pruned at planning time (a first load plans like an insert).
     """
-    return spark.createDataFrame([], schema).limit(0)
+    from railyard.operators.sizing import note_bound
+
+    return note_bound(spark.createDataFrame([], schema).limit(0), 0)
