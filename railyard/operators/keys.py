@@ -70,7 +70,7 @@ def assign_surrogates(
         # Bounded (measured): one ordered numbering, content-deterministic.
         ordered = Window.orderBy(*order_by)
         out = df.withColumn(sk, (base_col + F.row_number().over(ordered)).cast("long"))
-        return note_bound(out, known_bound(df) if known_bound(df) is not None else single_task_rows)
+        return note_bound(out, known_bound(df))
 
     staged = df if materialize else df.checkpoint(eager=True)
     n = num_partitions or default_parallelism(spark)

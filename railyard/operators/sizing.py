@@ -52,7 +52,10 @@ def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
         return True
     seen = _measured.setdefault(df, {})
     if max_rows not in seen:
-        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+        rows = df.limit(max_rows + 1).count()
+        seen[max_rows] = rows <= max_rows
+        if rows <= max_rows:
+            note_bound(df, rows)  # an exact count, reusable by later checks
     return seen[max_rows]
 
 
