@@ -607,3 +607,15 @@ SELECT CAST(payment_id AS VARCHAR) AS payment_id, CAST(user_id AS VARCHAR) AS us
        status, payment_method, paid_at, {LOAD_ID} AS load_id, {LOAD_TS} AS ingestion_ts,
        DATE '2024-02-01' AS load_dt
 FROM payments"""
+
+
+# --- JSON payload and set membership ----------------------------------------------
+
+SQL["payload_fields"] = with_(POS) + """
+SELECT event_id, json_extract_string(payload, '$.k') AS k_text,
+       CAST(json_extract(payload, '$.k') AS INTEGER) AS k
+FROM pos"""
+
+SQL["changed_route_positions"] = with_(ROUTES, DIM_ROUTE1, ROUTES2, DIM_ROUTE2, POS) + """
+SELECT event_id, route_id FROM pos
+WHERE route_id IN (SELECT route_id FROM dim_route2 WHERE change = 'closed')"""

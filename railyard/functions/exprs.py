@@ -95,12 +95,19 @@ def batch_load_id(date_str: str) -> str:
     return f"batch_{date_str}"
 
 
-def null_safe_key_eq(left, right, keys: list[str]) -> Column:
-    """Equality on a multi-column key between two aliased frames."""
-    return reduce(lambda a, b: a & b, [left[k] == right[k] for k in keys])
+def json_field(c: ColumnOrName, path: str) -> Column:
+    """One field of a JSON text column (I14), as text."""
+    return F.get_json_object(_c(c), path)
+
+
+def parse_json(c: ColumnOrName, schema: T.DataType | str) -> Column:
+    """JSON text to a typed struct."""
+    return F.from_json(_c(c), schema)
 
 
 __all__ = [
+    "json_field",
+    "parse_json",
     "ts_literal",
     "typed_null",
     "changed_any",
@@ -112,5 +119,4 @@ __all__ = [
     "in_range",
     "audit",
     "batch_load_id",
-    "null_safe_key_eq",
 ]

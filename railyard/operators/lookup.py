@@ -112,6 +112,17 @@ def orphans(facts: DataFrame, dim: DataFrame, fact_key, key=None) -> DataFrame:
     return facts.filter(present).join(d, cond, "left_anti")
 
 
+def members(facts: DataFrame, keys: DataFrame, key, fact_key=None) -> DataFrame:
+    """C4: rows of ``facts`` whose key is in the set ``keys`` -- a left-semi
+    join, so the set is never collected to the driver however large."""
+    fkeys = _as_list(fact_key) if fact_key is not None else _as_list(key)
+    ks = _as_list(key)
+    d_keys = [f"{_D}{k}" for k in ks]
+    d = keys.select(*[F.col(k).alias(dk) for k, dk in zip(ks, d_keys)])
+    cond = _and([facts[fk] == d[dk] for fk, dk in zip(fkeys, d_keys)])
+    return facts.join(d, cond, "left_semi")
+
+
 def absent_rows(
     incoming: DataFrame,
     existing: DataFrame,
@@ -145,6 +156,7 @@ __all__ = [
     "current_rows",
     "lookup",
     "orphans",
+    "members",
     "absent_rows",
     "insert_if_absent",
 ]

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railyard.functions.exprs import seconds_between
+from railyard.functions.exprs import json_field, parse_json, seconds_between
 from railyard.operators import quality as dq
 from railyard.operators.conform import conform, dedupe_latest, stamp
 from railyard.operators.lookup import orphans
@@ -158,3 +158,14 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
             dq.orphan_count(payments, _clean_trip_ids(spark, sf_dir), "trip_id", "trip_id", "payments.fk_trip"),
         ]
     )
+
+
+@register("payload_fields")
+def payload_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON payload of each position, read by path and parsed."""
+    p = fx.raw_positions(spark, sf_dir)
+    return p.select(
+        "event_id",
+        json_field("payload", "$.k").alias("k_text"),
+        parse_json("payload", "k int").getField("k").alias("k"),
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from railyard.functions.exprs import time_key
 from railyard.operators import calendar as cal
 from railyard.operators.keys import assign_surrogates
-from railyard.operators.lookup import lookup
+from railyard.operators.lookup import lookup, members
 from railyard.operators.scd import CHANGE, validity_report
 from railyard.plans import fixtures as fx
 from railyard.plans.dims import (
@@ -167,6 +167,18 @@ def scd2_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_dimension(first, fx.raw_users_second_batch(spark, sf_dir), fx.AS_OF_SECOND)
 
 
+@register("changed_route_positions")
+def changed_route_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4: positions on routes the second batch changed -- membership in
+    the change set as a left-semi join, nothing collected."""
+    first = first_route_dim(spark, sf_dir)
+    merged = route_dimension(
+        first, fx.raw_routes_second_batch(spark, sf_dir), fx.AS_OF_SECOND, with_change=True
+    )
+    changed = merged.filter(F.col(CHANGE) == "closed").select("route_id")
+    return members(fx.raw_positions(spark, sf_dir), changed, "route_id").select("event_id", "route_id")
+
+
 # --- lookups ------------------------------------------------------------------
 
 def _event_routes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,6 +21,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # Checkpoint files of DataFrames that are gone are removed by the cleaner.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
