@@ -47,7 +47,7 @@ def lookup(
     valid_to: str = "valid_to",
     is_current: str = "is_current",
     first_open: bool = True,
-    broadcast: bool | None = False,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Attach a dimension's surrogate (and chosen attributes) to each fact row.
 
@@ -61,6 +61,10 @@ def lookup(
     (D2: ``payment_method`` vs ``code``). Unmatched facts keep a null key;
     the fact row count never changes as long as the dimension has one
     matching version per key (checked by ``scd.validity_report``).
+
+    ``broadcast``: ``None`` (default) broadcasts the dimension when its size
+    is proven or measured small, else leaves a sort-merge join; ``True``
+    forces the hint, ``False`` leaves the choice to Catalyst and AQE.
     """
     keys = _as_list(key)
     fkeys = _as_list(fact_key) if fact_key is not None else keys
@@ -101,24 +105,31 @@ def lookup(
     return facts.join(d, cond, "left").drop(*d_keys, vf, vt)
 
 
-def orphans(facts: DataFrame, dim: DataFrame, fact_key, key=None) -> DataFrame:
+def orphans(
+    facts: DataFrame, dim: DataFrame, fact_key, key=None, broadcast: bool | None = None
+) -> DataFrame:
     """Fact rows whose non-null foreign key has no dimension row."""
     fkeys = _as_list(fact_key)
     keys = _as_list(key) if key is not None else fkeys
     d_keys = [f"{_D}{k}" for k in keys]
-    d = dim.select(*[F.col(k).alias(dk) for k, dk in zip(keys, d_keys)])
+    d = maybe_broadcast(
+        dim.select(*[F.col(k).alias(dk) for k, dk in zip(keys, d_keys)]), broadcast, measure=dim
+    )
     present = _and([F.col(fk).isNotNull() for fk in fkeys])
     cond = _and([facts[fk] == d[dk] for fk, dk in zip(fkeys, d_keys)])
     return facts.filter(present).join(d, cond, "left_anti")
 
 
-def members(facts: DataFrame, keys: DataFrame, key, fact_key=None) -> DataFrame:
+def members(
+    facts: DataFrame, keys: DataFrame, key, fact_key=None, broadcast: bool | None = None
+) -> DataFrame:
     """C4: rows of ``facts`` whose key is in the set ``keys`` -- a left-semi
-    join, so the set is never collected to the driver however large."""
+    join, so the set is never collected to the driver however large (it is
+    broadcast only when measured small)."""
     fkeys = _as_list(fact_key) if fact_key is not None else _as_list(key)
     ks = _as_list(key)
     d_keys = [f"{_D}{k}" for k in ks]
-    d = keys.select(*[F.col(k).alias(dk) for k, dk in zip(ks, d_keys)])
+    d = maybe_broadcast(keys.select(*[F.col(k).alias(dk) for k, dk in zip(ks, d_keys)]), broadcast, measure=keys)
     cond = _and([facts[fk] == d[dk] for fk, dk in zip(fkeys, d_keys)])
     return facts.join(d, cond, "left_semi")
 
