@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from railyard.operators import quality as dq
 from railyard.operators.conform import REJECT, conform, dedupe_latest
 from railyard.operators.keys import assign_surrogates
-from railyard.operators.lookup import absent_rows, lookup, orphans
+from railyard.operators.lookup import absent_rows, lookup, members, orphans
 
 
 def test_surrogates_both_paths_dense_and_ordered(spark):
@@ -54,6 +54,8 @@ def test_orphans_and_absent(spark):
     assert [r.id for r in orphans(facts, _dim(spark), "route_id").collect()] == [2]
     existing = spark.createDataFrame([("R1",)], "route_id string")
     assert sorted(r.id for r in absent_rows(facts, existing, "route_id").collect()) == [2, 3]
+    for flag in (None, False):
+        assert [r.id for r in members(facts, existing, "route_id", broadcast=flag).collect()] == [1]
 
 
 def test_conform_types_missing_extra_json(spark):
