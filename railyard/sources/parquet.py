@@ -162,13 +162,17 @@ def write_version(df: DataFrame, base: str, version: str) -> str:
     pointer afterwards means readers see either the old or the new version,
     never a partial one. Old versions stay for audit and time travel.
     """
-    spark = df.sparkSession
     target = f"{base.rstrip('/')}/v={version}"
     df.write.mode("overwrite").parquet(target)
+    write_version_pointer(df.sparkSession, base, version)
+    return target
+
+
+def write_version_pointer(spark: SparkSession, base: str, version: str) -> None:
+    """Switch a versioned table to an already written ``version``."""
     spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode(
         "overwrite"
     ).json(_pointer(base))
-    return target
 
 
 __all__ = [
@@ -183,4 +187,5 @@ __all__ = [
     "current_version",
     "read_current",
     "write_version",
+    "write_version_pointer",
 ]

@@ -59,3 +59,25 @@ def test_batch_rerun_and_mart(spark, workdir):
     assert got.count() == expected.count() > 0
     assert got.exceptAll(norm(expected)).count() == 0
     assert first_rows == got.count()
+
+
+def test_scd2_gate_rejects_backdated_batch(spark, workdir):
+    """An as_of before the current versions' start would create empty
+    intervals: the batch fails and the previous version stays current."""
+    import pytest
+
+    from railyard.plans.batch import DimensionInvalid
+    from railyard.sources.parquet import current_version, write_raw
+
+    raw, wh = f"{workdir}/raw", f"{workdir}/wh"
+    routes = spark.createDataFrame(
+        [("R1", "one", "bus", 10.0)], "route_id string, name string, transport_type string, base_fare double"
+    )
+    write_raw(routes, raw, "2024-03-01", "routes")
+    run_batch(spark, raw, wh, "2024-03-01")
+    before = current_version(spark, f"{wh}/dim/dim_route")
+    changed = routes.withColumn("name", F.lit("renamed"))
+    write_raw(changed, raw, "2024-02-01", "routes")
+    with pytest.raises(DimensionInvalid):
+        run_batch(spark, raw, wh, "2024-02-01")  # as_of 2024-02-01 < valid_from 2024-03-01
+    assert current_version(spark, f"{wh}/dim/dim_route") == before
