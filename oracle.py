@@ -496,17 +496,24 @@ SQL["scd2_changes"] = with_(ROUTES, DIM_ROUTE1, ROUTES2, DIM_ROUTE2) + f"""
 SELECT {ROUTE_COLS}, change FROM dim_route2 WHERE change IN ('closed', 'new')"""
 
 SQL["scd2_validity"] = with_(ROUTES, DIM_ROUTE1, ROUTES2, DIM_ROUTE2) + """,
-v AS (
-  SELECT valid_from AS vf, valid_to AS vt, is_current AS cur,
-         lead(valid_from) OVER (PARTITION BY route_id ORDER BY valid_from ASC NULLS FIRST) AS nxt,
-         sum(CAST(is_current AS INTEGER)) OVER (PARTITION BY route_id) AS ncur
-  FROM dim_route2)
-SELECT 'gap_or_overlap' AS rule,
-       CAST(SUM(CASE WHEN nxt IS NOT NULL AND vt IS DISTINCT FROM nxt THEN 1 ELSE 0 END) AS BIGINT) AS violations FROM v
-UNION ALL SELECT 'open_not_last', CAST(SUM(CASE WHEN nxt IS NOT NULL AND (vt IS NULL OR cur) THEN 1 ELSE 0 END) AS BIGINT) FROM v
-UNION ALL SELECT 'last_not_current', CAST(SUM(CASE WHEN nxt IS NULL AND (vt IS NOT NULL OR NOT cur) THEN 1 ELSE 0 END) AS BIGINT) FROM v
-UNION ALL SELECT 'empty_interval', CAST(SUM(CASE WHEN vt IS NOT NULL AND vt <= vf THEN 1 ELSE 0 END) AS BIGINT) FROM v
-UNION ALL SELECT 'multiple_current', CAST(SUM(CASE WHEN cur AND ncur > 1 THEN 1 ELSE 0 END) AS BIGINT) FROM v"""
+d AS (SELECT route_id, valid_from AS vf, valid_to AS vt, is_current AS cur FROM dim_route2),
+per_key AS (SELECT route_id, SUM(CASE WHEN vt IS NULL THEN 1 ELSE 0 END) AS opens,
+                   max(vf) AS latest, max(CASE WHEN vt IS NULL THEN vf END) AS open_start
+            FROM d GROUP BY route_id)
+SELECT 'empty_interval' AS rule,
+       CAST(COALESCE(SUM(CASE WHEN vt IS NOT NULL AND vt <= vf THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations FROM d
+UNION ALL SELECT 'flag_mismatch',
+       CAST(COALESCE(SUM(CASE WHEN (vt IS NULL) <> COALESCE(cur, FALSE) THEN 1 ELSE 0 END), 0) AS BIGINT) FROM d
+UNION ALL SELECT 'duplicate_start', CAST(COALESCE(SUM(CASE WHEN n > 1 THEN n END), 0) AS BIGINT)
+       FROM (SELECT route_id, vf, COUNT(*) AS n FROM d GROUP BY route_id, vf)
+UNION ALL SELECT 'duplicate_end', CAST(COALESCE(SUM(CASE WHEN n > 1 THEN n END), 0) AS BIGINT)
+       FROM (SELECT route_id, vt, COUNT(*) AS n FROM d WHERE vt IS NOT NULL GROUP BY route_id, vt)
+UNION ALL SELECT 'dangling_end', CAST(COUNT(*) AS BIGINT) FROM d e
+       WHERE e.vt IS NOT NULL AND NOT EXISTS (SELECT 1 FROM d s WHERE s.route_id = e.route_id AND s.vf = e.vt)
+UNION ALL SELECT 'open_count', CAST(COALESCE(SUM(CASE WHEN opens <> 1 THEN 1 END), 0) AS BIGINT) FROM per_key
+UNION ALL SELECT 'open_not_latest',
+       CAST(COALESCE(SUM(CASE WHEN opens >= 1 AND open_start IS DISTINCT FROM latest THEN 1 END), 0) AS BIGINT)
+       FROM per_key"""
 
 SQL["scd2_user"] = with_(USERS, DIM_USER1, USERS2, DIM_USER2) + " SELECT * FROM dim_user2"
 

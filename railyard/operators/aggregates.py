@@ -10,11 +10,12 @@ before the final shuffle on the group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railyard.functions.exprs import exact_avg, hour_bucket
+from railyard.operators.conform import dedupe_latest
 from railyard.schemas import MONEY, SPEED, DIST
 
 
@@ -73,15 +74,12 @@ def latest_snapshot(
 ) -> DataFrame:
     """keep the latest snapshot of each mart row of an append-only mart.
 
-    A window partitioned by the full mart key: each partition holds only the
-    few snapshots of one (route, hour), so no group grows with the data.
+    The keep-latest aggregate of ``conform.dedupe_latest`` (latest stamp,
+    then the other columns as tie-breakers): combined map-side, so a row
+    appended by many reruns costs one partial row per task, never a sort of
+    all its snapshots in one task.
     """
-    w = Window.partitionBy(*keys).orderBy(F.col(stamp).desc())
-    return (
-        mart.withColumn("_ry_rn", F.row_number().over(w))
-        .filter(F.col("_ry_rn") == 1)
-        .drop("_ry_rn")
-    )
+    return dedupe_latest(mart, list(keys), [stamp])
 
 
 def top_routes(mart: DataFrame, k: int = 10, key: str = "route_id") -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railyard.operators.sizing import maybe_broadcast
@@ -94,8 +94,14 @@ def lookup(
         *[F.col(a) for a in attrs],
     )
     if first_open:
-        first = F.min(vf).over(Window.partitionBy(*d_keys))
-        d = d.withColumn(vf, F.when(F.col(vf) == first, F.lit(None)).otherwise(F.col(vf)))
+        # Each key's first start, by a grouped min (combined map-side) joined
+        # back on the key: no key's versions are sorted together in one task.
+        first = d.groupBy(*d_keys).agg(F.min(vf).alias(f"{_D}first"))
+        d = (
+            d.join(first, d_keys)
+            .withColumn(vf, F.when(F.col(vf) == F.col(f"{_D}first"), F.lit(None)).otherwise(F.col(vf)))
+            .drop(f"{_D}first")
+        )
     d = maybe_broadcast(d, broadcast, measure=dim)
     t = facts[ts]
     cond = _and(

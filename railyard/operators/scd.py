@@ -17,7 +17,7 @@ through untouched, so its size never enters the join):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -223,35 +223,65 @@ def validity_report(
 ) -> DataFrame:
     """count SCD2 invariant violations, one row per rule.
 
-    Rules: ``gap_or_overlap`` (a version's end is not the next start),
-    ``open_not_last`` (an open or current version is followed by another),
-    ``last_not_current`` (the latest version is closed or not flagged),
-    ``empty_interval`` (``valid_to <= valid_from``), ``multiple_current``
-    (keys with more than one current row). One window pass over the key.
+    Rules (counted in rows, except the two per-key rules, counted in keys):
+
+    * ``empty_interval``: ``valid_to <= valid_from``;
+    * ``flag_mismatch``: ``is_current`` disagrees with an open ``valid_to``;
+    * ``duplicate_start`` / ``duplicate_end``: two versions of a key start
+      (or end) at the same instant;
+    * ``dangling_end``: a closed version ends where no version of its key
+      starts (a gap);
+    * ``open_count``: keys without exactly one open version;
+    * ``open_not_latest``: keys whose open version is not the latest start.
+
+    Together these force each version to end exactly where the next begins.
+    Every check is a grouped aggregate or an equi-join on (key, instant), so
+    no key's versions are ever sorted in one task, whatever their number.
     """
     keys = _as_list(key)
-    w = Window.partitionBy(*keys).orderBy(F.col(valid_from).asc_nulls_first())
-    nxt = F.lead(valid_from).over(w)
-    ncur = F.sum(F.col(is_current).cast("int")).over(Window.partitionBy(*keys))
-    marked = dim.select(
-        F.col(valid_from).alias("vf"),
-        F.col(valid_to).alias("vt"),
-        F.col(is_current).alias("cur"),
-        nxt.alias("nxt"),
-        ncur.alias("ncur"),
+    d = dim.select(
+        *keys,
+        F.col(valid_from).alias("_vf"),
+        F.col(valid_to).alias("_vt"),
+        F.col(is_current).alias("_cur"),
     )
-    last = F.col("nxt").isNull()
-    rules = {
-        "gap_or_overlap": ~last & ~F.col("vt").eqNullSafe(F.col("nxt")),
-        "open_not_last": ~last & (F.col("vt").isNull() | F.col("cur")),
-        "last_not_current": last & (F.col("vt").isNotNull() | ~F.col("cur")),
-        "empty_interval": F.col("vt").isNotNull() & (F.col("vt") <= F.col("vf")),
-        "multiple_current": F.col("cur") & (F.col("ncur") > 1),
-    }
-    counts = marked.agg(
-        *[F.sum(F.when(cond, 1).otherwise(0)).cast("long").alias(name) for name, cond in rules.items()]
+
+    def total(df: DataFrame, name: str, expr) -> DataFrame:
+        return df.agg(F.coalesce(F.sum(expr), F.lit(0)).cast("long").alias("violations")).select(
+            F.lit(name).alias("rule"), "violations"
+        )
+
+    open_ = F.col("_vt").isNull()
+    rows = d.agg(
+        F.sum(F.when(~open_ & (F.col("_vt") <= F.col("_vf")), 1).otherwise(0)).cast("long").alias("empty_interval"),
+        F.sum(F.when(open_ != F.coalesce(F.col("_cur"), F.lit(False)), 1).otherwise(0)).cast("long").alias("flag_mismatch"),
+    ).unpivot([], ["empty_interval", "flag_mismatch"], "rule", "violations")
+    starts = d.groupBy(*keys, "_vf").agg(F.count(F.lit(1)).alias("n"))
+    ends = d.filter(~open_).groupBy(*keys, "_vt").agg(F.count(F.lit(1)).alias("n"))
+    closed_ends = d.filter(~open_).select(*keys, F.col("_vt").alias("_t"))
+    start_points = d.select(*keys, F.col("_vf").alias("_t"))
+    dangling = closed_ends.join(start_points, [*keys, "_t"], "left_anti")
+    per_key = d.groupBy(*keys).agg(
+        F.sum(open_.cast("int")).alias("opens"),
+        F.max("_vf").alias("latest"),
+        F.max(F.when(open_, F.col("_vf"))).alias("open_start"),
     )
-    return counts.unpivot([], list(rules), "rule", "violations")
+    parts = [
+        rows,
+        total(starts, "duplicate_start", F.when(F.col("n") > 1, F.col("n"))),
+        total(ends, "duplicate_end", F.when(F.col("n") > 1, F.col("n"))),
+        total(dangling, "dangling_end", F.lit(1)),
+        total(per_key, "open_count", F.when(F.col("opens") != 1, 1)),
+        total(
+            per_key,
+            "open_not_latest",
+            F.when((F.col("opens") >= 1) & ~F.col("open_start").eqNullSafe(F.col("latest")), 1),
+        ),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 __all__ = [

@@ -64,8 +64,8 @@ def test_change_null_new_absent(spark):
     assert r[("C", True)][5] == "None"  # absent key stays open
     assert r[("D", True)][0] == 6 and {r[("A", True)][0], r[("B", True)][0]} == {4, 5}
     assert {x["rule"]: x["violations"] for x in validity_report(second, "route_id").collect()} == {
-        "gap_or_overlap": 0, "open_not_last": 0, "last_not_current": 0,
-        "empty_interval": 0, "multiple_current": 0,
+        "empty_interval": 0, "flag_mismatch": 0, "duplicate_start": 0, "duplicate_end": 0,
+        "dangling_end": 0, "open_count": 0, "open_not_latest": 0,
     }
 
 
@@ -85,7 +85,16 @@ def test_validity_finds_append_only_defect(spark):
     broken = d.unionByName(d.withColumn("route_sk", F.lit(2).cast("long"))
                            .withColumn("valid_from", F.lit(T2).cast("timestamp")))
     v = {x["rule"]: x["violations"] for x in validity_report(broken, "route_id").collect()}
-    assert v["multiple_current"] == 2 and v["open_not_last"] == 1
+    assert v["open_count"] == 1 and v["open_not_latest"] == 0
+    # an overlap: the first version ends after the second starts
+    overlap = d.unionByName(
+        d.withColumn("route_sk", F.lit(2).cast("long"))
+        .withColumn("valid_from", F.lit(T2).cast("timestamp"))
+    ).withColumn(
+        "valid_to", F.when(F.col("route_sk") == 1, F.lit(T3).cast("timestamp")).otherwise(F.col("valid_to"))
+    ).withColumn("is_current", F.col("route_sk") == 2)
+    v = {x["rule"]: x["violations"] for x in validity_report(overlap, "route_id").collect()}
+    assert v["dangling_end"] == 1 and sum(v.values()) == 1
 
 
 def test_scd1_upsert_and_inferred(spark):
