@@ -68,6 +68,16 @@ def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+def _has_context(spark: SparkSession) -> bool:
+    """False for a Spark Connect session (no driver-side SparkContext): there
+    the server's own ``spark.checkpoint.dir`` is used as configured."""
+    try:
+        spark.sparkContext  # noqa: B018
+    except Exception:  # noqa: BLE001 - Connect raises on access
+        return False
+    return True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the context.
 
@@ -76,6 +86,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     temporary folder: on a cluster a machine-local folder would not survive
     the loss of an executor, so there it is an error.
     """
+    if not _has_context(spark):
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
+        return configured
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
