@@ -179,15 +179,20 @@ def keyed(
     sk: str,
     *,
     partition_cols: list[str] | None = None,
+    materialize: bool = True,
 ) -> DataFrame:
     """D10 + K1: rows of ``new_rows`` not yet in ``existing`` (by ``key``),
-    numbered after the existing maximum surrogate. ``sk`` comes first."""
+    numbered after the existing maximum surrogate. ``sk`` comes first.
+
+    ``materialize`` checkpoints the rows before numbering (their lookups
+    then run once); pass False when they are already a cheap projection of
+    a checkpointed or stored batch."""
     if existing is not None:
         new_rows = absent_rows(new_rows, existing, key, partition_cols)
         base = max_key(existing, sk)
     else:
         base = 0
-    out = assign_surrogates(new_rows, [key], sk, base=base, materialize=True)
+    out = assign_surrogates(new_rows, [key], sk, base=base, materialize=materialize)
     return out.select(sk, *[c for c in new_rows.columns if c != sk])
 
 
