@@ -253,8 +253,10 @@ def validity_report(
 
     open_ = F.col("_vt").isNull()
     rows = d.agg(
-        F.sum(F.when(~open_ & (F.col("_vt") <= F.col("_vf")), 1).otherwise(0)).cast("long").alias("empty_interval"),
-        F.sum(F.when(open_ != F.coalesce(F.col("_cur"), F.lit(False)), 1).otherwise(0)).cast("long").alias("flag_mismatch"),
+        F.coalesce(F.sum(F.when(~open_ & (F.col("_vt") <= F.col("_vf")), 1)), F.lit(0))
+        .cast("long").alias("empty_interval"),
+        F.coalesce(F.sum(F.when(open_ != F.coalesce(F.col("_cur"), F.lit(False)), 1)), F.lit(0))
+        .cast("long").alias("flag_mismatch"),
     ).unpivot([], ["empty_interval", "flag_mismatch"], "rule", "violations")
     starts = d.groupBy(*keys, "_vf").agg(F.count(F.lit(1)).alias("n"))
     ends = d.filter(~open_).groupBy(*keys, "_vt").agg(F.count(F.lit(1)).alias("n"))

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from landing import land
 from conftest import SMALL
-from railyard.plans.batch import run_batch, run_mart
+import pytest
+
+from railyard.plans.batch import read_mart, run_batch, run_mart
 from railyard.plans.registry import queries
 from railyard.sources.parquet import read_current
 
@@ -43,8 +45,8 @@ def test_batch_rerun_and_mart(spark, workdir):
     assert spark.read.parquet(f"{wh}/fact/fact_vehicle_position").count() == first["fact_vehicle_position"]
 
     # the mart from the warehouse equals the registered flagship query
-    first_rows = run_mart(spark, wh, LO, HI, snapshot_ts=HI).count()
-    again = run_mart(spark, wh, LO, HI, snapshot_ts=HI)  # overwrite is idempotent
+    first_rows = run_mart(spark, wh, LO, HI, snapshot_ts=HI, mode="overwrite").count()
+    again = run_mart(spark, wh, LO, HI, snapshot_ts=HI, mode="overwrite")  # idempotent
     expected = queries()["mart_route_hourly"](spark, SMALL)
     cols = ["route_id", "hour_bucket", "trip_cnt", "avg_fare", "avg_duration_sec", "sum_distance_m", "avg_speed"]
 
@@ -60,6 +62,15 @@ def test_batch_rerun_and_mart(spark, workdir):
     assert got.exceptAll(norm(expected)).count() == 0
     assert first_rows == got.count()
 
+    # append mode: a rerun adds a newer snapshot; readers see the latest only
+    run_mart(spark, wh, LO, HI, snapshot_ts="2024-01-21 00:00:00")
+    assert read_mart(spark, wh, latest=False).count() == 2 * first_rows
+    latest = read_mart(spark, wh)
+    assert latest.count() == first_rows
+    assert latest.filter(F.col("snapshot_ts") != F.lit("2024-01-21 00:00:00").cast("timestamp")).count() == 0
+    with pytest.raises(ValueError):
+        run_mart(spark, wh, "2024-01-05 00:30:00", HI)
+
 
 def test_scd2_gate_rejects_backdated_batch(spark, workdir):
     """An as_of before the current versions' start would create empty

@@ -111,3 +111,11 @@ def test_scd1_upsert_and_inferred(spark):
     refs = spark.createDataFrame([("S1",), ("S9",), ("S9",), (None,)], "stop_id string")
     got = {r.stop_id: r for r in infer_members(stops, refs, "stop_id", sk="stop_sk").collect()}
     assert set(got) == {"S1", "S9"} and got["S9"].stop_sk == 2 and got["S9"].name is None
+
+
+def test_key_with_only_closed_versions_counts_as_new(spark):
+    d = merge(None, batch(spark, [("A", "a", "1.00")]), T1)
+    closed = d.withColumn("valid_to", F.lit(T2).cast("timestamp")).withColumn("is_current", F.lit(False))
+    out = rows(merge(closed, batch(spark, [("A", "a", "1.00")]), T3))
+    assert [(x[0], x[6]) for x in out] == [(1, False), (2, True)]
+    assert out[1][4].startswith("2024-03-01")
