@@ -626,3 +626,38 @@ FROM pos"""
 SQL["changed_route_positions"] = with_(ROUTES, DIM_ROUTE1, ROUTES2, DIM_ROUTE2, POS) + """
 SELECT event_id, route_id FROM pos
 WHERE route_id IN (SELECT route_id FROM dim_route2 WHERE change = 'closed')"""
+
+
+# --- the mart over route versions ---------------------------------------------------
+
+SQL["mart_route_versions"] = with_(ROUTES, DIM_ROUTE1, ROUTES2, DIM_ROUTE2, ROUTE_AS_OF, HTRIPS, POS) + f""",
+tv AS (
+  SELECT h.trip_id, r.route_id, r.name, r.transport_type, h.start_ts, h.fare AS fare_amount,
+         h.duration_sec, h.distance_m
+  FROM htrips h
+  JOIN route_versions v ON h.route_id = v.route_id AND (v.vf IS NULL OR h.start_ts >= v.vf)
+   AND (v.vt IS NULL OR h.start_ts < v.vt)
+  JOIN dim_route2 r ON v.route_sk = r.route_sk
+  WHERE h.start_ts >= {MART_FROM} AND h.start_ts < {MART_TO}),
+thv AS (
+  SELECT route_id, name, transport_type, date_trunc('hour', start_ts) AS hour_bucket,
+         COUNT(DISTINCT trip_id) AS trip_cnt,
+         CAST(SUM(fare_amount) AS DOUBLE) / COUNT(fare_amount) AS avg_fare,
+         CAST(SUM(CAST(duration_sec AS BIGINT)) AS DOUBLE) / COUNT(duration_sec) AS avg_duration_sec,
+         CAST(SUM(distance_m) AS DOUBLE) AS sum_distance_m
+  FROM tv GROUP BY 1, 2, 3, 4),
+pv AS (
+  SELECT r.route_id, p.event_ts, p.speed
+  FROM pos p
+  JOIN route_versions v ON p.route_id = v.route_id AND (v.vf IS NULL OR p.event_ts >= v.vf)
+   AND (v.vt IS NULL OR p.event_ts < v.vt)
+  JOIN dim_route2 r ON v.route_sk = r.route_sk
+  WHERE p.event_ts >= {MART_FROM} AND p.event_ts < {MART_TO}),
+shv AS (
+  SELECT route_id, date_trunc('hour', event_ts) AS hour_bucket,
+         CAST(SUM(speed) AS DOUBLE) / COUNT(speed) AS avg_speed
+  FROM pv GROUP BY 1, 2)
+SELECT th.route_id, th.hour_bucket, th.name, th.transport_type, th.trip_cnt, th.avg_fare,
+       th.avg_duration_sec, th.sum_distance_m, COALESCE(sh.avg_speed, 0.0) AS avg_speed,
+       {MART_TO} AS snapshot_ts
+FROM thv th LEFT JOIN shv sh ON th.route_id = sh.route_id AND th.hour_bucket = sh.hour_bucket"""

@@ -70,6 +70,18 @@ def mart_route_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart_for(spark, sf_dir, fx.MART_FROM, fx.MART_TO, fx.MART_TO)
 
 
+@register("mart_route_versions")
+def mart_route_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J11 + D8: the mart over facts resolved as of their time against the
+    two-version route dimension; all versions join, so hours before and
+    after the 2024-01-15 change group under each version's attributes."""
+    dim_route = two_version_route_dim(spark, sf_dir)
+    load = dict(load_id=f"batch_{fx.LOAD_DATE}", inserted_at=fx.LOAD_TS, mode="as_of")
+    trips = build_fact_trip(fx.raw_hourly_trips(spark, sf_dir), dim_route=dim_route, **load)
+    positions = build_fact_position(fx.raw_positions(spark, sf_dir), dim_route=dim_route, **load)
+    return build_mart(trips, positions, dim_route, fx.MART_FROM, fx.MART_TO, fx.MART_TO)
+
+
 @register("trips_hourly")
 def trips_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip side of the mart over the whole event range."""
