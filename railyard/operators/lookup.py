@@ -140,6 +140,9 @@ def members(
     return facts.join(d, cond, "left_semi")
 
 
+MAX_TOUCHED_PARTITIONS = 10_000
+
+
 def absent_rows(
     incoming: DataFrame,
     existing: DataFrame,
@@ -149,12 +152,27 @@ def absent_rows(
     """Incoming rows whose key is not in ``existing`` (D10: insert-if-absent).
 
     When the target is partitioned (e.g. by trip date) pass the partition
-    columns: they join as extra equi-keys, which lets dynamic partition
-    pruning read only the target partitions the batch touches instead of the
-    whole history.
+    columns: the batch's distinct partition values -- a set bounded by the
+    calendar days it covers, capped at ``MAX_TOUCHED_PARTITIONS`` -- become
+    a static partition filter on ``existing``, so only the touched folders
+    are read instead of the whole history (Spark's dynamic pruning does not
+    apply to the build side of an anti join). Beyond the cap the filter is
+    skipped: the result is the same, only more is read.
     """
-    cols = list(partition_cols or []) + _as_list(key)
-    return incoming.join(existing.select(*cols), cols, "left_anti")
+    parts = list(partition_cols or [])
+    cols = parts + _as_list(key)
+    target = existing.select(*cols)
+    if parts:
+        touched = incoming.select(*parts).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+        if len(touched) <= MAX_TOUCHED_PARTITIONS:
+            if len(parts) == 1:
+                cond = F.col(parts[0]).isin([r[0] for r in touched if r[0] is not None])
+            else:
+                cond = F.lit(False)
+                for r in touched:
+                    cond = cond | _and([F.col(c) == F.lit(v) for c, v in zip(parts, r)])
+            target = target.filter(cond)
+    return incoming.join(target, cols, "left_anti")
 
 
 def insert_if_absent(
