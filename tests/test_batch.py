@@ -62,6 +62,9 @@ def test_batch_rerun_and_mart(spark, workdir):
     assert got.exceptAll(norm(expected)).count() == 0
     assert first_rows == got.count()
 
+    snap = spark.read.parquet(f"{wh}/mart/route_snapshot_hourly")
+    assert snap.count() > 0 and snap.filter(F.col("vehicle_cnt") > F.col("position_cnt")).count() == 0
+
     # append mode: a rerun adds a newer snapshot; readers see the latest only
     run_mart(spark, wh, LO, HI, snapshot_ts="2024-01-21 00:00:00")
     assert read_mart(spark, wh, latest=False).count() == 2 * first_rows
