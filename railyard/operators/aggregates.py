@@ -23,17 +23,21 @@ def trips_hourly(
     trips: DataFrame,
     ts: str = "start_ts",
     keys: tuple[str, ...] = ("route_id", "name", "transport_type"),
+    approx: bool = False,
 ) -> DataFrame:
     """E1 + E3-E5: trips per route version attributes and hour.
 
     ``trips`` carries ``trip_id, fare_amount, duration_sec, distance_m`` and
-    the key columns. Averages are exact (decimal sum / count).
+    the key columns. Averages are exact (decimal sum / count). ``approx``
+    counts trips with a HyperLogLog sketch (``approx_count_distinct``, about
+    5% error): one aggregation pass instead of the distinct plan's two.
     """
+    trip_cnt = F.approx_count_distinct("trip_id") if approx else F.count_distinct("trip_id")
     return (
         trips.withColumn("hour_bucket", hour_bucket(ts))
         .groupBy(*keys, "hour_bucket")
         .agg(
-            F.count_distinct("trip_id").alias("trip_cnt"),
+            trip_cnt.alias("trip_cnt"),
             exact_avg("fare_amount", MONEY).alias("avg_fare"),
             exact_avg("duration_sec", T.LongType()).alias("avg_duration_sec"),
             F.sum(F.col("distance_m").cast(DIST)).cast(T.DoubleType()).alias("sum_distance_m"),

@@ -117,6 +117,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/railyard/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 512 * 1024 * 1024, floor: int = 8) -> int:
+    """A ``spark.sql.shuffle.partitions`` value for a job reading
+    ``input_bytes``: one partition per ~``target_bytes`` of input, so each
+    reduce task fits executor memory without spilling. AQE then coalesces
+    small partitions at runtime; it cannot split ones that are too big
+    (outside skew joins), so the setting errs high. 100 TB gives ~205k.
+    """
+    return max(floor, -(-int(input_bytes) // int(target_bytes)))
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -127,5 +137,6 @@ __all__ = [
     "prepare_session",
     "checkpoint_dir",
     "scratch_path",
+    "shuffle_partitions_for",
     "default_parallelism",
 ]
