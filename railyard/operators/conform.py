@@ -21,12 +21,26 @@ from railyard.functions.exprs import audit
 REJECT = "_conform_errors"
 
 
-def _convert(src: T.DataType | None, name: str, target: T.DataType, safe: bool) -> Column:
+_EPOCH = {
+    "ns": lambda c: F.timestamp_micros(F.floor(c / 1000).cast("long")),
+    "us": lambda c: F.timestamp_micros(c.cast("long")),
+    "ms": lambda c: F.timestamp_millis(c.cast("long")),
+    "s": lambda c: F.timestamp_seconds(c.cast("long")),
+}
+
+
+def _convert(
+    src: T.DataType | None, name: str, target: T.DataType, safe: bool, epoch_unit: str = "s"
+) -> Column:
     if src is None:
         return F.lit(None).cast(target)
     c = F.col(f"`{name}`")
     if isinstance(target, (T.StructType, T.ArrayType)) and isinstance(src, T.StringType):
         return F.from_json(c, target)
+    if isinstance(target, (T.TimestampType, T.TimestampNTZType)) and isinstance(src, T.IntegralType):
+        # An integer in a timestamp column is an epoch count (pandas writes
+        # nanoseconds); an all-null column is inferred as int and stays null.
+        return _EPOCH[epoch_unit](c).cast(target)
     if src == target:
         return c
     return c.try_cast(target) if safe else c.cast(target)
@@ -38,6 +52,7 @@ def conform(
     *,
     safe: bool = False,
     keep_extra: tuple[str, ...] = (),
+    epoch_unit: str = "s",
 ) -> DataFrame:
     """B1: select exactly ``schema``'s columns in its order and types.
 
@@ -45,11 +60,13 @@ def conform(
     ``keep_extra``). JSON text becomes the declared struct. With ``safe``,
     values that do not cast become null and ``_conform_errors`` lists the
     columns where a non-null input was lost, so the caller can route those
-    rows to quarantine instead of failing the batch.
+    rows to quarantine instead of failing the batch. Integers declared as
+    timestamps are epoch counts in ``epoch_unit`` (``ns``, ``us``, ``ms``,
+    ``s``).
     """
     src = {f.name: f.dataType for f in df.schema.fields}
     cols = [
-        _convert(src.get(f.name), f.name, f.dataType, safe).alias(f.name)
+        _convert(src.get(f.name), f.name, f.dataType, safe, epoch_unit).alias(f.name)
         for f in schema.fields
     ]
     extra = [F.col(f"`{c}`") for c in keep_extra if c in src and c not in schema.names]
@@ -57,7 +74,8 @@ def conform(
         return df.select(*cols, *extra)
     lost = [
         F.when(
-            F.col(f"`{f.name}`").isNotNull() & _convert(src[f.name], f.name, f.dataType, True).isNull(),
+            F.col(f"`{f.name}`").isNotNull()
+            & _convert(src[f.name], f.name, f.dataType, True, epoch_unit).isNull(),
             F.lit(f.name),
         )
         for f in schema.fields

@@ -44,9 +44,13 @@ def read_raw(
 ) -> DataFrame:
     """A1: one entity of one landing partition, conformed when a schema is
     given. A file written by pandas and a folder written by Spark read the
-    same way."""
+    same way: nanosecond timestamps (which Spark refuses by default) are read
+    as epoch nanoseconds and conformed to microsecond timestamps."""
+    if spark.conf.get("spark.sql.legacy.parquet.nanosAsLong", "false") != "true":
+        # Only changes columns that would otherwise fail to read.
+        spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     df = spark.read.parquet(raw_path(base, date_str, name))
-    return conform(df, schema) if schema is not None else df
+    return conform(df, schema, epoch_unit="ns") if schema is not None else df
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -41,3 +41,25 @@ def test_partitioned_overwrite_replaces_only_present_dates(spark, workdir):
     assert rows == {(1, 1), (2, 1), (9, 2)}  # day 1 kept, day 2 replaced
     ranged = read_partition_range(spark, path, "dt", "hour_bucket", "2024-01-01 06:00:00", "2024-01-02 08:00:00")
     assert {r.route_id for r in ranged.collect()} == {2}
+
+
+def test_pandas_landing_with_nanosecond_timestamps(spark, workdir):
+    import os
+
+    import pandas as pd
+
+    from railyard.schemas import POSITIONS_RAW
+    from railyard.sources.parquet import read_raw
+
+    os.makedirs(f"{workdir}/raw/dt=2024-01-01")
+    pd.DataFrame(
+        {
+            "event_ts": pd.to_datetime(["2024-01-01 10:00:00.123456789", "2024-01-01 10:00:10"], format="ISO8601"),
+            "vehicle_id": ["V1", "V2"],
+            "speed": [10.5, 20.0],
+            "provider_ts": [None, None],  # all null: inferred as int
+        }
+    ).to_parquet(f"{workdir}/raw/dt=2024-01-01/vehicle_positions.parquet", index=False)
+    rows = read_raw(spark, f"{workdir}/raw", "2024-01-01", "vehicle_positions", POSITIONS_RAW).orderBy("vehicle_id").collect()
+    assert rows[0].event_ts == dt.datetime(2024, 1, 1, 10, 0, 0, 123456)
+    assert rows[1].provider_ts is None and str(rows[0].speed) == "10.500"
