@@ -661,3 +661,33 @@ SELECT th.route_id, th.hour_bucket, th.name, th.transport_type, th.trip_cnt, th.
        th.avg_duration_sec, th.sum_distance_m, COALESCE(sh.avg_speed, 0.0) AS avg_speed,
        {MART_TO} AS snapshot_ts
 FROM thv th LEFT JOIN shv sh ON th.route_id = sh.route_id AND th.hour_bucket = sh.hour_bucket"""
+
+
+SQL["mart_current_only"] = with_(ROUTES, DIM_ROUTE1, ROUTES2, DIM_ROUTE2, HTRIPS, POS) + f""",
+cur AS (SELECT route_sk, route_id, name, transport_type FROM dim_route2 WHERE is_current),
+tc AS (
+  SELECT h.trip_id, c.route_id, c.name, c.transport_type, h.start_ts, h.fare AS fare_amount,
+         h.duration_sec, h.distance_m
+  FROM htrips h JOIN dim_route1 r1 ON h.route_id = r1.route_id
+  JOIN cur c ON r1.route_sk = c.route_sk
+  WHERE h.start_ts >= {MART_FROM} AND h.start_ts < {MART_TO}),
+thc AS (
+  SELECT route_id, name, transport_type, date_trunc('hour', start_ts) AS hour_bucket,
+         COUNT(DISTINCT trip_id) AS trip_cnt,
+         CAST(SUM(fare_amount) AS DOUBLE) / COUNT(fare_amount) AS avg_fare,
+         CAST(SUM(CAST(duration_sec AS BIGINT)) AS DOUBLE) / COUNT(duration_sec) AS avg_duration_sec,
+         CAST(SUM(distance_m) AS DOUBLE) AS sum_distance_m
+  FROM tc GROUP BY 1, 2, 3, 4),
+pc AS (
+  SELECT c.route_id, p.event_ts, p.speed
+  FROM pos p JOIN dim_route1 r1 ON p.route_id = r1.route_id
+  JOIN cur c ON r1.route_sk = c.route_sk
+  WHERE p.event_ts >= {MART_FROM} AND p.event_ts < {MART_TO}),
+shc AS (
+  SELECT route_id, date_trunc('hour', event_ts) AS hour_bucket,
+         CAST(SUM(speed) AS DOUBLE) / COUNT(speed) AS avg_speed
+  FROM pc GROUP BY 1, 2)
+SELECT th.route_id, th.hour_bucket, th.name, th.transport_type, th.trip_cnt, th.avg_fare,
+       th.avg_duration_sec, th.sum_distance_m, COALESCE(sh.avg_speed, 0.0) AS avg_speed,
+       {MART_TO} AS snapshot_ts
+FROM thc th LEFT JOIN shc sh ON th.route_id = sh.route_id AND th.hour_bucket = sh.hour_bucket"""

@@ -82,6 +82,21 @@ def mart_route_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_mart(trips, positions, dim_route, fx.MART_FROM, fx.MART_TO, fx.MART_TO)
 
 
+@register("mart_current_only")
+def mart_current_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J11 with the current-versions-only join (the behaviour the warehouse
+    fixes, X13): facts keyed at the first load, the mart built after the
+    second batch; trips of changed routes point at closed versions and drop
+    out."""
+    first = first_route_dim(spark, sf_dir)
+    trips = hourly_trip_fact(spark, sf_dir, first)
+    positions = position_fact(spark, sf_dir, first)
+    return build_mart(
+        trips, positions, two_version_route_dim(spark, sf_dir), fx.MART_FROM, fx.MART_TO, fx.MART_TO,
+        all_versions=False,
+    )
+
+
 @register("trips_hourly")
 def trips_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip side of the mart over the whole event range."""
