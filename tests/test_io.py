@@ -63,3 +63,20 @@ def test_pandas_landing_with_nanosecond_timestamps(spark, workdir):
     rows = read_raw(spark, f"{workdir}/raw", "2024-01-01", "vehicle_positions", POSITIONS_RAW).orderBy("vehicle_id").collect()
     assert rows[0].event_ts == dt.datetime(2024, 1, 1, 10, 0, 0, 123456)
     assert rows[1].provider_ts is None and str(rows[0].speed) == "10.500"
+
+
+def test_staging_quarantines_values_that_do_not_cast(spark, workdir):
+    from railyard.plans.batch import stage_all
+    from railyard.sources.parquet import write_raw
+
+    raw, wh = f"{workdir}/raw", f"{workdir}/wh"
+    trips = spark.createDataFrame(
+        [("T1", "U1", "R1", "12.5"), ("T2", "U1", "R1", "not a number")],
+        "trip_id string, user_id string, route_id string, distance_m string",
+    )
+    write_raw(trips, raw, "2024-01-01", "trips")
+    counts = {}
+    staged = stage_all(spark, raw, wh, "2024-01-01", "2024-01-01 01:00:00", counts)
+    assert [r.trip_id for r in staged["trips"].collect()] == ["T1"] and counts["staging.trips"] == 1
+    bad = spark.read.parquet(f"{wh}/quarantine/trips/load_dt=2024-01-01").collect()
+    assert [(r.trip_id, r._conform_errors) for r in bad] == [("T2", ["distance_m"])]
