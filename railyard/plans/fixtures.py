@@ -244,9 +244,33 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-__all__ = [name for name in dir() if name.startswith(("raw_", "AS_OF", "MART_", "SECOND_", "LOAD_"))] + [
+__all__ = [
+    "TRANSPORT_TYPES",
+    "TRIP_EVENT_TYPES",
+    "POSITION_EVENT_TYPES",
+    "ROUTE_COUNT",
+    "STOP_COUNT",
+    "AS_OF_FIRST",
+    "AS_OF_SECOND",
+    "MART_FROM",
+    "MART_TO",
+    "SECOND_FROM",
+    "SECOND_TO",
+    "LOAD_TS",
+    "LOAD_DATE",
     "table",
+    "raw_routes",
+    "raw_routes_second_batch",
+    "raw_users",
+    "raw_users_second_batch",
+    "raw_vehicles",
+    "raw_vehicles_second_batch",
+    "raw_stops",
+    "raw_hourly_trips",
+    "raw_positions",
+    "positions_from_events",
     "trip_lines",
     "trip_id_of",
-    "TRANSPORT_TYPES",
+    "raw_daily_trips",
+    "raw_payments",
 ]
