@@ -3,7 +3,7 @@
 Positions arrive every 10 s per vehicle. The stream is read from a landing
 folder (Parquet or JSON files) or from Kafka, typed, and then:
 
-* ``route_speed`` (L2): tumbling-window mean speed per route under an
+* ``route_speed`` (L2): tumbling or hopping window mean speed per route under an
   event-time watermark -- state is per (window, route) and is dropped once
   the watermark passes the window end;
 * ``dedupe`` (L3): drop repeats of (vehicle, event time) within the
@@ -86,11 +86,15 @@ def route_speed(
     ts: str = "event_ts",
     window: str = "1 hour",
     delay: str = "10 minutes",
+    slide: str | None = None,
 ) -> DataFrame:
-    """L2: mean speed and position count per route per tumbling window."""
+    """L2: mean speed and position count per route per window: tumbling by
+    default, hopping when ``slide`` is shorter than ``window`` (each event
+    then counts in every window covering it)."""
     timed = with_event_time(positions, ts, delay)
+    win = F.window(ts, window, slide) if slide else F.window(ts, window)
     return (
-        timed.groupBy(F.window(ts, window).alias("w"), "route_id")
+        timed.groupBy(win.alias("w"), "route_id")
         .agg(
             exact_avg("speed", SPEED).alias("avg_speed"),
             F.count(F.lit(1)).alias("position_cnt"),

@@ -45,3 +45,14 @@ def test_dedupe_and_windows_across_runs(spark, workdir):
     assert deduped.filter(F.col("vehicle_id") == "V3").count() == 0
     windows = {r.window_start.hour: (r.position_cnt, r.avg_speed) for r in spark.read.parquet(f"{out}/speed").collect()}
     assert windows == {10: (2, 15.0), 11: (1, 30.0)}  # the late row never reached a window
+
+
+def test_hopping_windows_count_each_event_twice(spark, workdir):
+    t = dt.datetime(2024, 1, 1, 10, 10, 0)
+    rows = [(t, "V1", "R1", Decimal(10)), (t + dt.timedelta(hours=3), "V1", "R1", Decimal(20))]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{workdir}/landing/b1")
+    stream = file_stream(spark, f"{workdir}/landing/*", spark.createDataFrame([], SCHEMA).schema)
+    q = stage(route_speed(stream, window="1 hour", slide="30 minutes"), f"{workdir}/out", f"{workdir}/ck")
+    run_to_end(q)
+    starts = sorted(r.window_start.strftime("%H:%M") for r in spark.read.parquet(f"{workdir}/out").collect())
+    assert starts == ["09:30", "10:00"]  # the 10:10 event, in both closed windows
