@@ -1,0 +1 @@
+"""Structured Streaming over vehicle positions."""
