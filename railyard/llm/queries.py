@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railyard.llm import fingerprints, lines, mixing, oracle, urls
+from railyard.llm import fingerprints, lines, mixing, oracle, quality, toxicity, urls
 from railyard.llm.common import table
 from railyard.session import prepare_session
 
@@ -32,12 +32,32 @@ def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    return toxicity.toxicity_scores(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages", "page_id", "url"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality")
+    return quality.quality_scores(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 _QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_fingerprints, op2_mixing, op3_line_frequency, op6_url_filter)
+    f.__name__: f
+    for f in (
+        op1_fingerprints,
+        op2_mixing,
+        op3_line_frequency,
+        op5_toxicity,
+        op6_url_filter,
+        op7_quality,
+    )
 }
 
 
