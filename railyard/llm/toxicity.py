@@ -100,12 +100,21 @@ def fit_rows(
     epochs: int = 8,
     l1: float = 1e-4,
     counterfactual: float = 1.0,
+    min_texts: int = 3,
     seed: int = SEED,
 ) -> Model:
-    """Proximal AdaGrad on log loss + counterfactual penalty + L1."""
+    """Proximal AdaGrad on log loss + counterfactual penalty + L1.
+
+    Features of fewer than ``min_texts`` labelled texts get no weight: they
+    would only learn single texts by heart.
+    """
     share = (labels.sum() + 1) / (len(labels) + 2)
     if len(np.unique(labels)) < 2:
         return Model(np.zeros(DIM, np.float32), float(np.log(share / (1 - share))))
+    texts_with = np.zeros(DIM, np.int64)
+    for ids, _ in rows:
+        texts_with[ids] += 1
+    rows = [(ids[ok], times[ok]) for ids, times in rows for ok in [texts_with[ids] >= min_texts]]
     rng = np.random.default_rng(seed)
     terms = [np.array(features(t)) for t in IDENTITY_TERMS]
     w, b = np.zeros(DIM), float(np.log(share / (1 - share)))
