@@ -121,4 +121,14 @@ SELECT page_id, host, path, best.r AS rule,
        coalesce(best.v, CASE WHEN pattern IS NULL THEN 'allow' ELSE 'block' END) AS verdict, pattern
 FROM ruled"""
 
-SQL = {"op2_mixing": OP2, "op3_line_frequency": OP3, "op6_url_filter": OP6}
+OP9 = """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+k AS (SELECT payload_digest, max(page_id) AS keeper FROM p WHERE payload_bytes >= 1000
+      GROUP BY payload_digest HAVING count(*) > 1 AND max(page_id) IS NOT NULL)
+SELECT p.*, CASE WHEN page_id IS DISTINCT FROM keeper AND keeper IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM keeper THEN keeper END AS refers_to
+FROM p LEFT JOIN k ON p.payload_digest = k.payload_digest AND p.payload_bytes >= 1000"""
+
+SQL = {"op2_mixing": OP2, "op3_line_frequency": OP3, "op6_url_filter": OP6, "op9_warc": OP9}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railyard.llm import fingerprints, lines, mixing, oracle, quality, toxicity, urls
+from railyard.llm import fingerprints, lines, mixing, neardup, oracle, packing, quality, toxicity, urls, warc
 from railyard.llm.common import table
 from railyard.session import prepare_session
 
@@ -48,6 +48,22 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(docs, labels).select("doc_id", "held_out", "score", "predicted")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 _QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -57,6 +73,9 @@ _QUERIES: dict[str, Query] = {
         op5_toxicity,
         op6_url_filter,
         op7_quality,
+        op8_packing,
+        op9_warc,
+        op10_near_duplicates,
     )
 }
 
