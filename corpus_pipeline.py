@@ -1,5 +1,81 @@
-"""placeholder"""
-STAGES = []
+"""Documents to packed training sequences: quality rules, quality classifier,
+near duplicates, mixing to target weights, packing.
+
+Every stage takes all rows its predecessor kept and, but for the last, returns
+the columns of ``documents``; its result is written as Parquet before the next
+one starts. SQL cannot express the classifier, the signatures or the
+tokenizer, so there is no oracle SQL; the tests hold the stages against
+brute-force versions.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from railyard.llm import lines, mixing, neardup, packing, quality
+from railyard.llm.common import table, written
+from railyard.session import prepare_session
+
+#: The columns of ``documents``; others are left behind at the first stage.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and keep enough of their lines."""
+    return lines.quality_rules(docs, *COLUMNS).where("kept").select("row.*")
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted to be of quality; the model is fitted on this stage's input."""
+    docs = docs.select(*COLUMNS)
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality")
+    vectors, network = quality.fit(docs, labels)
+    return quality.score(docs, vectors, network).where("predicted = 1").select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: the one with the smallest id.
+
+    Rows repeated with the same id and text are one document as well; they are
+    the only texts that are grouped here.
+    """
+    docs = docs.select(*COLUMNS)
+    found = written(neardup.near_duplicates(docs), "found")
+    dropped = written(found.where("NOT kept").select("doc_id").distinct(), "dropped")
+    repeated = written(
+        found.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id"),
+        "repeated",
+    )
+    kept = docs.join(dropped, "doc_id", "left_anti")
+    once = kept.join(repeated, "doc_id", "left_anti")
+    return once.union(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])).select(*COLUMNS)
+
+
+def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The copies drawn for the mix, in training order."""
+    return mixing.drawn_texts(docs, *COLUMNS).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Training sequences of 2048 token ids, one row per piece."""
+    return packing.pack(docs.select("doc_id", "text"))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("quality classifier", quality_classifier),
+    ("near duplicates", near_duplicates),
+    ("mixing", mixing_to_weights),
+    ("packing", packed),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result is written and read again."""
+    prepare_session(spark)
+    docs = table(spark, sf_dir, "documents", *COLUMNS)
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+    return docs

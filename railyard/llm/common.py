@@ -30,6 +30,17 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
+def settled(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with the named columns computed before anything above filters.
+
+    A filter is otherwise copied down through projections, and with it whole
+    expressions into the lambdas of others, where they run once per element.
+    Exploding an array of one struct stops that.
+    """
+    rest = [c for c in df.columns if c not in columns]
+    return df.select(*rest, F.inline(F.array(F.struct(*columns))))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared scratch folder and read it back.
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from railyard.llm.common import words
+from railyard.llm.common import settled, words
 
 K = 128
 SHINGLE = 5
@@ -160,7 +160,7 @@ def edited_fingerprints(df: DataFrame, k: int = K) -> DataFrame:
     )
     d = d.withColumn("edited", edited).withColumn("next_sketch", F.col("next.sketch")).drop("next")
     d = with_sketch(d, "edited", "edited_sketch", k)
-    return d.select(
+    d = d.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
@@ -169,3 +169,4 @@ def edited_fingerprints(df: DataFrame, k: int = K) -> DataFrame:
         resemblance(F.col("sketch"), F.col("edited_sketch"), k).alias("near_edited"),
         resemblance(F.col("sketch"), F.col("next_sketch"), k).alias("near_next"),
     )
+    return settled(d, "fingerprint", "edited_fingerprint", "near_edited", "near_next")

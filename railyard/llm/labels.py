@@ -3,6 +3,10 @@ sample of them."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,3 +35,19 @@ def labelled_sample(labels: DataFrame, label: str, rows: int = SAMPLE_ROWS) -> D
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
+
+
+def with_scores(docs: DataFrame, probability: Callable[[list], np.ndarray], threshold: float) -> DataFrame:
+    """``docs`` with ``score``, the probability for its ``text``, and
+    ``predicted`` (score >= threshold). Columns pass through as they are."""
+    docs = docs.drop("score", "predicted")
+    at = docs.columns.index("text")
+    schema = docs.select("*", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = probability(batch.column(at).to_pylist())
+            added = [pa.array(p, pa.float64()), pa.array(p >= threshold).cast(pa.int32())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, "score", "predicted"])
+
+    return docs.mapInArrow(run, schema)

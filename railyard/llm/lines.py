@@ -20,11 +20,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from railyard.llm.common import SPACE, UPPER, words
+from railyard.llm.common import SPACE, UPPER, settled, words, written
 
 SYMBOLS = "[^#*$%&|<>]+"
 
 
+def _row_key() -> Column:
+    """A row is known by its id, host and text: repeated rows fare alike."""
+    return F.struct("doc_id", "host", "text_hash").alias("row_key")
+
+
 def _hash3(w: Column) -> Column:
     return F.when(
         F.size(w) >= 3,
@@ -35,22 +40,26 @@ def _hash3(w: Column) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
-def base_measures(df: DataFrame) -> DataFrame:
-    """``doc_id, host, text_hash`` and the base measures of every text.
+def base_measures(df: DataFrame, *keep: str) -> DataFrame:
+    """``doc_id, host, text_hash``, the base measures of every text and a
+    struct ``row`` of the columns to keep.
 
     Words in repeated three-word windows: windows are sorted by hash, so equal
     ones are neighbours; the starts of those with an equal neighbour are then
     walked in order, each covering three words less what its predecessor has
     covered already. Texts without a repeated window skip the sort.
     """
+    kept = [F.struct(*keep).alias("row")] if keep else []
     d = df.select(
         "doc_id",
         F.col("source").alias("host"),
         F.coalesce("text", F.lit("")).alias("text"),
+        *kept,
     )
     d = d.select(
         "doc_id",
         "host",
+        *(["row"] if keep else []),
         F.sha2("text", 256).alias("text_hash"),
         F.length(F.regexp_replace("text", SYMBOLS, "")).cast("long").alias("n_symbols"),
         F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "").alias("lines"),
@@ -89,9 +98,10 @@ def base_measures(df: DataFrame) -> DataFrame:
         ),
         lambda a: a["n"],
     )
-    return d.withColumn(
+    d = d.withColumn(
         "n_repeat_words", F.when(F.col("placed").isNull(), F.lit(0).cast("long")).otherwise(covered)
     ).drop("placed")
+    return settled(d, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def line_rows(df: DataFrame) -> DataFrame:
@@ -131,39 +141,48 @@ def frequent_lines(lines: DataFrame, docs: DataFrame, max_share: int, min_docs:
     )
 
 
+def removed_words(df: DataFrame, max_share: int, min_docs: int) -> DataFrame:
+    """``row_key, removed_words`` of the documents that lose a line."""
+    lines = line_rows(df)
+    docs = df.select(
+        F.col("source").alias("host"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_hash")
+    )
+    return (
+        lines.withColumn("host_key", F.struct("host"))
+        .join(frequent_lines(lines, docs, max_share, min_docs), ["host_key", "line"])
+        .where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
+        .groupBy(_row_key(), "place")  # repeated rows have the same lines
+        .agg(F.max("line_words").alias("line_words"))
+        .groupBy("row_key")
+        .agg(F.sum("line_words").alias("removed_words"))
+    )
+
+
 def quality_rules(
     df: DataFrame,
+    *keep: str,
     max_share: int = 10,
     min_docs: int = 20,
     min_left: int = 30,
     min_words: int = 50,
     max_repeat: int = 50,
 ) -> DataFrame:
-    """Base measures, removed words and the verdict for every row of ``df``.
+    """Base measures, removed words and the verdict for every row of ``df``;
+    the columns named in ``keep`` come along in a struct ``row``.
 
     ``df`` needs ``doc_id, text, source``. Shuffled are one small row per line
     (counted with map-side combine, so a line in a third of all documents is
-    one partial row per task) and one small row per document; texts are not.
+    one partial row per task) and one small row per document that loses a
+    line. Those are written, so that the last join is planned by their size.
     """
-    docs = base_measures(df)
-    lines = line_rows(df)
-    frequent = frequent_lines(lines, docs, max_share, min_docs)
-    row_key = F.struct("doc_id", "host", "text_hash").alias("row_key")
-    removed = (
-        lines.withColumn("host_key", F.struct("host"))
-        .join(frequent, ["host_key", "line"])
-        .where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
-        .groupBy(row_key, "place")  # repeated rows have the same lines
-        .agg(F.max("line_words").alias("line_words"))
-        .groupBy("row_key")
-        .agg(F.sum("line_words").alias("removed_words"))
-    )
+    removed = written(removed_words(df, max_share, min_docs), "removed")
     base_failed = (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > max_repeat * F.col("n_words")
     )
     depleted = 100 * (F.col("n_words") - F.col("removed_words")) < min_left * F.col("n_words")
     return (
-        docs.select("*", row_key)
+        base_measures(df, *keep)
+        .select("*", _row_key())
         .join(removed, "row_key", "left")
         .drop("row_key")
         .withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))

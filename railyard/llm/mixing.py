@@ -72,13 +72,19 @@ def _cycle(values: list[Column], rank: Column) -> Column:
     return F.element_at(F.array(*values), (rank % len(values) + 1).cast("int"))
 
 
-def sized(df: DataFrame) -> DataFrame:
-    """``doc_id, source, size, place``: one slim row per document."""
+def sized(df: DataFrame, *keep: str) -> DataFrame:
+    """``doc_id, source, size`` and the place in its source, per document, and
+    a struct ``row`` of the columns to keep."""
+    named = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), "source"))
+    place = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     return df.select(
         "doc_id",
         "source",
         F.size(words(F.col("text"))).cast("long").alias("size"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("place"),
+        place.alias("place"),
+        named.alias("key"),
+        F.substring(place, 1, PART_DIGITS).alias("part"),
+        *([F.struct(*keep).alias("row")] if keep else []),
     )
 
 
@@ -120,19 +126,17 @@ def targets(
     return found.select("source", "source_size", "weight", "segments", target.alias("target"))
 
 
-def mix(df: DataFrame, **options) -> DataFrame:
+def mix(df: DataFrame, *keep: str, **options) -> DataFrame:
     """Per document what the mix takes of it and when.
 
     Returns ``doc_id, source, size, source_size, target, taken`` and
-    ``copies``, an array of (words, position) with one entry per copy drawn.
-    Texts are read once; after that slim rows are shuffled, by (source, part
-    of the order key). The prefix sum over a source is the sum of its earlier
-    parts plus a running sum inside the part.
+    ``copies``, an array of (words, position) with one entry per copy drawn;
+    the columns named in ``keep`` come along in a struct ``row``. Rows are
+    shuffled once, by (source, part of the order key). The prefix sum over a
+    source is the sum of its earlier parts plus a running sum inside the part.
+    Without columns to keep, the slim rows are written and texts read once.
     """
-    named = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), "source"))
-    docs = written(
-        sized(df).withColumns({"key": named, "part": F.substring("place", 1, PART_DIGITS)}), "mix"
-    )
+    docs = sized(df, *keep) if keep else written(sized(df), "mix")
     parts = docs.groupBy("key", "source", "part").agg(F.sum("size").alias("part_size"))
     totals = parts.groupBy("key", "source").agg(F.sum("part_size").alias("source_size"))
     goal = targets(totals.drop("key"), **options).withColumnRenamed("source", "goal_source")
@@ -174,7 +178,25 @@ def mix(df: DataFrame, **options) -> DataFrame:
                 ).alias("position"),
             ),
         ).alias("copies"),
+        *(["row"] if keep else []),
+    )
+
+
+def drawn_texts(df: DataFrame, *columns: str, **options) -> DataFrame:
+    """One row per copy drawn, range-sorted by training position, with the
+    columns of ``df`` that are named; a copy drawn in part holds the first
+    words of its text, joined by single spaces."""
+    copies = (
+        mix(df, *columns, **options)
+        .select("row.*", "size", F.explode("copies").alias("copy"))
+        .withColumn(
+            "text",
+            F.when(F.col("copy.words") == F.col("size"), F.col("text")).otherwise(
+                F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("copy.words").cast("int")), " ")
+            ),
+        )
     )
+    return copies.orderBy("copy.position", "doc_id").select(*columns)
 
 
 def in_training_order(mixed: DataFrame) -> DataFrame:

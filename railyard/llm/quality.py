@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railyard.llm.labels import SAMPLE_ROWS, held_out, labelled_sample
+from railyard.llm.labels import SAMPLE_ROWS, held_out, labelled_sample, with_scores
 
 STEMS, MARKS = 4096, 64
 UNITS = STEMS + MARKS
@@ -240,18 +240,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
 
 def score(docs: DataFrame, vectors: np.ndarray, network: Network, threshold: float = 0.5) -> DataFrame:
     """``docs`` with ``score`` and ``predicted``; all its columns stay."""
-    schema = docs.select(
-        "*", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")
-    ).schema
+    cache = Units()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = Units()
-        for b in batches:
-            x = np.array([pooled(units_of(t, cache), vectors) for t in b["text"]]).reshape(len(b), FEATURES)
-            p = network.probability(x)
-            yield b.assign(score=p, predicted=(p >= threshold).astype(np.int32))
+    def probabilities(texts: list[str | None]) -> np.ndarray:
+        x = np.array([pooled(units_of(t, cache), vectors) for t in texts])
+        return network.probability(x.reshape(len(texts), FEATURES))
 
-    return docs.mapInPandas(run, schema)
+    return with_scores(docs, probabilities, threshold)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

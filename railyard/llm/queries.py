@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railyard.llm import fingerprints, lines, mixing, neardup, oracle, packing, quality, toxicity, urls, warc
+from railyard.llm import fingerprints, html_text, lines, mixing, neardup, oracle, packing, quality, toxicity, urls, warc
 from railyard.llm.common import table
 from railyard.session import prepare_session
 
@@ -32,6 +32,10 @@ def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
@@ -70,6 +74,7 @@ _QUERIES: dict[str, Query] = {
         op1_fingerprints,
         op2_mixing,
         op3_line_frequency,
+        op4_html_text,
         op5_toxicity,
         op6_url_filter,
         op7_quality,

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railyard.llm.labels import SAMPLE_ROWS, held_out, labelled_sample
+from railyard.llm.labels import SAMPLE_ROWS, held_out, labelled_sample, with_scores
 
 BITS = 18
 DIM = 1 << BITS
@@ -195,19 +195,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SA
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """``docs`` with ``score`` and ``predicted``; all its columns stay."""
-    schema = docs.select("*", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        stems, weights = Stems(), WordWeights(model)
-        for b in batches:
-            # Sorted, so that equal texts add up in the same order everywhere.
-            logit = np.array(
-                [model.intercept + sum(weights[w] for w in sorted(distinct_words(t, stems))) for t in b["text"]]
-            )
-            p = 1 / (1 + np.exp(-np.clip(logit.astype(float), -40, 40)))
-            yield b.assign(score=p, predicted=(p >= threshold).astype(np.int32))
-
-    return docs.mapInPandas(run, schema)
+    def logits(texts: list[str | None]) -> np.ndarray:
+        stems, weights = state.setdefault("stems", Stems()), state.setdefault("weights", WordWeights(model))
+        # Sorted, so that equal texts add up in the same order everywhere.
+        return np.array(
+            [model.intercept + sum(weights[w] for w in sorted(distinct_words(t, stems))) for t in texts], dtype=float
+        )
+
+    state: dict = {}
+    return with_scores(docs, lambda texts: 1 / (1 + np.exp(-np.clip(logits(texts), -40, 40))), threshold)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
