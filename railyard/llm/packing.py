@@ -22,10 +22,8 @@ their own; an empty table gives an empty table.
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +35,6 @@ SEQUENCE = 2048
 MAX_SEGMENTS = 64
 END_TOKEN = 1
 POOL = 256
-CACHE_WORDS = 200_000
-#: A space before white space or the end: words cannot be cut at spaces there.
-ODD_SPACES = re.compile(r" (?:\s|$)")
 
 
 def default_vocabulary() -> str:
@@ -49,26 +44,8 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-class WordIds(dict):
-    """Chunk of text -> its token ids, remembered."""
-
-    def __init__(self, encode):
-        self.encode = encode
-
-    def __missing__(self, chunk: str) -> list[int]:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[chunk] = got = self.encode(chunk)
-        return got
-
-
 class Encoder:
-    """Token ids of whole texts; words are looked up, new ones encoded.
-
-    The vocabulary's pattern starts a token at every single space before a
-    visible character, so a text can be cut there and the cuts encoded apart.
-    Texts with other spacing are encoded in one go.
-    """
+    """Token ids of whole texts; strings of special tokens are ordinary text."""
 
     def __init__(self, vocabulary: str):
         import public_tokenizers
@@ -76,19 +53,12 @@ class Encoder:
 
         with open(vocabulary, "rb") as f:
             ranks = {base64.b64decode(k): int(v) for k, v in map(bytes.split, f)}
-        coder = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.encode = coder.encode_ordinary
-        self.words = WordIds(self.encode)
+        self.coder = tiktoken.Encoding(
+            "bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
 
     def ids(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.empty(0, np.uint32)
-        if ODD_SPACES.search(text):
-            return np.array(self.encode(text), dtype=np.uint32)
-        first, *rest = text.split(" ")
-        words = self.words
-        got = chain(words[first] if first else (), *[words[" " + w] for w in rest])
-        return np.fromiter(got, dtype=np.uint32)
+        return np.array(self.coder.encode_ordinary(text) if text else [], dtype=np.uint32)
 
 
 @dataclass(slots=True)
