@@ -60,8 +60,10 @@ def merge(a: Column, b: Column, k: int = K) -> Column:
 
 
 def resemblance(a: Column, b: Column, k: int = K) -> Column:
-    """Estimated intersection over union of the shingle sets."""
-    union = merge(a, b, k)
+    """Intersection over union of the shingle sets: exact when both sketches
+    hold all shingles, else estimated from the k smallest of the union."""
+    whole = (F.size(a) < k) & (F.size(b) < k)
+    union = F.slice(F.sort_array(F.array_union(a, b)), F.lit(1), F.when(whole, 2 * k).otherwise(k))
     both = F.size(F.array_intersect(F.array_intersect(union, a), b))
     return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(both / F.size(union))
 

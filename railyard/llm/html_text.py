@@ -82,6 +82,7 @@ LABELLED = (
     (120, 0.2, 3, 1.0, 50, 0.0, 0, UNMARKED, 1), (14, 0.0, 60, 0.0, 45, 0.0, 0, UNMARKED, 1),
     (3, 0.0, 50, 0.0, 40, 0.0, 0, UNMARKED, 1), (5, 0.0, 30, 0.0, 80, 0.1, 0, UNMARKED, 1),
     (6, 0.0, 2, 1.0, 70, 0.0, 1, UNMARKED, 1), (8, 0.0, 0, 0.0, 25, 0.0, 1, UNMARKED, 1),
+    (3, 0.0, 1, 1.0, 40, 0.0, 1, UNMARKED, 1), (2, 0.0, 3, 1.0, 55, 0.0, 1, UNMARKED, 1),
     (4, 0.0, 90, 0.0, 60, 0.0, 1, UNMARKED, 1), (200, 0.0, 0, 0.0, 0, 0.0, 0, UNMARKED, 1),
     (30, 0.0, 2, 1.0, 2, 1.0, 0, UNMARKED, 1), (18, 0.0, 0, 0.0, 0, 0.0, 0, UNMARKED, 1),
     (1, 1.0, 1, 1.0, 1, 1.0, 0, UNMARKED, 0), (3, 1.0, 2, 1.0, 60, 0.0, 0, UNMARKED, 0),

@@ -120,9 +120,9 @@ def _ends(file: RangeReader) -> tuple[int, int, int]:
     """Number of members, size and place of the central directory."""
     tail_at = max(0, file.size - 65_557)
     tail = file.at(tail_at, file.size - tail_at)
-    end = tail.rfind(b"PK\x05\x06")
+    end = tail.rfind(b"PK\x05\x06", 0, max(0, len(tail) - 18))
     while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
-        end = tail.rfind(b"PK\x05\x06", 0, end)
+        end = tail.rfind(b"PK\x05\x06", 0, end + 3)  # in a comment: look before it
     if end < 0:
         raise ValueError("no end of central directory: not a ZIP file")
     count, size, place = struct.unpack_from("<HII", tail, end + 10)
