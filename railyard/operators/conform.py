@@ -22,7 +22,8 @@ REJECT = "_conform_errors"
 
 
 _EPOCH = {
-    "ns": lambda c: F.timestamp_micros(F.floor(c / 1000).cast("long")),
+    # Exact: a double would lose the last microsecond of some instants.
+    "ns": lambda c: F.timestamp_micros(F.floor(c.cast("decimal(20,0)") / F.lit(1000)).cast("long")),
     "us": lambda c: F.timestamp_micros(c.cast("long")),
     "ms": lambda c: F.timestamp_millis(c.cast("long")),
     "s": lambda c: F.timestamp_seconds(c.cast("long")),
@@ -46,6 +47,15 @@ def _convert(
     return c.try_cast(target) if safe else c.cast(target)
 
 
+def _broken_json(c: Column, target: T.DataType) -> Column:
+    """JSON text that does not parse as ``target``: a struct of nulls else."""
+    if not isinstance(target, T.StructType):
+        return F.lit(False)
+    bad = "_broken"
+    schema = T.StructType([*target.fields, T.StructField(bad, T.StringType())])
+    return F.from_json(c, schema, {"columnNameOfCorruptRecord": bad})[bad].isNotNull()
+
+
 def conform(
     df: DataFrame,
     schema: T.StructType,
@@ -75,7 +85,14 @@ def conform(
     lost = [
         F.when(
             F.col(f"`{f.name}`").isNotNull()
-            & _convert(src[f.name], f.name, f.dataType, True, epoch_unit).isNull(),
+            & (
+                _convert(src[f.name], f.name, f.dataType, True, epoch_unit).isNull()
+                | (
+                    _broken_json(F.col(f"`{f.name}`"), f.dataType)
+                    if isinstance(src[f.name], T.StringType)
+                    else F.lit(False)
+                )
+            ),
             F.lit(f.name),
         )
         for f in schema.fields

@@ -15,6 +15,8 @@ Layout:
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -144,8 +146,9 @@ def current_version(spark: SparkSession, base: str) -> str | None:
     """Name of the version the table's pointer designates, if any."""
     if not path_exists(spark, _pointer(base)):
         return None
-    row = spark.read.json(_pointer(base)).first()
-    return row["version"] if row else None
+    marks = spark.read.schema("seq long, version string").json(_pointer(base))
+    row = marks.agg(F.max_by("version", F.coalesce("seq", F.lit(0))).alias("version")).first()
+    return row["version"]
 
 
 def read_current(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -173,9 +176,12 @@ def write_version(df: DataFrame, base: str, version: str) -> str:
 
 
 def write_version_pointer(spark: SparkSession, base: str, version: str) -> None:
-    """Switch a versioned table to an already written ``version``."""
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode(
-        "overwrite"
+    """Switch a versioned table to an already written ``version``.
+
+    A switch is a new file and the latest counts: no moment without a pointer.
+    """
+    spark.createDataFrame([(time.time_ns(), version)], "seq long, version string").coalesce(1).write.mode(
+        "append"
     ).json(_pointer(base))
 
 

@@ -71,3 +71,62 @@ def test_x14_unrouted_trips_leave_the_mart_and_are_reported(spark):
     rows = mart.collect()
     assert [(r.route_id, r.trip_cnt, r.avg_speed) for r in rows] == [("R1", 1, 10.0)]
     assert [r.trip_id for r in unrouted_trips(trips, dim, "2024-01-01 00:00:00", "2024-01-02 00:00:00").collect()] == ["T2"]
+
+
+def test_keys_are_unique_over_all_dates_and_null_dates(spark, workdir):
+    """A key landed again on another date, or without a date, is not added twice."""
+    from railyard.plans.batch import _append_keyed
+
+    def load(rows):
+        df = spark.createDataFrame(rows, "trip_id string, start_ts timestamp")
+        return _append_keyed(spark, workdir, "fact_trip", df, "trip_id", "trip_sk", "trip_date", "start_ts")
+
+    first = dt.datetime(2024, 3, 1, 8)
+    assert load([("T1", first), ("T2", None)]) == 2
+    assert load([("T1", first + dt.timedelta(days=1)), ("T2", None), ("T3", first)]) == 1
+    rows = spark.read.parquet(f"{workdir}/fact/fact_trip").collect()
+    assert sorted(r.trip_id for r in rows) == ["T1", "T2", "T3"]
+    assert sorted(r.trip_sk for r in rows) == [1, 2, 3]
+
+
+def test_reserved_keys_are_not_given_again(spark, workdir):
+    """A run that stopped after reserving leaves a gap, not a repeated surrogate."""
+    from railyard.plans.batch import read_high_water, write_high_water
+
+    write_high_water(spark, workdir, "fact_trip", 7)
+    write_high_water(spark, workdir, "fact_trip", 5)
+    assert read_high_water(spark, workdir, "fact_trip") == 7
+
+
+def test_rules_reject_before_dedupe(spark, workdir):
+    from railyard.plans.batch import _clean
+
+    staged = {
+        "users": spark.createDataFrame(
+            [(None, "a"), (None, "b"), ("U1", "c"), ("U1", "d")], "user_id string, city string"
+        ).selectExpr(
+            "user_id", "timestamp'2024-01-01' AS created_at", "city", "'x' AS load_id", "timestamp'2024-01-01' AS ingestion_ts"
+        )
+    }
+    clean = _clean(spark, workdir, staged, "users", "2024-01-01")
+    lost = spark.read.parquet(f"{workdir}/quarantine_rules/users/load_dt=2024-01-01")
+    assert clean.count() == 1 and lost.count() == 2
+
+
+def test_nanoseconds_and_broken_json(spark):
+    from pyspark.sql import types as T
+
+    from railyard.operators.conform import REJECT, conform
+
+    ns = [1_709_251_200_123_457_000 + i * 1_000 for i in range(500)] + [-1_500]
+    rows = [(n, '{"stops": ["a"]}') for n in ns] + [(0, "not json")]
+    schema = T.StructType(
+        [
+            T.StructField("ts", T.TimestampType()),
+            T.StructField("j", T.StructType([T.StructField("stops", T.ArrayType(T.StringType()))])),
+        ]
+    )
+    df = conform(spark.createDataFrame(rows, "ts long, j string"), schema, safe=True, epoch_unit="ns")
+    got = df.selectExpr("unix_micros(ts) AS us", f"size({REJECT}) AS bad").collect()
+    assert [r.us for r in got] == [n // 1000 for n in ns] + [0]
+    assert [r.bad for r in got] == [0] * len(ns) + [1]

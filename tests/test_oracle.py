@@ -9,6 +9,7 @@ import pytest
 
 from conftest import SMALL
 import __spark_entry__ as entry
+from railyard.plans.registry import queries as own_queries
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
@@ -40,14 +41,11 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(own_queries()))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SMALL)
     got = df.collect()
-    sql = entry.oracle_sql().get(name)
-    if sql is None:
-        assert len(got) >= 0
-        return
+    sql = entry.oracle_sql()[name]  # every query of the warehouse has its oracle
     cur = con.execute(sql)
     want = cur.fetchall()
     cols = [d[0] for d in cur.description]
