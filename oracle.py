@@ -294,6 +294,19 @@ SQL["reject_trips"] = with_(LI_DEDUP, DTRIPS, TRIPS_TAGGED) + (
 SQL["reject_positions"] = with_(POS) + f"""
 SELECT event_id, reasons FROM (SELECT event_id, {_reasons(POSITION_RULES)} AS reasons FROM pos)
 WHERE reasons <> ''"""
+SQL["reject_faulty_positions"] = with_(POS) + f""",
+faulty AS (
+  SELECT event_id, CASE WHEN event_id % 11 = 0 THEN lat * 2 ELSE lat END AS lat,
+         CASE WHEN event_id % 13 = 0 THEN lon * -5 ELSE lon END AS lon,
+         CASE WHEN event_id % 17 = 0 THEN -speed - 1 ELSE speed END AS speed,
+         CASE WHEN event_id % 19 <> 0 THEN route_id END AS route_id,
+         CASE WHEN event_id % 23 <> 0 THEN vehicle_id END AS vehicle_id,
+         CASE WHEN event_id % 29 <> 0 THEN event_ts END AS event_ts
+  FROM pos)
+SELECT event_id, reasons FROM (SELECT event_id, {_reasons(POSITION_RULES)} AS reasons FROM faulty)
+WHERE reasons <> ''"""
+SQL["epoch_conform"] = """
+SELECT event_id, ts, CASE WHEN event_id % 7 = 0 AND props IS NOT NULL THEN 'props' ELSE '' END AS rejected FROM events"""
 SQL["dup_keys"] = with_(DTRIPS_ALL) + """
 SELECT trip_id, COUNT(*) AS copies FROM dtrips_all GROUP BY trip_id HAVING COUNT(*) > 1"""
 
@@ -455,11 +468,14 @@ SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk, d AS full_date,
 FROM days"""
 
 SQL["dim_time"] = with_(POS) + """,
-keys AS (SELECT DISTINCT CAST(hour(event_ts) * 3600 + minute(event_ts) * 60 + second(event_ts) AS INTEGER) AS k FROM pos)
-SELECT k AS time_sk, lpad(CAST(k // 3600 AS VARCHAR), 2, '0') || ':' || lpad(CAST((k % 3600) // 60 AS VARCHAR), 2, '0') AS hh24mi,
-       CAST(k // 3600 AS SMALLINT) AS hour, CAST((k % 3600) // 60 AS SMALLINT) AS minute,
-       CAST(k % 60 AS SMALLINT) AS second
-FROM keys"""
+used AS (
+  SELECT CAST(hour(event_ts) * 3600 + minute(event_ts) * 60 + second(event_ts) AS INTEGER) AS k, COUNT(*) AS n
+  FROM pos GROUP BY 1)
+SELECT CAST(d.k AS INTEGER) AS time_sk,
+       lpad(CAST(d.k // 3600 AS VARCHAR), 2, '0') || ':' || lpad(CAST((d.k % 3600) // 60 AS VARCHAR), 2, '0') AS hh24mi,
+       CAST(d.k // 3600 AS SMALLINT) AS hour, CAST((d.k % 3600) // 60 AS SMALLINT) AS minute,
+       CAST(d.k % 60 AS SMALLINT) AS second, COALESCE(u.n, 0) AS position_cnt
+FROM range(86400) AS d(k) LEFT JOIN used u ON d.k = u.k"""
 
 SQL["surrogate_keys"] = with_(USERS) + """
 SELECT row_number() OVER (ORDER BY user_id) AS user_sk, user_id, city, lang FROM users"""
@@ -492,6 +508,33 @@ SQL["scd2_initial"] = with_(ROUTES, DIM_ROUTE1) + f" SELECT {ROUTE_COLS} FROM di
 
 SQL["scd2_merge"] = with_(ROUTES, DIM_ROUTE1, ROUTES2, DIM_ROUTE2) + f" SELECT {ROUTE_COLS} FROM dim_route2"
 
+# The second date once more: +1 on the fare of keys ending in 0, 1 or 3. Keys
+# ending in 0 or 1 opened their version on that date (corrected in place), so
+# do the new ones; a version that was not opened then is closed.
+SQL["scd2_same_date"] = with_(ROUTES, DIM_ROUTE1, ROUTES2, DIM_ROUTE2) + f""",
+again AS (
+  SELECT route_id, name, transport_type,
+         CASE WHEN route_id % 10 < 4 THEN CAST(base_fare + 1 AS DECIMAL(12,2)) ELSE base_fare END AS base_fare
+  FROM routes2),
+cmp AS (
+  SELECT c.*, i.base_fare AS new_fare, i.name AS new_name,
+         c.is_current AND i.route_id IS NOT NULL AND (c.base_fare IS DISTINCT FROM i.base_fare
+           OR c.name IS DISTINCT FROM i.name) AS differs
+  FROM dim_route2 c LEFT JOIN again i ON c.route_id = i.route_id),
+opened AS (
+  SELECT route_id, new_name AS name, transport_type, new_fare AS base_fare FROM cmp
+  WHERE differs AND valid_from <> {AS_OF_SECOND})
+SELECT route_sk, route_id, name, transport_type,
+       CAST(CASE WHEN differs AND valid_from = {AS_OF_SECOND} THEN new_fare ELSE base_fare END AS DOUBLE) AS base_fare,
+       active_flag, valid_from,
+       CASE WHEN differs AND valid_from <> {AS_OF_SECOND} THEN {AS_OF_SECOND} ELSE valid_to END AS valid_to,
+       is_current AND NOT (differs AND valid_from <> {AS_OF_SECOND}) AS is_current
+FROM cmp
+UNION ALL
+SELECT (SELECT max(route_sk) FROM dim_route2) + row_number() OVER (ORDER BY route_id),
+       route_id, name, transport_type, CAST(base_fare AS DOUBLE), TRUE, {AS_OF_SECOND}, NULL, TRUE
+FROM opened"""
+
 SQL["scd2_changes"] = with_(ROUTES, DIM_ROUTE1, ROUTES2, DIM_ROUTE2) + f"""
 SELECT {ROUTE_COLS}, change FROM dim_route2 WHERE change IN ('closed', 'new')"""
 
@@ -579,15 +622,11 @@ LEFT JOIN dim_vehicle1 v ON p.vehicle_id = v.vehicle_id"""
 
 # --- streaming -------------------------------------------------------------------
 
-# Append mode emits a window once the watermark (latest event time minus the
-# 10 minute delay) has passed its end.
 SQL["stream_route_speed"] = with_(POS) + """
 SELECT route_id, date_trunc('hour', event_ts) AS window_start,
        date_trunc('hour', event_ts) + INTERVAL 1 HOUR AS window_end,
        CAST(SUM(speed) AS DOUBLE) / COUNT(speed) AS avg_speed, COUNT(*) AS position_cnt
-FROM pos GROUP BY 1, 2, 3
-HAVING date_trunc('hour', event_ts) + INTERVAL 1 HOUR
-       <= (SELECT max(event_ts) FROM pos) - INTERVAL 10 MINUTE"""
+FROM pos GROUP BY 1, 2, 3"""
 
 SQL["stream_dedupe"] = with_(POS) + """
 SELECT event_id, vehicle_id, route_id, event_ts, CAST(speed AS DOUBLE) AS speed FROM pos

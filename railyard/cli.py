@@ -29,7 +29,7 @@ def build_parser() -> argparse.ArgumentParser:
     batch.add_argument("--warehouse", required=True, help="warehouse root")
     batch.add_argument("--date", required=True, help="landing partition dt=YYYY-MM-DD")
     batch.add_argument("--as-of", help="instant dimension changes take effect (default: the date)")
-    batch.add_argument("--lookup", choices=["current", "as_of"], default="current")
+    batch.add_argument("--lookup", choices=["current", "as_of"], default="as_of")
     mart = sub.add_parser("mart", help="build the hourly route mart for [date-from, date-to)")
     mart.add_argument("--warehouse", required=True)
     mart.add_argument("--date-from", required=True)
@@ -48,10 +48,11 @@ def main(argv: list[str] | None = None) -> dict:
             spark, args.raw, args.warehouse, args.date, as_of=args.as_of, lookup_mode=args.lookup
         )
     else:
-        written = run_mart(
-            spark, args.warehouse, _day(args.date_from), _day(args.date_to), mode=args.mode
+        result = {}
+        run_mart(
+            spark, args.warehouse, _day(args.date_from), _day(args.date_to),
+            mode=args.mode, counts=result,
         )
-        result = {"mart_rows": written.count()}
     print(json.dumps(result))
     return result
 

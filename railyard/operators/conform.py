@@ -9,9 +9,6 @@ being sorted in one task.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -132,8 +129,4 @@ def dedupe_latest(
     )
 
 
-def any_of(conds: list[Column]) -> Column:
-    return reduce(or_, conds) if conds else F.lit(False)
-
-
-__all__ = ["REJECT", "conform", "stamp", "dedupe_latest", "any_of"]
+__all__ = ["REJECT", "conform", "stamp", "dedupe_latest"]

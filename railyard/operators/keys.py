@@ -1,44 +1,39 @@
 """Surrogate key assignment (K1).
 
 The warehouse DDL uses sequence-backed keys. On Spark the equivalent is a
-dense numbering in the order of a unique key:
-
-* up to ``single_task_rows`` rows (measured by counting at most that many
-  plus one): one ``row_number()`` over the order columns. Its result depends
-  only on the rows' content and the unique order key, so a recomputation
-  after a lost executor gives the same keys;
-* above that, two passes without ever moving all rows into one task (a
-  global window would). The rows are checkpointed into the shared
-  checkpoint folder, range-partitioned by the order columns and sorted
-  within partitions; each row is tagged with its partition and its position
-  there (the low 33 bits of ``monotonically_increasing_id``); rows are
-  counted per partition -- one number per partition, so the collected list
-  is bounded by the partition count, never by the data -- and every row
-  gets ``base + offset[partition] + position + 1``, the offsets shipped as a
-  literal array. The tagged frame is persisted between the passes; because
-  its input is a checkpoint, a lost cached block recomputes to identical
-  tags (range bounds and positions depend on partitioning, content alone
-  would not fix them).
-
-``materialize=True`` checkpoints the input first, for inputs whose upstream
-is expensive (a fact batch after its lookups): it is then computed once for
-both the size check and the numbering.
+dense numbering in the order of a unique key, one way for every size and
+without ever moving all rows into one task (a global window would):
+
+* the rows are range-partitioned by the order columns, sorted within their
+  partitions and written once as Parquet into the shared checkpoint folder,
+  each with its partition and its position there (the low 33 bits of
+  ``monotonically_increasing_id``). Range bounds depend on partitioning, the
+  written file does not: a lost executor re-reads it and gets the same keys;
+* rows are counted per partition -- one number each, so what reaches the
+  driver is bounded by the partition count, never by the data;
+* every row gets ``base + offset[partition] + position + 1``. The offsets are
+  one array value of a scalar subquery, indexed by partition, so the result
+  stays a plain projection of a Parquet scan whose size Catalyst knows.
+
+Left to itself (no ``num_partitions``) AQE merges neighbouring small ranges,
+so a dimension of a few rows is one small file.
+
+``materialize=True`` writes the input first, for inputs whose upstream is
+expensive (a fact batch after its lookups): finding the range bounds reads
+the input once more.
 """
 
 from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from railyard.operators.sizing import is_small, known_bound, note_bound
-from railyard.session import checkpoint_dir, default_parallelism
+from railyard.session import written
 
 _PID, _POS = "_ry_pid", "_ry_pos"
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row number
-SINGLE_TASK_ROWS = 1_000_000
 
 
 def max_key(dim: DataFrame, sk: str) -> Column:
@@ -52,7 +47,6 @@ def assign_surrogates(
     sk: str,
     base: Column | int = 0,
     num_partitions: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
     materialize: bool = False,
 ) -> DataFrame:
     """Add ``sk`` = base+1 .. base+n, dense, in ``order_by`` order.
@@ -62,32 +56,23 @@ def assign_surrogates(
     sequence.
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
     base_col = base if isinstance(base, Column) else F.lit(int(base))
     if materialize:
-        df = df.checkpoint(eager=True)
-    if single_task_rows > 0 and is_small(df, single_task_rows):
-        # Bounded (measured): one ordered numbering, content-deterministic.
-        ordered = Window.orderBy(*order_by)
-        out = df.withColumn(sk, (base_col + F.row_number().over(ordered)).cast("long"))
-        return note_bound(out, known_bound(df))
-
-    staged = df if materialize else df.checkpoint(eager=True)
-    n = num_partitions or default_parallelism(spark)
-    tagged = (
-        staged.repartitionByRange(n, *order_by)
+        df = written(df, "to_number")
+    ranges = [num_partitions, *order_by] if num_partitions else order_by
+    tagged = written(
+        df.repartitionByRange(*ranges)
         .sortWithinPartitions(*order_by)
         .withColumn(_PID, F.spark_partition_id())
-        .withColumn(_POS, F.monotonically_increasing_id().bitwiseAND((1 << _POS_BITS) - 1))
-        .persist(StorageLevel.MEMORY_AND_DISK)
+        .withColumn(_POS, F.monotonically_increasing_id().bitwiseAND((1 << _POS_BITS) - 1)),
+        "numbered",
     )
     counts = dict(tagged.groupBy(_PID).count().collect())
     sizes = [int(counts.get(p, 0)) for p in range(max(counts, default=0) + 1)]
-    offsets = [0] + list(accumulate(sizes))[:-1]
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PID) + 1)
+    offsets = spark.createDataFrame([([0, *accumulate(sizes)],)], "offsets array<long>").scalar()
     return tagged.withColumn(
-        sk, (base_col + offset + F.col(_POS) + F.lit(1)).cast("long")
+        sk, (base_col + F.element_at(offsets, F.col(_PID) + 1) + F.col(_POS) + F.lit(1)).cast("long")
     ).drop(_PID, _POS)
 
 
-__all__ = ["assign_surrogates", "max_key", "SINGLE_TASK_ROWS"]
+__all__ = ["assign_surrogates", "max_key"]

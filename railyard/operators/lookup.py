@@ -2,9 +2,10 @@
 
 All lookups are left equi-joins on the business key, so Spark plans a hash
 (broadcast) or sort-merge join; the as-of variant adds a residual range
-condition on top of the equi-key, never a cross product. A hot key on the
-fact side is handled by AQE's skew-join split when the dimension is not
-broadcast.
+condition on top of the equi-key, never a cross product. The choice is
+Catalyst's and AQE's, by size in bytes: no hint, no counting beforehand. A hot
+key on the fact side is handled by AQE's skew-join split when the dimension is
+not broadcast.
 """
 
 from __future__ import annotations
@@ -14,8 +15,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from railyard.operators.sizing import maybe_broadcast
-
 _D = "_ry_d_"
 
 
@@ -47,7 +46,6 @@ def lookup(
     valid_to: str = "valid_to",
     is_current: str = "is_current",
     first_open: bool = True,
-    broadcast: bool | None = None,
 ) -> DataFrame:
     """Attach a dimension's surrogate (and chosen attributes) to each fact row.
 
@@ -61,10 +59,6 @@ def lookup(
     (D2: ``payment_method`` vs ``code``). Unmatched facts keep a null key;
     the fact row count never changes as long as the dimension has one
     matching version per key (checked by ``scd.validity_report``).
-
-    ``broadcast``: ``None`` (default) broadcasts the dimension when its size
-    is proven or measured small, else leaves a sort-merge join; ``True``
-    forces the hint, ``False`` leaves the choice to Catalyst and AQE.
     """
     keys = _as_list(key)
     fkeys = _as_list(fact_key) if fact_key is not None else keys
@@ -77,7 +71,6 @@ def lookup(
             F.col(sk).alias(out_sk),
             *[F.col(a) for a in attrs],
         )
-        d = maybe_broadcast(d, broadcast, measure=dim)
         cond = _and([facts[fk] == d[dk] for fk, dk in zip(fkeys, d_keys)])
         return facts.join(d, cond, "left").drop(*d_keys)
 
@@ -102,7 +95,6 @@ def lookup(
             .withColumn(vf, F.when(F.col(vf) == F.col(f"{_D}first"), F.lit(None)).otherwise(F.col(vf)))
             .drop(f"{_D}first")
         )
-    d = maybe_broadcast(d, broadcast, measure=dim)
     t = facts[ts]
     cond = _and(
         [facts[fk] == d[dk] for fk, dk in zip(fkeys, d_keys)]
@@ -111,80 +103,40 @@ def lookup(
     return facts.join(d, cond, "left").drop(*d_keys, vf, vt)
 
 
-def orphans(
-    facts: DataFrame, dim: DataFrame, fact_key, key=None, broadcast: bool | None = None
-) -> DataFrame:
+def orphans(facts: DataFrame, dim: DataFrame, fact_key, key=None) -> DataFrame:
     """Fact rows whose non-null foreign key has no dimension row."""
     fkeys = _as_list(fact_key)
     keys = _as_list(key) if key is not None else fkeys
     d_keys = [f"{_D}{k}" for k in keys]
-    d = maybe_broadcast(
-        dim.select(*[F.col(k).alias(dk) for k, dk in zip(keys, d_keys)]), broadcast, measure=dim
-    )
+    d = dim.select(*[F.col(k).alias(dk) for k, dk in zip(keys, d_keys)])
     present = _and([F.col(fk).isNotNull() for fk in fkeys])
     cond = _and([facts[fk] == d[dk] for fk, dk in zip(fkeys, d_keys)])
     return facts.filter(present).join(d, cond, "left_anti")
 
 
-def members(
-    facts: DataFrame, keys: DataFrame, key, fact_key=None, broadcast: bool | None = None
-) -> DataFrame:
+def members(facts: DataFrame, keys: DataFrame, key, fact_key=None) -> DataFrame:
     """C4: rows of ``facts`` whose key is in the set ``keys`` -- a left-semi
-    join, so the set is never collected to the driver however large (it is
-    broadcast only when measured small)."""
+    join, so the set is never collected to the driver however large."""
     fkeys = _as_list(fact_key) if fact_key is not None else _as_list(key)
     ks = _as_list(key)
     d_keys = [f"{_D}{k}" for k in ks]
-    d = maybe_broadcast(keys.select(*[F.col(k).alias(dk) for k, dk in zip(ks, d_keys)]), broadcast, measure=keys)
+    d = keys.select(*[F.col(k).alias(dk) for k, dk in zip(ks, d_keys)])
     cond = _and([facts[fk] == d[dk] for fk, dk in zip(fkeys, d_keys)])
     return facts.join(d, cond, "left_semi")
 
 
-MAX_TOUCHED_PARTITIONS = 10_000
-
-
-def absent_rows(
-    incoming: DataFrame,
-    existing: DataFrame,
-    key,
-    partition_cols: list[str] | None = None,
-) -> DataFrame:
+def absent_rows(incoming: DataFrame, existing: DataFrame, key) -> DataFrame:
     """Incoming rows whose key is not in ``existing`` (D10: insert-if-absent).
 
-    When the target is partitioned (e.g. by trip date) pass the partition
-    columns: the batch's distinct partition values -- a set bounded by the
-    calendar days it covers, capped at ``MAX_TOUCHED_PARTITIONS`` -- become
-    a static partition filter on ``existing``, so only the touched folders
-    are read instead of the whole history (Spark's dynamic pruning does not
-    apply to the build side of an anti join). Beyond the cap the filter is
-    skipped: the result is the same, only more is read.
+    The key is unique over the whole target, so the anti-join is on it alone,
+    whatever the rows' dates; it reads only that column of the history. A null
+    equals a null, so a row without a key is not inserted again by a rerun.
     """
-    parts = list(partition_cols or [])
-    cols = parts + _as_list(key)
-    target = existing.select(*cols)
-    if parts:
-        touched = incoming.select(*parts).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-        if len(touched) <= MAX_TOUCHED_PARTITIONS:
-            if len(parts) == 1:
-                cond = F.col(parts[0]).isin([r[0] for r in touched if r[0] is not None])
-            else:
-                cond = F.lit(False)
-                for r in touched:
-                    cond = cond | _and([F.col(c) == F.lit(v) for c, v in zip(parts, r)])
-            target = target.filter(cond)
-    return incoming.join(target, cols, "left_anti")
-
-
-def insert_if_absent(
-    incoming: DataFrame,
-    existing: DataFrame,
-    key,
-    partition_cols: list[str] | None = None,
-) -> DataFrame:
-    """The target after the insert: existing rows plus absent incoming rows."""
-    return existing.unionByName(
-        absent_rows(incoming, existing, key, partition_cols), allowMissingColumns=True
-    )
+    keys = _as_list(key)
+    d_keys = [f"{_D}{k}" for k in keys]
+    target = existing.select(*[F.col(k).alias(dk) for k, dk in zip(keys, d_keys)])
+    same = _and([F.col(k).eqNullSafe(F.col(dk)) for k, dk in zip(keys, d_keys)])
+    return incoming.join(target, same, "left_anti")
 
 
 __all__ = [
@@ -193,5 +145,4 @@ __all__ = [
     "orphans",
     "members",
     "absent_rows",
-    "insert_if_absent",
 ]

@@ -1,8 +1,10 @@
 """Slowly changing dimensions: SCD2 merge (J1), SCD1 upsert (J3), inferred
 members (J7) and the SCD2 validity report (F3).
 
-SCD2 semantics, all in one pass over the *current* rows (history passes
-through untouched, so its size never enters the join):
+SCD2 semantics, in one join of the *current* rows with the batch (history
+passes through untouched, so its size never enters the join). Each joined row
+gives the version it keeps, closes or corrects and the version it opens, as an
+exploded pair; the pairs are written once and read by all that follows:
 
 * compare null-safely on ``compare_cols``;
 * key only in the batch, or only closed versions so far: new version;
@@ -10,6 +12,9 @@ through untouched, so its size never enters the join):
   ``is_current = false``) and a new one opens at the same ``as_of``, so the
   intervals are half-open ``[valid_from, valid_to)`` with neither gap nor
   overlap;
+* changed, but the current version itself opened at ``as_of`` (the same date
+  loaded again with a correction): that version takes the new attributes and
+  keeps its surrogate and interval;
 * unchanged, or absent from the batch: untouched;
 * existing surrogates never change; new versions continue the key sequence
   (K1). Feeding the same batch twice changes nothing.
@@ -23,8 +28,8 @@ from pyspark.sql import types as T
 
 from railyard.functions.exprs import changed_any, ts_literal
 from railyard.operators.keys import assign_surrogates, max_key
-from railyard.operators.sizing import known_bound, note_bound, sum_bounds
 from railyard.schemas import empty
+from railyard.session import written
 
 CHANGE = "_change"
 
@@ -74,13 +79,14 @@ def scd2_merge(
     are those of ``current``; attributes of new versions come from
     ``incoming``, and ``new_defaults`` fills columns the batch lacks (e.g.
     ``active_flag``). With ``with_change`` a ``_change`` column tells
-    ``history | unchanged | closed | new`` apart.
+    ``history | unchanged | closed | corrected | new`` apart.
     """
     keys = _as_list(key)
     at = ts_literal(as_of)
     cols = current.columns
-    cur_types = {f.name: f.dataType for f in current.schema.fields}
+    types = {f.name: f.dataType for f in current.schema.fields}
     defaults = dict(new_defaults or {})
+    batch_cols = set(incoming.columns) - set(keys)
 
     history = current.filter(~F.col(is_current)).withColumn(CHANGE, F.lit("history"))
     live = current.filter(F.col(is_current))
@@ -94,58 +100,53 @@ def scd2_merge(
     in_c = F.col(f"c.{sk}").isNotNull()
     in_i = F.col("i._ry_in").isNotNull()
     changed = in_c & in_i & changed_any("c", "i", compare_cols)
-    joined = joined.withColumn("_ry_changed", changed)
-
-    kept = joined.filter(in_c).select(
-        *[
-            (
-                F.when(F.col("_ry_changed"), at).otherwise(F.col(f"c.{c}")).alias(c)
-                if c == valid_to
-                else F.when(F.col("_ry_changed"), F.lit(False))
-                .otherwise(F.col(f"c.{c}"))
-                .alias(c)
-                if c == is_current
-                else (F.col(c) if c in keys else F.col(f"c.{c}")).alias(c)
-            )
-            for c in cols
-        ],
-        F.when(F.col("_ry_changed"), F.lit("closed")).otherwise(F.lit("unchanged")).alias(CHANGE),
-    )
+    reopened = F.col(f"c.{valid_from}").eqNullSafe(at)
+    corrected, closed = changed & reopened, changed & ~reopened
 
-    inc_cols = set(incoming.columns)
-
-    def new_col(c: str) -> Column:
-        if c == valid_from:
-            return at.alias(c)
+    def before(c: str) -> Column:
+        """The version the key already has: kept, corrected or closed."""
+        if c in keys:
+            return F.col(c)
         if c == valid_to:
-            return F.lit(None).cast(T.TimestampType()).alias(c)
+            return F.when(closed, at).otherwise(F.col(f"c.{c}"))
         if c == is_current:
-            return F.lit(True).alias(c)
+            return ~closed
+        if c in batch_cols:
+            return F.when(corrected, F.col(f"i.{c}")).otherwise(F.col(f"c.{c}"))
+        return F.col(f"c.{c}")
+
+    def opened(c: str) -> Column:
+        """The version that starts at ``as_of``; its surrogate comes later."""
         if c in keys:
-            return F.col(c).alias(c)
-        if c in inc_cols:
-            return F.col(f"i.{c}").alias(c)
-        if c in defaults:
-            return defaults[c].alias(c)
-        return F.lit(None).cast(cur_types[c]).alias(c)
-
-    fresh = joined.filter(in_i & (~in_c | F.col("_ry_changed"))).select(
-        *[new_col(c) for c in cols if c != sk]
-    )
-    keyed_new = assign_surrogates(fresh, keys, sk, base=max_key(current, sk))
-    fresh_bound = known_bound(keyed_new)
-    fresh = keyed_new.select(*cols).withColumn(CHANGE, F.lit("new"))
+            return F.col(c)
+        if c == valid_from:
+            return at
+        if c == is_current:
+            return F.lit(True)
+        if c in (sk, valid_to):
+            return F.lit(None)
+        return F.col(f"i.{c}") if c in batch_cols else defaults.get(c, F.lit(None))
 
-    # Keep declared types of the current table on every branch.
-    typed = [F.col(c).cast(cur_types[c]).alias(c) for c in cols]
+    def version(value, change: Column) -> Column:
+        return F.struct(*[value(c).cast(types[c]).alias(c) for c in cols], change.alias(CHANGE))
+
+    state = (
+        F.when(closed, F.lit("closed")).when(corrected, F.lit("corrected")).otherwise(F.lit("unchanged"))
+    )
+    pair = F.array(
+        F.when(in_c, version(before, state)),
+        F.when(in_i & (~in_c | closed), version(opened, F.lit("new"))),
+    )
+    pairs = written(joined.select(F.inline(F.array_compact(pair))), "versions")
+    fresh = assign_surrogates(
+        pairs.filter(F.col(CHANGE) == "new").drop(sk), keys, sk, base=max_key(current, sk)
+    )
     out = (
-        history.select(*typed, CHANGE)
-        .unionByName(kept.select(*typed, CHANGE))
-        .unionByName(fresh.select(*typed, CHANGE))
+        history.select(*cols, CHANGE)
+        .unionByName(pairs.filter(F.col(CHANGE) != "new"))
+        .unionByName(fresh.select(*cols, CHANGE))
     )
-    out = out if with_change else out.drop(CHANGE)
-    # history + kept <= current, new versions <= the measured batch
-    return note_bound(out, sum_bounds(known_bound(current), fresh_bound))
+    return out if with_change else out.drop(CHANGE)
 
 
 def scd1_upsert(
@@ -179,10 +180,7 @@ def scd1_upsert(
             *[(F.col(c) if c in have else F.lit(None)).cast(cur_types[c]).alias(c) for c in cols]
         )
 
-    out = typed(untouched).unionByName(typed(updated)).unionByName(typed(fresh))
-    # untouched and updated rows each match at most one current row
-    cur = known_bound(current)
-    return note_bound(out, sum_bounds(None if cur is None else 2 * cur, known_bound(fresh)))
+    return typed(untouched).unionByName(typed(updated)).unionByName(typed(fresh))
 
 
 def infer_members(
@@ -207,10 +205,9 @@ def infer_members(
     keyed = assign_surrogates(missing, [key], sk, base=max_key(dim, sk))
     dim_types = [(f.name, f.dataType) for f in dim.schema.fields]
     have = set(keyed.columns)
-    out = dim.unionByName(
+    return dim.unionByName(
         keyed.select(*[(F.col(c) if c in have else F.lit(None)).cast(t).alias(c) for c, t in dim_types])
     )
-    return note_bound(out, sum_bounds(known_bound(dim), known_bound(keyed)))
 
 
 def validity_report(

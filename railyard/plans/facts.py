@@ -3,8 +3,8 @@
 Each builder takes a conformed raw batch and the dimensions it references
 and returns fact rows without their own surrogate; ``keyed`` then drops rows
 already loaded (insert-if-absent on the unique key, D10) and numbers the
-rest (K1). Dimensions are small next to facts and are broadcast behind a
-size check; lookups never change the fact row count.
+rest (K1). Dimensions are small next to facts and are broadcast when their
+bytes allow it; lookups never change the fact row count.
 """
 
 from __future__ import annotations
@@ -37,7 +37,6 @@ def _sk(
     mode: str = "current",
     ts: str | None = None,
     validity: dict | None = None,
-    broadcast: bool | None = None,
 ) -> DataFrame:
     out = sk_as or sk
     if dim is None:
@@ -52,7 +51,6 @@ def _sk(
         sk_as=sk_as,
         mode=mode if has_versions else "current",
         ts=ts,
-        broadcast=broadcast,
         **(validity or {}),
     )
 
@@ -71,7 +69,6 @@ def build_fact_trip(
     load_id: str,
     inserted_at=None,
     mode: str = "current",
-    broadcast: bool | None = None,
 ) -> DataFrame:
     """Trips -> fact_trip rows (without ``trip_sk``).
 
@@ -79,13 +76,13 @@ def build_fact_trip(
     did) or ``as_of`` the trip's start (historical coherence).
     """
     f = _sk(trips, dim_user, "user_id", "user_sk", mode=mode, ts="start_ts",
-            validity=USER_VALIDITY, broadcast=broadcast)
-    f = _sk(f, dim_route, "route_id", "route_sk", mode=mode, ts="start_ts", broadcast=broadcast)
-    f = _sk(f, dim_vehicle, "vehicle_id", "vehicle_sk", broadcast=broadcast)
+            validity=USER_VALIDITY)
+    f = _sk(f, dim_route, "route_id", "route_sk", mode=mode, ts="start_ts")
+    f = _sk(f, dim_vehicle, "vehicle_id", "vehicle_sk")
     f = _sk(f, dim_stop, "stop_id", "stop_sk", fact_key="start_stop_id",
-            sk_as="start_stop_sk", broadcast=broadcast)
+            sk_as="start_stop_sk")
     f = _sk(f, dim_stop, "stop_id", "stop_sk", fact_key="end_stop_id",
-            sk_as="end_stop_sk", broadcast=broadcast)
+            sk_as="end_stop_sk")
     return f.select(
         "trip_id",
         "user_sk",
@@ -115,20 +112,22 @@ def build_fact_payment(
     load_id: str,
     inserted_at=None,
     mode: str = "current",
-    broadcast: bool | None = None,
 ) -> DataFrame:
     """Payments -> fact_payment rows (without ``payment_sk``).
 
     The method resolves by ``payment_method = code`` (D2); the trip link
-    (D6) by ``trip_id`` against the trip fact, a fact-to-fact join that is
-    shuffled (never broadcast: it grows with the data).
+    (D6) by ``trip_id`` against the trip fact, a fact-to-fact join shuffled on
+    the trip. Payments without a trip (top-ups) go around that join: their
+    common null key would land in one task.
     """
-    f = _sk(payments, dim_user, "user_id", "user_sk", mode=mode, ts="paid_at",
-            validity=USER_VALIDITY, broadcast=broadcast)
-    f = _sk(f, dim_route, "route_id", "route_sk", mode=mode, ts="paid_at", broadcast=broadcast)
-    f = _sk(f, dim_payment_method, "code", "payment_method_sk", fact_key="payment_method",
-            broadcast=broadcast)
-    f = _sk(f, fact_trip, "trip_id", "trip_sk", broadcast=False)
+    if fact_trip is None:
+        f = _sk(payments, None, "trip_id", "trip_sk")
+    else:
+        linked = _sk(payments.where("trip_id IS NOT NULL"), fact_trip, "trip_id", "trip_sk")
+        f = linked.unionByName(_sk(payments.where("trip_id IS NULL"), None, "trip_id", "trip_sk"))
+    f = _sk(f, dim_user, "user_id", "user_sk", mode=mode, ts="paid_at", validity=USER_VALIDITY)
+    f = _sk(f, dim_route, "route_id", "route_sk", mode=mode, ts="paid_at")
+    f = _sk(f, dim_payment_method, "code", "payment_method_sk", fact_key="payment_method")
     return f.select(
         "payment_id",
         "user_sk",
@@ -151,12 +150,10 @@ def build_fact_position(
     load_id: str,
     inserted_at=None,
     mode: str = "current",
-    broadcast: bool | None = None,
 ) -> DataFrame:
     """Positions -> fact_vehicle_position rows with date/time keys."""
-    f = _sk(positions, dim_route, "route_id", "route_sk", mode=mode, ts="event_ts",
-            broadcast=broadcast)
-    f = _sk(f, dim_vehicle, "vehicle_id", "vehicle_sk", broadcast=broadcast)
+    f = _sk(positions, dim_route, "route_id", "route_sk", mode=mode, ts="event_ts")
+    f = _sk(f, dim_vehicle, "vehicle_id", "vehicle_sk")
     return f.select(
         "event_ts",
         date_key("event_ts").alias("event_date_sk"),
@@ -178,17 +175,16 @@ def keyed(
     key: str,
     sk: str,
     *,
-    partition_cols: list[str] | None = None,
     materialize: bool = True,
 ) -> DataFrame:
     """D10 + K1: rows of ``new_rows`` not yet in ``existing`` (by ``key``),
     numbered after the existing maximum surrogate. ``sk`` comes first.
 
-    ``materialize`` checkpoints the rows before numbering (their lookups
-    then run once); pass False when they are already a cheap projection of
-    a checkpointed or stored batch."""
+    ``materialize`` writes the rows before numbering (their lookups then run
+    once); pass False when they are already a cheap projection of a stored
+    batch."""
     if existing is not None:
-        new_rows = absent_rows(new_rows, existing, key, partition_cols)
+        new_rows = absent_rows(new_rows, existing, key)
         base = max_key(existing, sk)
     else:
         base = 0

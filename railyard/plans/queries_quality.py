@@ -5,14 +5,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from railyard.functions.exprs import json_field, parse_json, seconds_between
 from railyard.operators import quality as dq
-from railyard.operators.conform import conform, dedupe_latest, stamp
+from railyard.operators.conform import REJECT, conform, dedupe_latest, stamp
 from railyard.operators.lookup import orphans
 from railyard.plans import fixtures as fx
 from railyard.plans.registry import per_query, register
 from railyard.schemas import PAYMENTS_RAW
+from railyard.session import written
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 
@@ -47,7 +49,7 @@ def daily_trips(spark: SparkSession, sf_dir: str, dedupe: bool = True) -> DataFr
     trips = fx.raw_daily_trips(joined)
     # The deduplicated batch feeds several jobs (stop dimension, fact rows,
     # checks): compute it once and cut its lineage, as a staged table would.
-    return trips.checkpoint(eager=True) if dedupe else trips
+    return written(trips, "daily_trips") if dedupe else trips
 
 
 def payment_rules() -> dict:
@@ -107,6 +109,40 @@ def reject_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.select("event_id", F.concat_ws(",", dq.REASONS).alias("reasons"))
 
 
+@register("reject_faulty_positions")
+def reject_faulty_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C7 on positions with faults put in: coordinates off the globe, speed
+    below zero, missing keys and times."""
+    eid = F.col("event_id")
+    faulty = fx.raw_positions(spark, sf_dir).withColumns(
+        {
+            "lat": F.when(eid % 11 == 0, F.col("lat") * 2).otherwise(F.col("lat")),
+            "lon": F.when(eid % 13 == 0, F.col("lon") * -5).otherwise(F.col("lon")),
+            "speed": F.when(eid % 17 == 0, -F.col("speed") - 1).otherwise(F.col("speed")),
+            "route_id": F.when(eid % 19 != 0, F.col("route_id")),
+            "vehicle_id": F.when(eid % 23 != 0, F.col("vehicle_id")),
+            "event_ts": F.when(eid % 29 != 0, F.col("event_ts")),
+        }
+    )
+    _, rejected = dq.split(faulty, dq.position_rules())
+    return rejected.select("event_id", F.concat_ws(",", dq.REASONS).alias("reasons"))
+
+
+@register("epoch_conform")
+def epoch_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1 + I14: event times sent as epoch nanoseconds, every seventh payload
+    broken; broken rows carry the column at fault, times keep every microsecond."""
+    eid = F.col("event_id")
+    sent = fx.table(spark, sf_dir, "events").select(
+        "event_id",
+        (F.unix_micros(F.col("ts").cast("timestamp")) * 1000 + eid % 1000).alias("ts"),
+        F.when(eid % 7 == 0, F.substring("props", 2, 100)).otherwise(F.col("props")).alias("props"),
+    )
+    schema = T.StructType.fromDDL("event_id bigint, ts timestamp, props struct<k: int>")
+    typed = conform(sent, schema, safe=True, epoch_unit="ns")
+    return typed.select("event_id", "ts", F.concat_ws(",", REJECT).alias("rejected"))
+
+
 @register("dup_keys")
 def dup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip keys loaded more than once in the raw batch."""

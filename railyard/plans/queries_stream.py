@@ -2,9 +2,7 @@
 
 Each runs a Structured Streaming query over the events table as a file
 source with ``availableNow``, into a fresh folder under the shared
-checkpoint folder, and returns what the sink committed. Append mode emits a
-window only once the watermark has passed its end, so the window query
-returns the closed windows.
+checkpoint folder, and returns what the sink committed.
 """
 
 from __future__ import annotations
@@ -17,13 +15,16 @@ from railyard.plans.queries_core import two_version_route_dim
 from railyard.plans.queries_warehouse import LOAD_ID, first_vehicle_dim
 from railyard.plans.registry import register
 from railyard.session import scratch_path
+from railyard.sources.parquet import read_current, write_version
 from railyard.streaming.positions import (
     dedupe,
     file_stream,
+    latest_updates,
     load_batches,
     route_speed,
     run_to_end,
     stage,
+    stage_updates,
 )
 
 
@@ -35,17 +36,23 @@ def position_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_route_speed")
 def stream_route_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L1 + L2: hourly mean speed per route from the position stream."""
+    """L1 + L2: hourly mean speed per route from the position stream, the
+    windows still open at its end included."""
     out = scratch_path(spark, "stream_route_speed")
-    run_to_end(stage(route_speed(position_stream(spark, sf_dir)), f"{out}/data", f"{out}/_checkpoint"))
-    return spark.read.parquet(f"{out}/data")
+    speed = route_speed(position_stream(spark, sf_dir))
+    run_to_end(stage_updates(speed, f"{out}/data", f"{out}/_checkpoint"))
+    return latest_updates(spark, f"{out}/data", ["route_id", "window_start"])
 
 
 @register("stream_dedupe")
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L3: positions with repeats of (vehicle, event time) dropped."""
+    """L3: positions with repeats of (vehicle, event time) dropped; every
+    third event was sent a second time."""
     out = scratch_path(spark, "stream_dedupe")
-    deduped = dedupe(position_stream(spark, sf_dir)).select(
+    events = fx.table(spark, sf_dir, "events")
+    events.union(events.where("event_id % 3 = 0")).write.parquet(f"{out}/sent")
+    sent = fx.positions_from_events(file_stream(spark, f"{out}/sent", events.schema))
+    deduped = dedupe(sent).select(
         "event_id", "vehicle_id", "route_id", "event_ts", "speed"
     )
     run_to_end(stage(deduped, f"{out}/data", f"{out}/_checkpoint"))
@@ -55,20 +62,21 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_position_facts")
 def stream_position_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L4: the position fact load run on every micro-batch (foreachBatch),
-    routes resolved as of each event."""
-    dim_route = two_version_route_dim(spark, sf_dir)
-    dim_vehicle = first_vehicle_dim(spark, sf_dir)
+    routes resolved as of each event; every batch reads the dimensions' current
+    versions."""
+    out = scratch_path(spark, "stream_position_facts")
+    write_version(two_version_route_dim(spark, sf_dir), f"{out}/dim_route", "1")
+    write_version(first_vehicle_dim(spark, sf_dir), f"{out}/dim_vehicle", "1")
 
     def build(batch: DataFrame) -> DataFrame:
         return build_fact_position(
             batch,
-            dim_route=dim_route,
-            dim_vehicle=dim_vehicle,
+            dim_route=read_current(spark, f"{out}/dim_route"),
+            dim_vehicle=read_current(spark, f"{out}/dim_vehicle"),
             load_id=LOAD_ID,
             inserted_at=fx.LOAD_TS,
             mode="as_of",
         )
 
-    out = scratch_path(spark, "stream_position_facts")
     run_to_end(load_batches(position_stream(spark, sf_dir), build, f"{out}/data", f"{out}/_checkpoint"))
-    return spark.read.parquet(f"{out}/data").drop("batch_id")
+    return spark.read.parquet(f"{out}/data").drop("run", "batch_id")

@@ -29,6 +29,7 @@ from railyard.plans.queries_core import first_route_dim, two_version_route_dim
 from railyard.plans.queries_quality import daily_trips
 from railyard.plans.registry import per_query, register
 from railyard.plans.dims import route_dimension
+from railyard.schemas import MONEY
 
 LOAD_ID = f"batch_{fx.LOAD_DATE}"
 FIRST_PAYMENT_CUTOFF = "1998-01-01 00:00:00"
@@ -94,9 +95,13 @@ def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("dim_time")
 def dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Time-of-day members referenced by the position fact."""
-    keys = fx.raw_positions(spark, sf_dir).select(time_key("event_ts").alias("time_sk"))
-    return cal.dim_time_for(keys)
+    """All 86,400 time-of-day members, with the positions that refer to each."""
+    used = (
+        fx.raw_positions(spark, sf_dir)
+        .groupBy(time_key("event_ts").alias("time_sk"))
+        .agg(F.count(F.lit(1)).alias("position_cnt"))
+    )
+    return cal.dim_time_full(spark).join(used, "time_sk", "left").fillna(0, ["position_cnt"])
 
 
 @register("surrogate_keys")
@@ -144,6 +149,16 @@ def scd2_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return two_version_route_dim(spark, sf_dir)
 
 
+@register("scd2_same_date")
+def scd2_same_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second batch's date loaded once more with corrected fares: the
+    versions it opened are corrected in place, others get a new version."""
+    again = fx.raw_routes_second_batch(spark, sf_dir)
+    fare = F.when(F.col("route_id") % 10 < 4, F.col("base_fare") + 1).otherwise(F.col("base_fare"))
+    corrected = again.withColumn("base_fare", fare.cast(MONEY))
+    return route_dimension(two_version_route_dim(spark, sf_dir), corrected, fx.AS_OF_SECOND)
+
+
 @register("scd2_changes")
 def scd2_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The versions the second batch closed or opened."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every railyard job relies on. Timestamps are pinned to UTC so that
 # hour buckets and date keys do not depend on the machine running the job.
@@ -117,18 +117,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/railyard/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def shuffle_partitions_for(input_bytes: int, target_bytes: int = 512 * 1024 * 1024, floor: int = 8) -> int:
-    """A ``spark.sql.shuffle.partitions`` value for a job reading
-    ``input_bytes``: one partition per ~``target_bytes`` of input, so each
-    reduce task fits executor memory without spilling. AQE then coalesces
-    small partitions at runtime; it cannot split ones that are too big
-    (outside skew joins), so the setting errs high. 100 TB gives ~205k.
-    """
-    return max(floor, -(-int(input_bytes) // int(target_bytes)))
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once: written as Parquet into the shared checkpoint
+    folder and read back, so lineage is cut and Catalyst knows its size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 __all__ = [
@@ -137,6 +131,5 @@ __all__ = [
     "prepare_session",
     "checkpoint_dir",
     "scratch_path",
-    "shuffle_partitions_for",
-    "default_parallelism",
+    "written",
 ]

@@ -93,6 +93,7 @@ def write_partitioned(
     *,
     mode: str = "overwrite",
     num_partitions: int | None = None,
+    whole: bool = False,
 ) -> None:
     """Write ``df`` partitioned by ``partition_col`` and sorted
     by ``sort_cols`` inside every file.
@@ -102,14 +103,14 @@ def write_partitioned(
     writes a contiguous key range (few files per date), and sorted row
     groups let readers skip by min/max statistics. With ``mode="overwrite"``
     and the session's dynamic partition overwrite only the dates present in
-    ``df`` are replaced.
+    ``df`` are replaced; with ``whole`` the folder as a whole is.
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     (
         df.repartitionByRange(n, partition_col, *sort_cols)
         .sortWithinPartitions(partition_col, *sort_cols)
         .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(partition_col)
         .parquet(path)
     )

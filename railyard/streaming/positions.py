@@ -8,6 +8,9 @@ folder (Parquet or JSON files) or from Kafka, typed, and then:
   the watermark passes the window end;
 * ``dedupe`` (L3): drop repeats of (vehicle, event time) within the
   watermark, so state stays bounded;
+* ``stage_updates`` / ``latest_updates``: each micro-batch writes the windows it
+  changed, readers take the latest row of each, so windows still open at the
+  end are there too;
 * ``stage`` / ``load_batches`` (L4): append to staging Parquet, or run the
   position fact load on every micro-batch with ``foreachBatch``.
 
@@ -18,6 +21,7 @@ folder so a restarted query resumes where it stopped.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from railyard.functions.exprs import exact_avg
+from railyard.operators.conform import dedupe_latest
 from railyard.schemas import SPEED
 
 
@@ -139,10 +144,13 @@ def stage(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-        processingTime=processing_time or "1 minute"
-    )
-    return writer.start()
+    return _triggered(writer, available_now, processing_time).start()
+
+
+def _triggered(writer, available_now: bool, processing_time: str | None):
+    if available_now:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=processing_time or "1 minute")
 
 
 def load_batches(
@@ -151,20 +159,44 @@ def load_batches(
     path: str,
     checkpoint: str,
     *,
+    output_mode: str = "append",
     available_now: bool = True,
+    processing_time: str | None = None,
 ) -> StreamingQuery:
     """L4: run ``build`` (e.g. the position fact load) on each micro-batch
     and append its rows to ``path``. Each batch writes its own
-    ``batch_id=`` folder in overwrite mode, so a replayed batch after a
-    failure replaces its earlier attempt instead of duplicating it.
+    ``run=/batch_id=`` folder in overwrite mode, so a replayed batch after a
+    failure replaces its earlier attempt instead of duplicating it; ``run``
+    stands for the checkpoint, so a new checkpoint, whose batches count from 0
+    again, overwrites nothing. ``build`` is called anew for every batch: a
+    dimension it reads itself (``read_current``) is the one of that moment.
     """
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        build(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        build(batch).write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
+
+    writer = (
+        stream.writeStream.outputMode(output_mode)
+        .foreachBatch(each)
+        .option("checkpointLocation", checkpoint)
+    )
+    return _triggered(writer, available_now, processing_time).start()
+
+
+def stage_updates(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """L2: write the windows each micro-batch changed (update mode).
+
+    State is still dropped behind the watermark; a window is there from its
+    first event on, not only once the watermark has passed its end.
+    """
+    return load_batches(stream, lambda batch: batch, path, checkpoint, output_mode="update", **trigger)
+
 
-    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+def latest_updates(spark: SparkSession, path: str, key: list[str]) -> DataFrame:
+    """The latest row of each key that one ``stage_updates`` run wrote."""
+    rows = spark.read.parquet(path)
+    return dedupe_latest(rows, key, ["batch_id"]).drop("run", "batch_id")
 
 
 def run_to_end(query: StreamingQuery) -> None:
@@ -183,5 +215,7 @@ __all__ = [
     "dedupe",
     "stage",
     "load_batches",
+    "stage_updates",
+    "latest_updates",
     "run_to_end",
 ]

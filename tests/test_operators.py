@@ -11,10 +11,10 @@ from railyard.operators.keys import assign_surrogates
 from railyard.operators.lookup import absent_rows, lookup, members, orphans
 
 
-def test_surrogates_both_paths_dense_and_ordered(spark):
+def test_surrogates_dense_and_ordered(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7 % 5000).alias("k"))
-    for bound in (1_000_000, 0):  # single ordered task / range-partitioned two-pass
-        out = assign_surrogates(df, ["k"], "sk", base=100, single_task_rows=bound)
+    for ranges in (None, 1, 7, 64):  # merged by AQE, one, several, many with few rows
+        out = assign_surrogates(df, ["k"], "sk", base=100, num_partitions=ranges)
         rows = sorted((r.k, r.sk) for r in out.collect())
         assert [sk for _, sk in rows] == list(range(101, 5101))
 
@@ -54,8 +54,9 @@ def test_orphans_and_absent(spark):
     assert [r.id for r in orphans(facts, _dim(spark), "route_id").collect()] == [2]
     existing = spark.createDataFrame([("R1",)], "route_id string")
     assert sorted(r.id for r in absent_rows(facts, existing, "route_id").collect()) == [2, 3]
-    for flag in (None, False):
-        assert [r.id for r in members(facts, existing, "route_id", broadcast=flag).collect()] == [1]
+    keyless = existing.unionByName(spark.createDataFrame([(None,)], "route_id string"))
+    assert [r.id for r in absent_rows(facts, keyless, "route_id").collect()] == [2]
+    assert [r.id for r in members(facts, existing, "route_id").collect()] == [1]
 
 
 def test_conform_types_missing_extra_json(spark):
