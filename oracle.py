@@ -730,3 +730,68 @@ SELECT th.route_id, th.hour_bucket, th.name, th.transport_type, th.trip_cnt, th.
        th.avg_duration_sec, th.sum_distance_m, COALESCE(sh.avg_speed, 0.0) AS avg_speed,
        {MART_TO} AS snapshot_ts
 FROM thc th LEFT JOIN shc sh ON th.route_id = sh.route_id AND th.hour_bucket = sh.hour_bucket"""
+
+
+# --- the batch run over two dates -----------------------------------------------------
+
+# Day 2 repeats every trip and payment, so a key loaded on day 1 stays as it
+# was; rules come before the dedupe, so a key is there if one copy is clean.
+# Payments: amounts of ids with remainder 3 by 25 do not cast on day 2.
+SQL["batch_run"] = with_(ROUTES, DIM_ROUTE1, ROUTES2, DIM_ROUTE2, USERS, DIM_USER1, USERS2, DIM_USER2, VEHICLES,
+                         VEHICLES2, DTRIPS_ALL, PAYMENTS, POS) + """,
+sent_trips AS (
+  SELECT 1 AS day, trip_id, user_id, route_id, start_ts, end_ts, distance_m, fare, start_stop_id, end_stop_id
+  FROM dtrips_all WHERE start_ts < TIMESTAMP '1998-01-01'
+  UNION ALL
+  SELECT 2, trip_id, user_id, route_id, start_ts + INTERVAL 1 DAY, end_ts, distance_m, fare, start_stop_id, end_stop_id
+  FROM dtrips_all),
+tagged AS (SELECT *, """ + _reasons(TRIP_RULES) + """ AS reasons FROM sent_trips),
+ok_trips AS (SELECT * FROM tagged WHERE reasons = ''),
+first_loaded AS (SELECT trip_id, min(day) AS day FROM ok_trips GROUP BY 1),
+trip_route AS (
+  SELECT t.trip_id, max_by(t.route_id, t.end_ts) AS route_id
+  FROM ok_trips t JOIN first_loaded f ON t.trip_id = f.trip_id AND t.day = f.day GROUP BY 1),
+day1_pay AS (SELECT * FROM payments WHERE paid_at < TIMESTAMP '1998-01-01'),
+day2_pay AS (SELECT * FROM payments WHERE payment_id % 25 <> 3),
+paid AS (
+  SELECT payment_id, trip_id, 1 AS day, paid_at, payment_method FROM day1_pay
+  UNION ALL
+  SELECT payment_id, trip_id, 2, CASE WHEN payment_id % 10 <> 0 THEN paid_at END, payment_method FROM day2_pay
+  WHERE payment_id NOT IN (SELECT payment_id FROM day1_pay)),
+codes AS (
+  SELECT payment_method AS code FROM day1_pay UNION SELECT payment_method FROM day2_pay
+  UNION SELECT unnest(['card', 'wallet', 'promo'])),
+day_pos AS (SELECT DISTINCT vehicle_id, event_ts FROM pos),
+clean2_pay AS (SELECT CASE WHEN payment_id % 10 <> 0 THEN paid_at END AS paid_at FROM day2_pay),
+spans AS (
+  SELECT min(d) AS lo, max(d) AS hi FROM (
+    SELECT CAST(start_ts AS DATE) AS d FROM ok_trips WHERE day = 1
+    UNION ALL SELECT CAST(paid_at AS DATE) FROM day1_pay
+    UNION ALL SELECT CAST(event_ts AS DATE) FROM pos)
+  UNION ALL
+  SELECT min(d), max(d) FROM (
+    SELECT CAST(start_ts AS DATE) AS d FROM ok_trips WHERE day = 2
+    UNION ALL SELECT CAST(paid_at AS DATE) FROM clean2_pay)),
+dates AS (SELECT DISTINCT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM spans),
+stops AS (SELECT start_stop_id AS s FROM ok_trips UNION SELECT end_stop_id FROM ok_trips),
+veh AS (SELECT vehicle_id FROM vehicles UNION SELECT vehicle_id FROM vehicles2)
+SELECT 'dim_route' AS table_name, COUNT(*) AS row_cnt, COUNT(DISTINCT route_id) AS key_cnt,
+       CAST(max(route_sk) AS BIGINT) AS top_sk, CAST(NULL AS BIGINT) AS linked_cnt FROM dim_route2
+UNION ALL SELECT 'dim_user', COUNT(*), COUNT(DISTINCT user_id), max(user_sk), NULL FROM dim_user2
+UNION ALL SELECT 'dim_vehicle', COUNT(*), COUNT(DISTINCT vehicle_id), COUNT(*), NULL FROM veh
+UNION ALL SELECT 'dim_stop', COUNT(s), COUNT(DISTINCT s), COUNT(s), NULL FROM stops
+UNION ALL SELECT 'dim_payment_method', COUNT(code), COUNT(code), COUNT(code), NULL FROM codes
+UNION ALL SELECT 'dim_date', COUNT(d), COUNT(DISTINCT d), NULL, NULL FROM dates
+UNION ALL SELECT 'dim_time', 86400, 86400, NULL, NULL
+UNION ALL SELECT 'fact_trip', COUNT(*), COUNT(DISTINCT trip_id), COUNT(*), COUNT(r.route_id)
+  FROM trip_route t LEFT JOIN routes r ON t.route_id = r.route_id
+UNION ALL SELECT 'fact_payment', COUNT(*), COUNT(DISTINCT payment_id), COUNT(*), COUNT(f.trip_id)
+  FROM paid p LEFT JOIN first_loaded f ON p.trip_id = f.trip_id AND f.day <= p.day
+UNION ALL SELECT 'fact_vehicle_position', COUNT(*), COUNT(DISTINCT event_ts), NULL, COUNT(r.route_id)
+  FROM day_pos p LEFT JOIN routes r ON p.vehicle_id % 100 = r.route_id
+UNION ALL SELECT 'quarantine.payments', COUNT(*), COUNT(DISTINCT payment_id), NULL, NULL
+  FROM payments WHERE payment_id % 25 = 3
+UNION ALL SELECT 'quarantine_rules.routes', COUNT(*), 0, NULL, NULL FROM routes WHERE route_id % 50 = 0
+UNION ALL SELECT 'quarantine_rules.trips', COUNT(*), COUNT(DISTINCT trip_id), NULL, NULL FROM tagged WHERE reasons <> ''
+UNION ALL SELECT 'quarantine_rules.payments', COUNT(*), COUNT(DISTINCT trip_id), NULL, NULL
+  FROM payments WHERE payment_id % 50 = 0"""

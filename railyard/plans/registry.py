@@ -56,6 +56,7 @@ def register(name: str) -> Callable[[Query], Query]:
 def queries() -> dict[str, Query]:
     # Importing the query modules fills QUERIES.
     from railyard.plans import (  # noqa: F401
+        queries_batch,
         queries_core,
         queries_io,
         queries_quality,
