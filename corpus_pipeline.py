@@ -23,8 +23,9 @@ ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and keep enough of their lines."""
-    return lines.quality_rules(docs, *COLUMNS).where("kept").select("row.*")
+    """Documents that pass the base rules and keep enough of their lines,
+    without their removed lines."""
+    return lines.cleaned(docs, *COLUMNS)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

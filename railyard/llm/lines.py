@@ -8,7 +8,8 @@ by at least ``min_docs`` documents and more than ``max_share`` percent of its
 host's documents is removed from every document but its first carrier (the
 smallest doc_id). A document left with less than ``min_left`` percent of its
 words is depleted and rejected. Before that, base rules reject documents that
-are short or repeat themselves.
+are short or repeat themselves. ``quality_rules`` gives the verdicts,
+``cleaned`` the kept documents without the removed lines.
 
 Defined cases: a null text has no words and fails the base rules; a null
 source is a host of its own; a null doc_id is carried through; repeated rows
@@ -141,8 +142,10 @@ def frequent_lines(lines: DataFrame, docs: DataFrame, max_share: int, min_docs:
     )
 
 
-def removed_words(df: DataFrame, max_share: int, min_docs: int) -> DataFrame:
-    """``row_key, removed_words`` of the documents that lose a line."""
+def removed_words(df: DataFrame, max_share: int, min_docs: int, places: bool = False) -> DataFrame:
+    """``row_key, removed_words`` of the documents that lose a line and, if
+    asked for, ``removed_places``: which of their lines go."""
+    gone = [F.collect_list("place").alias("removed_places")] if places else []
     lines = line_rows(df)
     docs = df.select(
         F.col("source").alias("host"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_hash")
@@ -154,7 +157,7 @@ def removed_words(df: DataFrame, max_share: int, min_docs: int) -> DataFrame:
         .groupBy(_row_key(), "place")  # repeated rows have the same lines
         .agg(F.max("line_words").alias("line_words"))
         .groupBy("row_key")
-        .agg(F.sum("line_words").alias("removed_words"))
+        .agg(F.sum("line_words").alias("removed_words"), *gone)
     )
 
 
@@ -166,16 +169,18 @@ def quality_rules(
     min_left: int = 30,
     min_words: int = 50,
     max_repeat: int = 50,
+    places: bool = False,
 ) -> DataFrame:
     """Base measures, removed words and the verdict for every row of ``df``;
-    the columns named in ``keep`` come along in a struct ``row``.
+    the columns named in ``keep`` come along in a struct ``row``, and with
+    ``places`` the places of the removed lines (null where none is).
 
     ``df`` needs ``doc_id, text, source``. Shuffled are one small row per line
     (counted with map-side combine, so a line in a third of all documents is
     one partial row per task) and one small row per document that loses a
     line. Those are written, so that the last join is planned by their size.
     """
-    removed = written(removed_words(df, max_share, min_docs), "removed")
+    removed = written(removed_words(df, max_share, min_docs, places), "removed")
     base_failed = (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > max_repeat * F.col("n_words")
     )
@@ -189,3 +194,23 @@ def quality_rules(
         .withColumn("base_failed", base_failed)
         .withColumn("kept", ~F.col("base_failed") & ~depleted)
     )
+
+
+def cleaned(df: DataFrame, *keep: str, **limits: int) -> DataFrame:
+    """The kept rows of ``df`` without their removed lines: the columns named
+    in ``keep``, among them ``text`` and ``n_chars``.
+
+    Only places of lines travel, to the rows whose text they cut; a text that
+    loses no line is passed on as it came.
+    """
+    d = quality_rules(df, *keep, places=True, **limits).where("kept").select("row", "removed_places")
+    cut = F.col("removed_places").isNotNull()
+    d = settled(d.withColumn("lines", F.when(cut, F.split("row.text", "\n"))), "lines")
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("removed_places"))
+    rest = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
+    d = settled(d.withColumn("rest", F.when(cut, rest)), "rest")
+    new = {
+        "text": F.coalesce("rest", "row.text"),
+        "n_chars": F.when(cut, F.length("rest").cast("long")).otherwise(F.col("row.n_chars")),
+    }
+    return d.select(*(new.get(c, F.col(f"row.{c}")).alias(c) for c in keep))

@@ -29,3 +29,24 @@ def test_stage_columns_and_decisions(spark, edge_dir):
     drawn = p.mixing_to_weights(spark, docs.where("doc_id IS NOT NULL"), edge_dir)
     assert tuple(drawn.columns) == p.COLUMNS
     assert drawn.where(F.length("text") != F.col("n_chars")).count() == 0
+
+
+def test_first_stage_cuts_frequent_lines(spark, edge_dir):
+    """The shared line goes from all its carriers but the first, and nothing else does."""
+    docs = spark.read.parquet(f"{edge_dir}/documents.parquet")
+    before = {r["doc_id"]: r["text"] for r in docs.where("source = 'host'").collect()}
+    after = {r["doc_id"]: r for r in p.quality_rules(spark, docs, edge_dir).where("source = 'host'").collect()}
+    assert set(range(400, 460)) <= set(after)
+    for i in range(400, 460):
+        want = before[i] if i == 400 else before[i].split("\n", 1)[1]
+        assert (after[i]["text"], after[i]["n_chars"]) == (want, len(want))
+
+
+def test_blank_and_repeated_lines_around_removed_ones(spark):
+    body = lambda i: "\n".join(f"{chr(97 + i // 10)}{chr(97 + i % 10)} {'abcd'[k]} " * 20 for k in range(4))
+    texts = [f"Banner {i % 10}\n\n{body(i)}\nbanner   9\n" for i in range(30)]
+    rows = [(i, t, None, "h", len(t)) for i, t in enumerate(texts)] + [(29, texts[29], None, "h", len(texts[29]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = Counter((r["doc_id"], r["text"], r["n_chars"]) for r in lines.cleaned(df, *p.COLUMNS, max_repeat=100).collect())
+    want = {i: t if i == 0 else f"\n{body(i)}\n" for i, t in enumerate(texts)}
+    assert got == Counter((r[0], want[r[0]], len(want[r[0]])) for r in rows)
