@@ -35,17 +35,20 @@ SEQUENCE = 2048
 MAX_SEGMENTS = 64
 END_TOKEN = 1
 POOL = 256
+#: Added tokens of the vocabulary's JSON form; the rank file does not have them.
+ADDED_TOKENS = {"<|endoftext|>": 50256}
 
 
 def default_vocabulary() -> str:
-    """Ranks of the public 50k byte-level BPE (the same ids as its JSON form)."""
+    """Ranks of the public 50k byte-level BPE; with ``ADDED_TOKENS`` the same
+    ids as its JSON form, byte_bpe_50k.json."""
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 class Encoder:
-    """Token ids of whole texts; strings of special tokens are ordinary text."""
+    """Token ids of whole texts; an added token's string is that token."""
 
     def __init__(self, vocabulary: str):
         import public_tokenizers
@@ -54,11 +57,11 @@ class Encoder:
         with open(vocabulary, "rb") as f:
             ranks = {base64.b64decode(k): int(v) for k, v in map(bytes.split, f)}
         self.coder = tiktoken.Encoding(
-            "bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+            "bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=ADDED_TOKENS
         )
 
     def ids(self, text: str | None) -> np.ndarray:
-        return np.array(self.coder.encode_ordinary(text) if text else [], dtype=np.uint32)
+        return np.array(self.coder.encode(text, allowed_special="all") if text else [], dtype=np.uint32)
 
 
 @dataclass(slots=True)

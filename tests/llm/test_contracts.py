@@ -183,6 +183,19 @@ def test_packing_round_trip(spark, queries, edge_dir, where):
             assert [s for s, _ in ids] == [0, *np.cumsum([n for _, n in ids])[:-1]]
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["end <|endoftext|> next", "<|endoftext|>", "a<|endoftext|><|endoftext|>b", "<|endoftext|", "x  <|endoftext|>\n\n y", "<|ENDOFTEXT|>"],
+)
+def test_added_token_has_the_ids_of_the_json(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = packing.Encoder(packing.default_vocabulary()).ids(text)
+    assert got.tolist() == coder.encode(text, add_special_tokens=False).ids
+
+
 def test_packer_keeps_all_limits():
     rng = np.random.default_rng(0)
     packer = packing.Packer(256, 4, 100)
