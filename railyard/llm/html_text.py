@@ -4,11 +4,17 @@ A page is cut into flat blocks at block-level tags. A block is described by
 its words, its link density (share of words inside links), the same two of
 the block before and after it, whether it is a heading, and where it stands:
 inside an article or main element, inside a menu, header, footer, sidebar,
-form, notice, advert or comment section, beside an article, or on a page that
+notice, advert or comment section, beside an article, or on a page that
 marks neither. A decision tree, grown on the small labelled table below,
 says which blocks are main text. Their text, with character references
 decoded and white space runs as one space, is joined in page order.
 
+Some marks may be wrong: a form or a class such as ``nav-open`` may hold the
+whole page, and the only article element may be a teaser. Blocks below such
+marks are kept apart (``DOUBTFUL``; ``LIFTED`` for an article or main element
+in there), and the page's running text, long blocks of few links, says
+afterwards which mark is believed; see ``believed``.
+
 Work is per page and streams through the tasks; nothing is shuffled.
 
 Defined cases: a null or empty html gives an empty text; markup that never
@@ -52,8 +58,26 @@ AWAY_WORD = re.compile(
 ARTICLE_WORD = re.compile(r"(?:article|post|entry|story|main)(?:[-_](?:body|content|text))?|content", re.I)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
+#: A word of layout with a suffix, or of anything with one that tells a state,
+#: may be the class of an element that holds the whole page.
+DOUBTFUL_WORD = re.compile(
+    r"(?:sidebar|side|widgets?|menu|nav|navbar|navigation|footer|header|masthead|topbar|toolbar|banner|search)[-_]\w+|"
+    r"\w+[-_](?:open|opened|closed|enabled|disabled|on|off|active|visible|hidden|shown|accepted|given|offset|left|right)",
+    re.I,
+)
+#: Parts whose articles are never the page's.
+OTHERS_WORD = re.compile(
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|related|recommend\w*|comments?|comment-\w+|disqus|replies|respond)(?:[-_]\w+)?",
+    re.I,
+)
+
 #: Where a block stands.
 INSIDE, UNMARKED, BESIDE, OUT = 2, 1, 0, -1
+#: Until the page is known: in a form or a part by a class that may hold the
+#: page, and in an article or main element in there or in a part by class.
+DOUBTFUL, LIFTED, OUT_BY_CLASS = -2, -3, -4
+#: Running text: blocks of at least so many words, at most so much in links.
+RUNNING_WORDS, RUNNING_LINKS = 10, 0.5
 
 #: The labelled table, fixed values: words, link density, words and link
 #: density of the block before and after, heading, place; then 1 for main text.
@@ -73,10 +97,18 @@ LABELLED = (
     (20, 0.2, 120, 0.0, 3, 0.0, 0, OUT, 0), (4, 0.0, 3, 0.0, 60, 0.0, 1, OUT, 0),
     (35, 1.0, 9, 1.0, 12, 0.0, 0, OUT, 0), (1, 0.0, 400, 0.0, 0, 0.0, 0, OUT, 0),
     (1200, 0.0, 2, 0.0, 2, 0.0, 0, OUT, 0), (10, 0.0, 10, 0.0, 10, 0.0, 1, OUT, 0),
+    # threads of long comments
+    (60, 0.0, 70, 0.0, 80, 0.0, 0, OUT, 0), (45, 0.1, 60, 0.0, 70, 0.1, 0, OUT, 0),
+    (120, 0.0, 45, 0.0, 45, 0.0, 0, OUT, 0), (300, 0.0, 80, 0.0, 120, 0.0, 0, OUT, 0),
+    (30, 0.0, 30, 0.0, 30, 0.0, 0, OUT, 0), (25, 0.0, 25, 0.0, 60, 0.0, 0, OUT, 0),
     # on a page with an article, but beside it
     (3, 1.0, 1, 1.0, 20, 0.0, 0, BESIDE, 0), (15, 0.0, 2, 1.0, 10, 0.0, 0, BESIDE, 0),
     (80, 0.0, 20, 0.0, 5, 0.0, 0, BESIDE, 0), (7, 0.0, 90, 0.0, 0, 0.0, 1, BESIDE, 0),
     (2, 0.0, 60, 0.0, 60, 0.0, 0, BESIDE, 0), (250, 0.1, 4, 0.0, 4, 1.0, 0, BESIDE, 0),
+    (60, 0.6, 70, 0.0, 80, 0.0, 0, BESIDE, 0), (45, 1.0, 60, 0.0, 70, 0.1, 0, BESIDE, 0),
+    # there as well: long blocks of few links in a run of such blocks
+    (60, 0.0, 70, 0.0, 80, 0.0, 0, BESIDE, 1), (45, 0.1, 60, 0.0, 70, 0.1, 0, BESIDE, 1),
+    (120, 0.0, 45, 0.0, 45, 0.0, 0, BESIDE, 1), (300, 0.0, 80, 0.0, 120, 0.0, 0, BESIDE, 1),
     # pages that mark nothing: density and neighbours decide
     (60, 0.0, 10, 0.0, 70, 0.0, 0, UNMARKED, 1), (25, 0.1, 40, 0.0, 30, 0.0, 0, UNMARKED, 1),
     (120, 0.2, 3, 1.0, 50, 0.0, 0, UNMARKED, 1), (14, 0.0, 60, 0.0, 45, 0.0, 0, UNMARKED, 1),
@@ -137,23 +169,63 @@ def _hint(attrs: str) -> int | None:
     if "=" not in attrs:
         return None
     words = [w for m in NAMES.finditer(attrs) for w in (m[1] or m[2] or m[3] or "").split()]
-    if any(AWAY_WORD.fullmatch(w) for w in words):
-        return OUT
+    away = [w for w in words if AWAY_WORD.fullmatch(w)]
+    if any(not DOUBTFUL_WORD.fullmatch(w) for w in away):
+        return OUT if any(OTHERS_WORD.fullmatch(w) and not DOUBTFUL_WORD.fullmatch(w) for w in away) else OUT_BY_CLASS
+    if away:
+        return DOUBTFUL
     return INSIDE if any(ARTICLE_WORD.fullmatch(w) for w in words) else None
 
 
 def _place(name: str, attrs: str, above: int) -> int:
     """Where the content of an element stands, given where the element does."""
-    if above == OUT or name in AWAY:
+    if above == OUT or name in AWAY and name not in ("form", "fieldset"):
         return OUT
     if name == "header":  # an article's own header holds its title
-        return above if above == INSIDE else OUT
-    if name in ("article", "main"):
-        return OUT if _hint(attrs) == OUT else INSIDE
+        return above if above in (INSIDE, LIFTED) else OUT
     hint = _hint(attrs) if name not in ("html", "body") else None
+    if hint == OUT:
+        return OUT
+    if name in ("article", "main"):
+        if hint == OUT_BY_CLASS:
+            return OUT
+        return INSIDE if name == "main" or above in (INSIDE, UNMARKED) and hint != DOUBTFUL else LIFTED
+    if above == OUT_BY_CLASS or hint == OUT_BY_CLASS:
+        return OUT_BY_CLASS
+    if above == DOUBTFUL or hint == DOUBTFUL or name in ("form", "fieldset"):
+        return LIFTED if hint == INSIDE else DOUBTFUL
+    if above == LIFTED:
+        return LIFTED
     return above if hint is None else hint
 
 
+def believed(blocks: list[tuple[str, int, float, int, int]]) -> list[tuple[str, int, float, int, int]]:
+    """Blocks with their places settled by where the page's running text is.
+
+    Articles in doubtful parts are the page's if no more running text is in
+    articles elsewhere or unmarked; doubtful parts count as unmarked if most of
+    the running text is there; and unmarked blocks are beside an article
+    unless they hold more running text than it does, as beside a teaser.
+    """
+    running = dict.fromkeys((INSIDE, UNMARKED, DOUBTFUL, LIFTED), 0)
+    for _, words, links, _, place in blocks:
+        if place in running and words >= RUNNING_WORDS and links <= RUNNING_LINKS:
+            running[place] += words
+    as_place = {OUT_BY_CLASS: OUT, LIFTED: OUT, DOUBTFUL: OUT}
+    marked, unmarked = running[INSIDE], running[UNMARKED]
+    present = {b[4] for b in blocks}
+    if LIFTED in present and running[LIFTED] >= max(marked, unmarked):
+        as_place[LIFTED] = INSIDE
+        marked += running[LIFTED]
+    if running[DOUBTFUL] > marked + unmarked:
+        as_place[DOUBTFUL] = UNMARKED
+        unmarked += running[DOUBTFUL]
+    blocks = [(*b[:4], as_place.get(b[4], b[4])) for b in blocks]
+    if any(b[4] == INSIDE for b in blocks) and unmarked <= marked:
+        blocks = [(*b[:4], BESIDE if b[4] == UNMARKED else b[4]) for b in blocks]
+    return blocks
+
+
 class Blocks:
     """Collects flat blocks: text, words, link density, heading, place."""
 
@@ -218,9 +290,7 @@ def blocks_of(html: str) -> list[tuple[str, int, float, int, int]]:
 
 
 def main_text(html: str | None, tree: tuple | int) -> str:
-    blocks = blocks_of(html or "")
-    if any(b[4] == INSIDE for b in blocks):
-        blocks = [(*b[:4], BESIDE if b[4] == UNMARKED else b[4]) for b in blocks]
+    blocks = believed(blocks_of(html or ""))
     edge = ("", 0, 0.0, 0, 0)
     kept = []
     for before, b, after in zip([edge, *blocks], blocks, [*blocks[1:], edge]):

@@ -85,6 +85,58 @@ def test_unmarked_page():
     assert html_text.main_text(page, html_text.train()).split("\n") == ["Title of it", long.strip(), "Short one.", long.strip()]
 
 
+MENU = "<nav><a href=/>Home</a></nav><header><a href=/>Site name</a></header>"
+PARAGRAPHS = ["These words are the %s paragraph of the page, %s" % (n, "and they go on " * 8 + "to its end.") for n in ("first", "second", "third")]
+BODY = "<h1>Title of it</h1>" + "".join(f"<p>{p}</p>" for p in PARAGRAPHS) + "<p>Tiny end.</p>"
+TEXT = "\n".join(["Title of it", *PARAGRAPHS, "Tiny end."])
+END = "<footer>All rights reserved by the owner of the site</footer>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<form id=aspnetForm>{MENU}<div><article>{BODY}</article></div>{END}</form>",
+        f"<form id=aspnetForm>{MENU}<div id=content>{BODY}</div>{END}</form>",
+        f"<form>{MENU}<div class=comment-list><article><p>{PARAGRAPHS[0]}</p></article></div><main>{BODY}</main>{END}</form>",
+        *(f"<div class='{c}'>{MENU}<article>{BODY}</article>{END}</div>" for c in ("sidebar-right", "nav-open", "header-offset", "sidebar")),
+        f"<div class=nav-open>{MENU}<main><article>{BODY}</article></main><div class=sidebar-left><article>{PARAGRAPHS[0]}</article></div></div>",
+        f"<main><form><div class=header-offset><article>{BODY}</article></div></form></main>{END}",
+    ],
+)
+def test_article_in_a_form_or_a_part_by_class(page):
+    assert html_text.main_text(page, html_text.train()) == TEXT
+
+
+@pytest.mark.parametrize("around", ["form", "div class=nav-open", "div class='x sidebar-right'", "div id=header-offset"])
+def test_unmarked_body_in_a_form_or_a_part_by_class(around):
+    page = f"<{around}>{MENU}<div>{BODY}</div>{END}</{around.split()[0]}>"
+    got = html_text.main_text(page, html_text.train()).split("\n")
+    assert got[:4] == ["Title of it", *PARAGRAPHS] and not any("rights" in x or "Home" in x for x in got)
+
+
+@pytest.mark.parametrize("teaser", ["<article><p>Read our other story</p></article>", "<div class=post><p>Read our other story of today, it is well worth it</p></div>"])
+def test_teaser_does_not_cost_the_body(teaser):
+    got = html_text.main_text(f"{MENU}<div>{BODY}</div>{teaser}{END}", html_text.train()).split("\n")
+    assert got[:4] == ["Title of it", *PARAGRAPHS] and not any("rights" in x or "Home" in x for x in got)
+
+
+def test_run_of_text_beside_an_article_is_decided_by_words_and_links():
+    long = ["word%d " % i * 60 for i in range(4)]
+    beside = "".join(f"<p>{x}</p>" for x in long[:3])
+    links = "".join(f"<p><a href=x>{x}</a></p>" for x in long[:3])
+    article = f"<article><p>{long[3] * 9}</p></article>"
+    tree = html_text.train()
+    assert long[1].strip() in html_text.main_text(f"{beside}{article}", tree).split("\n")
+    assert html_text.main_text(f"{links}{article}", tree) == (long[3] * 9).strip()
+
+
+def test_comments_and_related_articles_stay_out():
+    other = "".join(f"<article><p>{p}</p></article>" for p in PARAGRAPHS * 5)
+    for part in ("section id=comments", "div class=related-posts", "aside", "div class=comments-area"):
+        page = f"{MENU}<article>{BODY}</article><{part}>{other}</{part.split()[0]}>{END}"
+        assert html_text.main_text(page, html_text.train()) == TEXT
+
+
 @pytest.mark.parametrize("html", [None, "", "<", "<p", "<!--", "<script>", "</div></p>", '<a href="', "<" * 5000, "<p " + "'\"" * 3000])
 def test_broken_markup(html):
     assert isinstance(html_text.main_text(html, html_text.train()), str)
