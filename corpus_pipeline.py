@@ -20,12 +20,14 @@ from railyard.session import prepare_session
 #: The columns of ``documents``; others are left behind at the first stage.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 ORACLE_SQL = None
+#: A line of so many documents of a host is removed even below the share.
+MAX_LINE_DOCS = 10_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and keep enough of their lines,
     without their removed lines."""
-    return lines.cleaned(docs, *COLUMNS)
+    return lines.cleaned(docs, *COLUMNS, max_docs=MAX_LINE_DOCS)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

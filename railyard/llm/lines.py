@@ -6,7 +6,9 @@ carry a line is counted; documents with the same text count once, so a group
 of exact copies does not turn its own lines into boilerplate. A line carried
 by at least ``min_docs`` documents and more than ``max_share`` percent of its
 host's documents is removed from every document but its first carrier (the
-smallest doc_id). A document left with less than ``min_left`` percent of its
+smallest doc_id). With ``max_docs`` a line of at least so many documents is
+removed whatever its share, so that a large host does not shield its
+boilerplate. A document left with less than ``min_left`` percent of its
 words is depleted and rejected. Before that, base rules reject documents that
 are short or repeat themselves. ``quality_rules`` gives the verdicts,
 ``cleaned`` the kept documents without the removed lines.
@@ -126,8 +128,14 @@ def line_rows(df: DataFrame) -> DataFrame:
     ).where("line_words > 0")
 
 
-def frequent_lines(lines: DataFrame, docs: DataFrame, max_share: int, min_docs: int) -> DataFrame:
-    """``host_key, line, first_doc`` of the lines above both limits."""
+def frequent_lines(
+    lines: DataFrame, docs: DataFrame, max_share: int, min_docs: int, max_docs: int | None = None
+) -> DataFrame:
+    """``host_key, line, first_doc`` of the lines above the share and the
+    least number of documents, or above the number that is enough by itself."""
+    above = F.col("n_docs") * 100 > F.col("host_docs") * max_share
+    if max_docs is not None:
+        above = above | (F.col("n_docs") >= max_docs)
     per_line = lines.groupBy(F.struct("host").alias("host_key"), "line").agg(
         F.count_distinct("text_hash").alias("n_docs"), F.min("doc_id").alias("first_doc")
     )
@@ -137,12 +145,14 @@ def frequent_lines(lines: DataFrame, docs: DataFrame, max_share: int, min_docs:
     return (
         per_line.where(F.col("n_docs") >= min_docs)
         .join(per_host, "host_key")
-        .where(F.col("n_docs") * 100 > F.col("host_docs") * max_share)
+        .where(above)
         .select("host_key", "line", "first_doc")
     )
 
 
-def removed_words(df: DataFrame, max_share: int, min_docs: int, places: bool = False) -> DataFrame:
+def removed_words(
+    df: DataFrame, max_share: int, min_docs: int, max_docs: int | None = None, places: bool = False
+) -> DataFrame:
     """``row_key, removed_words`` of the documents that lose a line and, if
     asked for, ``removed_places``: which of their lines go."""
     gone = [F.collect_list("place").alias("removed_places")] if places else []
@@ -152,7 +162,7 @@ def removed_words(df: DataFrame, max_share: int, min_docs: int, places: bool = F
     )
     return (
         lines.withColumn("host_key", F.struct("host"))
-        .join(frequent_lines(lines, docs, max_share, min_docs), ["host_key", "line"])
+        .join(frequent_lines(lines, docs, max_share, min_docs, max_docs), ["host_key", "line"])
         .where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
         .groupBy(_row_key(), "place")  # repeated rows have the same lines
         .agg(F.max("line_words").alias("line_words"))
@@ -169,6 +179,7 @@ def quality_rules(
     min_left: int = 30,
     min_words: int = 50,
     max_repeat: int = 50,
+    max_docs: int | None = None,
     places: bool = False,
 ) -> DataFrame:
     """Base measures, removed words and the verdict for every row of ``df``;
@@ -180,7 +191,7 @@ def quality_rules(
     one partial row per task) and one small row per document that loses a
     line. Those are written, so that the last join is planned by their size.
     """
-    removed = written(removed_words(df, max_share, min_docs, places), "removed")
+    removed = written(removed_words(df, max_share, min_docs, max_docs, places), "removed")
     base_failed = (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > max_repeat * F.col("n_words")
     )

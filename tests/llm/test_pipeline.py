@@ -50,3 +50,14 @@ def test_blank_and_repeated_lines_around_removed_ones(spark):
     got = Counter((r["doc_id"], r["text"], r["n_chars"]) for r in lines.cleaned(df, *p.COLUMNS, max_repeat=100).collect())
     want = {i: t if i == 0 else f"\n{body(i)}\n" for i, t in enumerate(texts)}
     assert got == Counter((r[0], want[r[0]], len(want[r[0]])) for r in rows)
+
+
+@pytest.mark.parametrize("limit, n_carriers, cut", [(None, 25, False), (25, 25, True), (26, 25, False), (5, 19, False)])
+def test_line_of_many_documents_goes_from_a_large_host(spark, monkeypatch, limit, n_carriers, cut):
+    """25 of 300 documents are under the share; 19 are too few for any host."""
+    name = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    texts = [("banner line\n" if i < n_carriers else "") + " ".join(f"{name(i)}x{name(k)}" for k in range(60)) for i in range(300)]
+    df = spark.createDataFrame([(i, t, None, "h", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    monkeypatch.setattr(p, "MAX_LINE_DOCS", limit)
+    got = {r["doc_id"]: r["text"] for r in p.quality_rules(spark, df, "").collect()}
+    assert got == {i: t.removeprefix("banner line\n") if cut and i else t for i, t in enumerate(texts)}
