@@ -39,21 +39,24 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id.
+    """One document of each group: the one with the smallest id, or in a group
+    without ids one of its texts.
 
-    Rows repeated with the same id and text are one document as well; they are
-    the only texts that are grouped here.
+    Rows are known by id and text. Rows repeated with the same id and text are
+    one document as well; they are the only texts that are grouped here.
     """
     docs = docs.select(*COLUMNS)
-    found = written(neardup.near_duplicates(docs), "found")
-    dropped = written(found.where("NOT kept").select("doc_id").distinct(), "dropped")
+    row_key = F.struct("doc_id", "key").alias("row_key")
+    found = written(neardup.judged(docs).withColumn("row_key", row_key), "found")
+    dropped = written(found.where("NOT sole").select("row_key").distinct(), "dropped")
+    one = found.where("sole AND (doc_id IS NOT NULL OR n_shingles > 0)")
     repeated = written(
-        found.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id"),
-        "repeated",
+        one.groupBy("row_key").agg(F.count("*").alias("n")).where("n > 1").select("row_key"), "repeated"
     )
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    once = kept.join(repeated, "doc_id", "left_anti")
-    return once.union(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])).select(*COLUMNS)
+    keyed = docs.withColumn("key", neardup.text_key()).withColumn("row_key", row_key).drop("key")
+    kept = keyed.join(dropped, "row_key", "left_anti")
+    once = kept.join(repeated, "row_key", "left_anti")
+    return once.union(kept.join(repeated, "row_key", "left_semi").dropDuplicates(["doc_id", "text"])).select(*COLUMNS)
 
 
 def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ Class numbers are 64-bit hashes of the sets.
 
 Defined cases: a null text, or one without words, has no set, is linked with
 nothing and is kept; fewer than five words are one shingle; a null doc_id is
-no candidate for the smallest id; rows repeated with the same doc_id are the
+no candidate for the smallest id, but its text links like any other; rows repeated with the same doc_id are the
 same document and get equal results; an empty table gives an empty table.
 """
 
@@ -116,8 +116,14 @@ def class_number(hashes: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def text_key() -> Column:
+    """With the id, what a row is known by."""
+    return F.xxhash64("text").alias("key")
+
+
 def signed(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, c, sig``; c and sig are null for an empty set."""
+    """``doc_id, key, n_shingles, c, sig``; key is a hash of the text, c and
+    sig are null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
@@ -129,11 +135,16 @@ def signed(docs: DataFrame) -> DataFrame:
                 c.append(class_number(s) if len(s) else None)
                 sig.append(signature(s).tobytes() if len(s) else None)
             yield pa.record_batch(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.array(sig, pa.binary())],
-                names=["doc_id", "n_shingles", "c", "sig"],
-            )
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, c long, sig binary")
+                [
+                    batch.column(0), batch.column(2),
+                    pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.array(sig, pa.binary()),
+                ],
+                names=["doc_id", "key", "n_shingles", "c", "sig"],
+            )
+
+    return docs.select("doc_id", "text", text_key()).mapInArrow(
+        run, "doc_id long, key long, n_shingles long, c long, sig binary"
+    )
 
 
 # ------------------------------------------------------------------ candidates
@@ -299,7 +310,8 @@ def _links(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _with_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """``members`` (``c, rep, ...``) with the shingle sets of their texts."""
+    """``members`` (``c, rep, key, ...``) with the shingle sets of their texts,
+    found by the id or, in classes that have none, by the text's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
@@ -316,7 +328,11 @@ def _with_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
             )
 
     texts = docs.select("doc_id", "text").join(members.select("c", F.col("rep").alias("doc_id")), "doc_id")
-    sets = texts.select("c", "text").mapInArrow(run, "c long, shingles binary").dropDuplicates(["c"])
+    unnamed = docs.where("doc_id IS NULL").select(text_key(), "text").dropDuplicates(["key"])
+    texts = texts.select("c", "text").union(
+        unnamed.join(members.where("rep IS NULL").select("c", "key"), "key").select("c", "text")
+    )
+    sets = texts.mapInArrow(run, "c long, shingles binary").dropDuplicates(["c"])
     return members.join(sets, "c")
 
 
@@ -351,12 +367,19 @@ def links(docs: DataFrame, classes: DataFrame, edges: DataFrame, block: int = BL
 
 def near_duplicates(docs: DataFrame, small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
+    return judged(docs, small, block).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def judged(docs: DataFrame, small: int = SMALL, block: int = BLOCK) -> DataFrame:
+    """As ``near_duplicates``, with ``key`` and ``sole``: kept, and if the group
+    has no id at all, of the one text that stands for it."""
     every = written(signed(docs), "signed")
     classes = written(
         every.where("c IS NOT NULL")
         .groupBy("c")
         .agg(
             F.min("doc_id").alias("rep"),
+            F.min("key").alias("key"),
             F.max("n_shingles").alias("n"),
             F.first("sig").alias("sig"),  # equal within a class
             F.count("*").alias("copies"),
@@ -365,22 +388,35 @@ def near_duplicates(docs: DataFrame, small: int = SMALL, block: int = BLOCK) ->
     )
     edges = written(candidate_edges(classes, small, block), "candidates")
     found = connected_components(links(docs, classes, edges, block)).withColumnRenamed("node", "c")
-    named = classes.select("c", "rep", "copies").join(found, "c", "left")
+    named = classes.select("c", "rep", "key", "copies").join(found, "c", "left")
     smallest = (
-        named.where("label IS NOT NULL").groupBy("label").agg(F.min("rep").alias("smallest"))
+        named.where("label IS NOT NULL")
+        .groupBy("label")
+        .agg(F.min("rep").alias("smallest"), F.min("key").alias("least"))
     )
     table = (
         named.where("label IS NOT NULL OR copies > 1")
         .join(smallest, "label", "left")
-        .select("c", F.coalesce("smallest", "rep").alias("component"))
+        .select(
+            "c",
+            F.coalesce("smallest", "rep").alias("component"),
+            F.coalesce("least", "key").alias("lead"),
+        )
     )
     return (
-        every.select("doc_id", "n_shingles", "c")
+        every.select("doc_id", "key", "n_shingles", "c")
         .join(table, "c", "left")
         .select(
             "doc_id",
+            "key",
             "n_shingles",
             F.coalesce("component", "doc_id").alias("component_id"),
+            "lead",
         )
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .withColumn(
+            "sole",
+            F.col("kept") & (F.col("doc_id").isNotNull() | F.coalesce(F.col("key") == F.col("lead"), F.lit(True))),
+        )
+        .drop("lead")
     )

@@ -5,8 +5,9 @@ from collections import Counter
 import corpus_pipeline as p
 import pytest
 from pyspark.sql import functions as F
+from test_contracts import check_components
 
-from railyard.llm import lines
+from railyard.llm import lines, neardup
 
 
 @pytest.mark.parametrize("which", ["edge", "empty"])
@@ -61,3 +62,28 @@ def test_line_of_many_documents_goes_from_a_large_host(spark, monkeypatch, limit
     monkeypatch.setattr(p, "MAX_LINE_DOCS", limit)
     got = {r["doc_id"]: r["text"] for r in p.quality_rules(spark, df, "").collect()}
     assert got == {i: t.removeprefix("banner line\n") if cut and i else t for i, t in enumerate(texts)}
+
+
+def test_near_copies_without_ids(spark):
+    """A text without an id bridges two others; of a group without ids one text stays."""
+    words = [f"w{i}x" for i in range(200)]
+    swap = lambda w, *at: [f"s{i}" if i in at else x for i, x in enumerate(w)]
+    bridge = swap(words, 50)
+    far = swap(bridge, 100, 150)
+    apart = [f"v{i}" for i in range(200)]
+    other = [f"u{i}" for i in range(200)]
+    rows = [(1, swap(words, 20, 80)), (None, words), (None, words), (2, swap(words, 120, 180))]
+    rows += [(None, apart), (None, apart), (None, swap(apart, 60)), (None, swap(apart, 60, 90)), (None, far[:7])]
+    rows += [(3, other), (4, swap(other, 9)), (4, far[:40])]
+    docs = [(i, " ".join(w), None) for i, w in rows] + [(None, None, None), (None, None, None)]
+    df = spark.createDataFrame(
+        [(i, t, None, "h", len(t or "")) for i, t, _ in docs], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    check_components([r.asDict() for r in neardup.near_duplicates(df).collect()], docs)
+    ids = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(df.where("doc_id IS NULL OR doc_id < 3")).collect()}
+    assert ids[1] == ids[2] == 1  # not alike themselves
+    got = Counter((r["doc_id"], r["text"]) for r in p.near_duplicates(spark, df, "").collect())
+    left = {t for i, t in got if i is None and t is not None}
+    assert len(left & {" ".join(rows[k][1]) for k in (4, 6, 7)}) == 1 and " ".join(far[:7]) in left and len(left) == 2
+    assert got[None, None] == 2 and got[4, " ".join(far[:40])] == 1 and (4, docs[10][1]) not in got
+    assert got[1, docs[0][1]] == 1 and got[3, docs[9][1]] == 1 and sum(got.values()) == 7
