@@ -196,6 +196,25 @@ def test_added_token_has_the_ids_of_the_json(text):
     assert got.tolist() == coder.encode(text, add_special_tokens=False).ids
 
 
+def test_pack_with_prompts_and_a_loss_limit(spark):
+    """Ids of prompts bear no loss; the loss limit closes sequences before the others do."""
+    rows_in = [(i, "answer word " * (i % 40 + 1), None if i % 5 == 0 else "ask this " * (i % 30)) for i in range(120)]
+    df = spark.createDataFrame(rows_in, "doc_id long, text string, prompt string").repartition(2)
+    got = rows(packing.pack(df, sequence=512, max_loss=100))
+    coder = packing.Encoder(packing.default_vocabulary())
+    loss, fill, spent = Counter(), Counter(), Counter()
+    for r in got:
+        fill[r["sequence_id"]] += r["length"]
+        spent[r["sequence_id"]] += r["loss_tokens"]
+        loss[r["doc_id"]] += r["loss_tokens"]
+    assert max(fill.values()) <= 512 and 50 < max(spent.values()) <= 100
+    for i, text, prompt in rows_in:
+        head = coder.ids(prompt)
+        want = np.concatenate([head, coder.ids(text), [1]]).astype("<u4")
+        pieces = sorted((r["start"], bytes(r["ids"])) for r in got if r["doc_id"] == i)
+        assert b"".join(b for _, b in pieces) == want.tobytes() and loss[i] == len(want) - len(head)
+
+
 def test_packer_keeps_all_limits():
     rng = np.random.default_rng(0)
     packer = packing.Packer(256, 4, 100)
