@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from landing import land
-from conftest import SMALL
+from testdata import SMALL
 import pytest
 
 from railyard.plans.batch import read_mart, run_batch, run_mart

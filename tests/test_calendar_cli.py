@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from testdata import SMALL
 from landing import land
 from railyard.cli import main
 from railyard.operators import calendar as cal

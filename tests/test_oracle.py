@@ -7,7 +7,7 @@ import math
 import duckdb
 import pytest
 
-from conftest import SMALL
+from testdata import SMALL
 import __spark_entry__ as entry
 from railyard.plans.registry import queries as own_queries
 
