@@ -5,7 +5,7 @@ from collections import Counter
 import corpus_pipeline as p
 import pytest
 from pyspark.sql import functions as F
-from test_contracts import check_components
+from brute_force import check_components
 
 from railyard.llm import lines, neardup
 
