@@ -131,4 +131,55 @@ SELECT p.*, CASE WHEN page_id IS DISTINCT FROM keeper AND keeper IS NOT NULL THE
        CASE WHEN page_id IS DISTINCT FROM keeper THEN keeper END AS refers_to
 FROM p LEFT JOIN k ON p.payload_digest = k.payload_digest AND p.payload_bytes >= 1000"""
 
-SQL = {"op2_mixing": OP2, "op3_line_frequency": OP3, "op6_url_filter": OP6, "op9_warc": OP9}
+OP12 = """
+WITH RECURSIVE remainder(n, k, c) AS (
+  SELECT n, 0, n FROM range(256) r(n)
+  UNION ALL
+  SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM remainder WHERE k < 8),
+ids AS (SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR) AS digits FROM documents WHERE doc_id IS NOT NULL),
+crc(doc_id, digits, i, c) AS (
+  SELECT doc_id, digits, 0, 4294967295::BIGINT FROM ids
+  UNION ALL
+  SELECT w.doc_id, digits, i + 1, xor(t.c, w.c >> 8)
+  FROM crc w JOIN remainder t ON t.k = 8 AND t.n = xor(w.c, ascii(substr(digits, i + 1, 1))) & 255
+  WHERE i < length(digits)),
+touched AS (SELECT doc_id FROM crc WHERE i = length(digits) AND xor(c, 4294967295) % 7 = 0),
+cells AS (
+  SELECT doc_id, lang, [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text] AS own,
+         [CAST(doc_id AS VARCHAR), source, lang,
+          CAST(n_chars + CASE WHEN doc_id IN (SELECT doc_id FROM touched) THEN 1 ELSE 0 END AS VARCHAR), text] AS claim
+  FROM documents),
+digests AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g,
+         sha256(array_to_string([CASE WHEN v IS NULL THEN '-' ELSE strlen(v) || ':' || v END FOR v IN own], '')) AS leaf,
+         sha256(array_to_string([CASE WHEN v IS NULL THEN '-' ELSE strlen(v) || ':' || v END FOR v IN claim], '')) AS claimed
+  FROM cells),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY g) AS n
+  FROM digests),
+tree(g, k, p, n, h) AS (
+  SELECT g, 0, p, n, leaf FROM leaves
+  UNION ALL
+  SELECT g, k + 1, p // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY p)) FROM tree WHERE n > 1 GROUP BY g, k, p // 2),
+subroots AS (
+  SELECT g, h, k AS height, row_number() OVER (ORDER BY encode(g)) - 1 AS p, count(*) OVER () AS n FROM tree WHERE n = 1),
+crown(k, p, n, h) AS (
+  SELECT 0, p, n, h FROM subroots
+  UNION ALL
+  SELECT k + 1, p // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY p)) FROM crown WHERE n > 1 GROUP BY k, p // 2),
+fold(start, g, k, p, n, f, proof) AS (
+  SELECT p, g, 0, p, n, claimed, '' FROM leaves
+  UNION ALL
+  SELECT f.start, f.g, f.k + 1, f.p // 2, (f.n + 1) // 2,
+         sha256(CASE WHEN t.h IS NULL THEN f.f WHEN t.p < f.p THEN t.h || f.f ELSE f.f || t.h END), proof || coalesce(t.h, '')
+  FROM fold f LEFT JOIN tree t ON t.g = f.g AND t.k = f.k AND t.p = xor(f.p, 1) WHERE f.n > 1),
+rise(start, g, k, p, n, f, proof) AS (
+  SELECT f.start, f.g, 0, s.p, s.n, f.f, f.proof FROM fold f JOIN subroots s ON s.g = f.g AND f.n = 1
+  UNION ALL
+  SELECT r.start, r.g, r.k + 1, r.p // 2, (r.n + 1) // 2,
+         sha256(CASE WHEN c.h IS NULL THEN r.f WHEN c.p < r.p THEN c.h || r.f ELSE r.f || c.h END), proof || coalesce(c.h, '')
+  FROM rise r LEFT JOIN crown c ON c.k = r.k AND c.p = xor(r.p, 1) WHERE r.n > 1)
+SELECT l.doc_id, l.leaf, s.h AS subroot, c.h AS root, sha256(r.proof) AS proof_sha256, r.f AS folded_root, r.f = c.h AS verified
+FROM leaves l JOIN rise r ON r.g = l.g AND r.start = l.p AND r.n = 1 JOIN subroots s ON s.g = l.g JOIN crown c ON c.n = 1"""
+
+SQL = {"op2_mixing": OP2, "op3_line_frequency": OP3, "op6_url_filter": OP6, "op9_warc": OP9, "op12_merkle_manifest": OP12}

@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline as registered queries, with oracle SQL."""
+"""The operators and the pipeline as registered queries, with oracle SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railyard.llm import fingerprints, html_text, lines, mixing, neardup, oracle, packing, quality, toxicity, urls, warc
+from railyard.llm import fingerprints, html_text, lines, merkle, mixing, neardup, oracle, packing, quality, toxicity, urls, warc
 from railyard.llm.common import table
 from railyard.session import prepare_session
 
@@ -68,6 +68,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(table(spark, sf_dir, "documents", *merkle.LEAF_COLUMNS))
+
+
 _QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -81,6 +85,7 @@ _QUERIES: dict[str, Query] = {
         op8_packing,
         op9_warc,
         op10_near_duplicates,
+        op12_merkle_manifest,
     )
 }
 
