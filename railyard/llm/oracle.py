@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from railyard.llm.license_rules import RULES
+from railyard.llm.licenses import placed_pattern
+
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
 LOWER = "'abcdefghijklmnopqrstuvwxyz'"
@@ -182,4 +185,40 @@ rise(start, g, k, p, n, f, proof) AS (
 SELECT l.doc_id, l.leaf, s.h AS subroot, c.h AS root, sha256(r.proof) AS proof_sha256, r.f AS folded_root, r.f = c.h AS verified
 FROM leaves l JOIN rise r ON r.g = l.g AND r.start = l.p AND r.n = 1 JOIN subroots s ON s.g = l.g JOIN crown c ON c.n = 1"""
 
-SQL = {"op2_mixing": OP2, "op3_line_frequency": OP3, "op6_url_filter": OP6, "op9_warc": OP9, "op12_merkle_manifest": OP12}
+def _rule_values() -> str:
+    row = lambda r: f"({r.number}, '{r.label}', {r.priority}, {r.confidence}::DOUBLE, '{placed_pattern(r.pattern)}', {r.base})"
+    return ", ".join(map(row, RULES))
+
+
+OP13 = rf"""
+WITH rules(number, label, priority, confidence, pattern, base) AS (VALUES {_rule_values()}),
+docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), {UPPER}, {LOWER}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+  FROM documents),
+placed AS (
+  SELECT row_id, doc_id, CAST(len(words) AS BIGINT) AS n_words,
+         array_to_string(list_transform(words, lambda w, i: ' ' || (i - 1) || '~' || w || ' '), '') AS p
+  FROM docs),
+spans AS (
+  SELECT *, CAST(regexp_extract(m, '^ (\d+)~', 1) AS BIGINT) AS a, CAST(regexp_extract(m, '(\d+)~\S+ $', 1) AS BIGINT) AS z
+  FROM (SELECT row_id, r.*, unnest(regexp_extract_all(p, pattern)) AS m FROM placed, rules r)),
+stay AS (
+  SELECT * FROM spans s WHERE base OR NOT EXISTS (
+    SELECT 1 FROM spans o WHERE NOT o.base AND o.row_id = s.row_id AND (
+      (o.a <= s.a AND o.z >= s.z AND o.priority >= s.priority
+        AND (o.a < s.a OR o.z > s.z OR o.priority > s.priority OR o.number < s.number))
+      OR (o.a >= s.a AND o.z <= s.z AND o.priority > s.priority)))),
+per_row AS (
+  SELECT row_id, count(*) FILTER (WHERE base) AS n_base, min(a) FILTER (WHERE base) AS first_word,
+         max(a) FILTER (WHERE base) AS last_word,
+         array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE base)), ',') AS base_labels,
+         array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(confidence) AS score,
+         count(*) FILTER (WHERE NOT base) AS n_method
+  FROM stay GROUP BY row_id)
+SELECT doc_id, n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+       coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score, coalesce(n_method, 0)::BIGINT AS n_method
+FROM placed LEFT JOIN per_row USING (row_id)"""
+
+SQL = {"op2_mixing": OP2, "op3_line_frequency": OP3, "op6_url_filter": OP6, "op9_warc": OP9, "op12_merkle_manifest": OP12,
+       "op13_license_scan": OP13}

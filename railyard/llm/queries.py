@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railyard.llm import fingerprints, html_text, lines, merkle, mixing, neardup, oracle, packing, quality, toxicity, urls, warc
+from railyard.llm import fingerprints, html_text, licenses, lines, merkle, mixing, neardup, oracle, packing, quality, toxicity, urls, warc
 from railyard.llm.common import table
 from railyard.session import prepare_session
 
@@ -72,6 +72,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_check(table(spark, sf_dir, "documents", *merkle.LEAF_COLUMNS))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 _QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -86,6 +90,7 @@ _QUERIES: dict[str, Query] = {
         op9_warc,
         op10_near_duplicates,
         op12_merkle_manifest,
+        op13_license_scan,
     )
 }
 

@@ -16,6 +16,7 @@ from railyard.llm import oracle, packing
 NAMES = [
     "op1_fingerprints", "op2_mixing", "op3_line_frequency", "op4_html_text", "op5_toxicity",
     "op6_url_filter", "op7_quality", "op8_packing", "op9_warc", "op10_near_duplicates", "op12_merkle_manifest",
+    "op13_license_scan",
 ]
 SF = "/root/testdata/sf0.001"
 
