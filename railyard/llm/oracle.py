@@ -134,6 +134,30 @@ SELECT p.*, CASE WHEN page_id IS DISTINCT FROM keeper AND keeper IS NOT NULL THE
        CASE WHEN page_id IS DISTINCT FROM keeper THEN keeper END AS refers_to
 FROM p LEFT JOIN k ON p.payload_digest = k.payload_digest AND p.payload_bytes >= 1000"""
 
+TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), {UPPER}, {LOWER}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP11 = f"""
+WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, {TERMS} AS terms FROM documents),
+items AS (SELECT row_number() OVER () AS item, item_id, list_distinct({TERMS}) AS terms FROM benchmark),
+sizes AS (
+  SELECT CAST(count(*) FILTER (WHERE len(terms) > 0) AS BIGINT) AS docs, CAST(sum(len(terms)) AS BIGINT) AS total FROM docs),
+asked AS (SELECT item, item_id, unnest(terms) AS term FROM items),
+counted AS (
+  SELECT row_id, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf
+  FROM (SELECT row_id, doc_id, CAST(len(terms) AS BIGINT) AS n, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * s.docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, sizes s GROUP BY term, s.docs),
+scored AS (
+  SELECT item, item_id, row_id, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * c.n * s.docs) // s.total)))) AS BIGINT) AS score
+  FROM asked JOIN counted c USING (term) JOIN weights USING (term), sizes s GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50"""
+
 OP12 = """
 WITH RECURSIVE remainder(n, k, c) AS (
   SELECT n, 0, n FROM range(256) r(n)
@@ -220,5 +244,6 @@ SELECT doc_id, n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_
        coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score, coalesce(n_method, 0)::BIGINT AS n_method
 FROM placed LEFT JOIN per_row USING (row_id)"""
 
-SQL = {"op2_mixing": OP2, "op3_line_frequency": OP3, "op6_url_filter": OP6, "op9_warc": OP9, "op12_merkle_manifest": OP12,
+SQL = {"op2_mixing": OP2, "op3_line_frequency": OP3, "op6_url_filter": OP6, "op9_warc": OP9, "op11_lexical_search": OP11,
+       "op12_merkle_manifest": OP12,
        "op13_license_scan": OP13}

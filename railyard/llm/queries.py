@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railyard.llm import fingerprints, html_text, licenses, lines, merkle, mixing, neardup, oracle, packing, quality, toxicity, urls, warc
+from railyard.llm import fingerprints, html_text, licenses, lines, merkle, mixing, neardup, oracle, packing, quality, search, toxicity, urls, warc
 from railyard.llm.common import table
 from railyard.session import prepare_session
 
@@ -68,6 +68,11 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return search.ranked_search(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_check(table(spark, sf_dir, "documents", *merkle.LEAF_COLUMNS))
 
@@ -89,6 +94,7 @@ _QUERIES: dict[str, Query] = {
         op8_packing,
         op9_warc,
         op10_near_duplicates,
+        op11_lexical_search,
         op12_merkle_manifest,
         op13_license_scan,
     )

@@ -92,10 +92,29 @@ PAGES = [
 ]
 
 
+#: Queries with repeated, rare and unknown terms, without any, and twice the same.
+ITEMS = [
+    (1, "w1 w2 w3 w4 W5 w6 w7 w8 w9 w10"), (2, "Über naïve ŽIVOT 日本 a&b"), (3, None), (4, ""), (5, " .,;\n"),
+    (6, "shared line number"), (7, "nowhere to be found"), (8, "spam spam SPAM"), (None, "w11 w12 w13"), (1, "w1 one two"),
+    (9, " ".join("w%d" % i for i in range(400))), (9, " ".join("w%d" % i for i in range(400))), (10, "x" * 5000),
+]
+
+
+def write_items(folder, rows):
+    item_id, text = zip(*rows) if rows else ((), ())
+    n = len(rows)
+    clash = {c: pa.array([None] * n, pa.string()) for c in ("doc_id", "number", "score", "rank")}
+    pq.write_table(
+        pa.table({"item_id": pa.array(item_id, pa.int64()), "text": pa.array(text, pa.string()), **clash}),
+        f"{folder}/benchmark.parquet",
+    )
+
+
 @pytest.fixture(scope="session")
 def edge_dir(tmp_path_factory):
     d = tmp_path_factory.mktemp("edge")
     write_tables(d, edge_rows())
+    write_items(d, ITEMS)
     return write_pages(d, PAGES)
 
 
@@ -103,6 +122,7 @@ def edge_dir(tmp_path_factory):
 def empty_dir(tmp_path_factory):
     d = tmp_path_factory.mktemp("empty")
     write_tables(d, [])
+    write_items(d, [])
     return write_pages(d, [])
 
 
