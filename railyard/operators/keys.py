@@ -18,9 +18,9 @@ without ever moving all rows into one task (a global window would):
 Left to itself (no ``num_partitions``) AQE merges neighbouring small ranges,
 so a dimension of a few rows is one small file.
 
-``materialize=True`` writes the input first, for inputs whose upstream is
-expensive (a fact batch after its lookups): finding the range bounds reads
-the input once more.
+Number the staged batch, or only its key, and attach lookups afterwards: the
+rows are then written once, as narrow as they come, and the lookups run once,
+as a projection of what was written.
 """
 
 from __future__ import annotations
@@ -47,7 +47,6 @@ def assign_surrogates(
     sk: str,
     base: Column | int = 0,
     num_partitions: int | None = None,
-    materialize: bool = False,
 ) -> DataFrame:
     """Add ``sk`` = base+1 .. base+n, dense, in ``order_by`` order.
 
@@ -57,8 +56,6 @@ def assign_surrogates(
     """
     spark = df.sparkSession
     base_col = base if isinstance(base, Column) else F.lit(int(base))
-    if materialize:
-        df = written(df, "to_number")
     ranges = [num_partitions, *order_by] if num_partitions else order_by
     tagged = written(
         df.repartitionByRange(*ranges)

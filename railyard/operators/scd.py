@@ -58,6 +58,33 @@ def empty_versions(
     return empty(incoming.sparkSession, T.StructType(fields))
 
 
+def scd2_first_load(
+    incoming: DataFrame,
+    key,
+    as_of,
+    *,
+    sk: str,
+    valid_from: str = "valid_from",
+    valid_to: str = "valid_to",
+    is_current: str = "is_current",
+    new_defaults: dict[str, Column] | None = None,
+    with_change: bool = False,
+) -> DataFrame:
+    """The dimension after its first batch: every row is a version that opens
+    at ``as_of``. What :func:`scd2_merge` gives on an empty table, without the
+    join and its written pairs."""
+    keyed = assign_surrogates(incoming, _as_list(key), sk)
+    return keyed.select(
+        sk,
+        *incoming.columns,
+        *[value.alias(name) for name, value in (new_defaults or {}).items()],
+        ts_literal(as_of).alias(valid_from),
+        F.lit(None).cast(T.TimestampType()).alias(valid_to),
+        F.lit(True).alias(is_current),
+        *([F.lit("new").alias(CHANGE)] if with_change else []),
+    )
+
+
 def scd2_merge(
     current: DataFrame,
     incoming: DataFrame,
@@ -286,6 +313,7 @@ def validity_report(
 __all__ = [
     "CHANGE",
     "empty_versions",
+    "scd2_first_load",
     "scd2_merge",
     "scd1_upsert",
     "infer_members",

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from railyard.operators.conform import dedupe_latest
 from railyard.operators.keys import assign_surrogates, max_key
 from railyard.operators.lookup import absent_rows
-from railyard.operators.scd import empty_versions, infer_members, scd1_upsert, scd2_merge
+from railyard.operators.scd import infer_members, scd1_upsert, scd2_first_load, scd2_merge
 from railyard.schemas import empty
 
 # The attributes whose change opens a new version.
@@ -37,27 +37,19 @@ def route_dimension(
 ) -> DataFrame:
     """SCD2 route dimension after ``incoming`` at ``as_of``."""
     compare = [c for c in ROUTE_COMPARE if c in incoming.columns]
+    names = dict(sk="route_sk", new_defaults={"active_flag": F.lit(True)}, with_change=with_change)
     if current is None:
-        current = empty_versions(incoming, "route_sk", extra={"active_flag": T.BooleanType()})
-    return scd2_merge(
-        current,
-        incoming,
-        "route_id",
-        compare,
-        as_of,
-        sk="route_sk",
-        new_defaults={"active_flag": F.lit(True)},
-        with_change=with_change,
-    )
+        return scd2_first_load(incoming, "route_id", as_of, **names)
+    return scd2_merge(current, incoming, "route_id", compare, as_of, **names)
 
 
 def user_dimension(current: DataFrame | None, incoming: DataFrame, as_of) -> DataFrame:
     """SCD2 user dimension with ``effective_*`` interval names."""
     compare = [c for c in USER_COMPARE if c in incoming.columns]
-    names = dict(valid_from="effective_from", valid_to="effective_to", is_current="is_current")
+    names = dict(sk="user_sk", valid_from="effective_from", valid_to="effective_to", is_current="is_current")
     if current is None:
-        current = empty_versions(incoming, "user_sk", **names)
-    return scd2_merge(current, incoming, "user_id", compare, as_of, sk="user_sk", **names)
+        return scd2_first_load(incoming, "user_id", as_of, **names)
+    return scd2_merge(current, incoming, "user_id", compare, as_of, **names)
 
 
 def vehicle_dimension(current: DataFrame | None, incoming: DataFrame) -> DataFrame:

@@ -1,10 +1,12 @@
 """Fact loads (J8-J10): surrogate lookups, projection, audit stamp.
 
-Each builder takes a conformed raw batch and the dimensions it references
-and returns fact rows without their own surrogate; ``keyed`` then drops rows
-already loaded (insert-if-absent on the unique key, D10) and numbers the
-rest (K1). Dimensions are small next to facts and are broadcast when their
-bytes allow it; lookups never change the fact row count.
+``keyed`` drops rows of a conformed batch that are already loaded
+(insert-if-absent on the unique key, D10) and numbers the rest (K1). Each
+builder then takes the batch, numbered or not, and the dimensions it
+references and returns fact rows: a projection of the numbered batch, so
+lookups run once and wide rows are not written for the numbering. Dimensions
+are small next to facts and are broadcast when their bytes allow it; lookups
+never change the fact row count.
 """
 
 from __future__ import annotations
@@ -70,7 +72,7 @@ def build_fact_trip(
     inserted_at=None,
     mode: str = "current",
 ) -> DataFrame:
-    """Trips -> fact_trip rows (without ``trip_sk``).
+    """Trips -> fact_trip rows (with ``trip_sk`` if the batch is numbered).
 
     ``mode`` picks the route/user version: ``current`` (what the batch job
     did) or ``as_of`` the trip's start (historical coherence).
@@ -84,6 +86,7 @@ def build_fact_trip(
     f = _sk(f, dim_stop, "stop_id", "stop_sk", fact_key="end_stop_id",
             sk_as="end_stop_sk")
     return f.select(
+        *[c for c in ("trip_sk",) if c in trips.columns],
         "trip_id",
         "user_sk",
         "route_sk",
@@ -113,7 +116,7 @@ def build_fact_payment(
     inserted_at=None,
     mode: str = "current",
 ) -> DataFrame:
-    """Payments -> fact_payment rows (without ``payment_sk``).
+    """Payments -> fact_payment rows (with ``payment_sk`` if numbered).
 
     The method resolves by ``payment_method = code`` (D2); the trip link
     (D6) by ``trip_id`` against the trip fact, a fact-to-fact join shuffled on
@@ -129,6 +132,7 @@ def build_fact_payment(
     f = _sk(f, dim_route, "route_id", "route_sk", mode=mode, ts="paid_at")
     f = _sk(f, dim_payment_method, "code", "payment_method_sk", fact_key="payment_method")
     return f.select(
+        *[c for c in ("payment_sk",) if c in payments.columns],
         "payment_id",
         "user_sk",
         "route_sk",
@@ -169,26 +173,15 @@ def build_fact_position(
     )
 
 
-def keyed(
-    new_rows: DataFrame,
-    existing: DataFrame | None,
-    key: str,
-    sk: str,
-    *,
-    materialize: bool = True,
-) -> DataFrame:
+def keyed(new_rows: DataFrame, existing: DataFrame | None, key: str, sk: str) -> DataFrame:
     """D10 + K1: rows of ``new_rows`` not yet in ``existing`` (by ``key``),
-    numbered after the existing maximum surrogate. ``sk`` comes first.
-
-    ``materialize`` writes the rows before numbering (their lookups then run
-    once); pass False when they are already a cheap projection of a stored
-    batch."""
+    numbered after the existing maximum surrogate. ``sk`` comes first."""
     if existing is not None:
         new_rows = absent_rows(new_rows, existing, key)
         base = max_key(existing, sk)
     else:
         base = 0
-    out = assign_surrogates(new_rows, [key], sk, base=base, materialize=materialize)
+    out = assign_surrogates(new_rows, [key], sk, base=base)
     return out.select(sk, *[c for c in new_rows.columns if c != sk])
 
 

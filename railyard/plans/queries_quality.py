@@ -40,15 +40,19 @@ def deduped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_latest(fx.table(spark, sf_dir, "lineitem"), LINE_KEY, ["l_shipdate"])
 
 
-@per_query
-def daily_trips(spark: SparkSession, sf_dir: str, dedupe: bool = True) -> DataFrame:
+def trips_of_lines(spark: SparkSession, sf_dir: str, dedupe: bool = True) -> DataFrame:
     """Daily trips from line items (deduplicated on the line key first)."""
     lines = deduped_lines(spark, sf_dir) if dedupe else fx.table(spark, sf_dir, "lineitem")
     orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     joined = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"], "left").drop("o_orderkey")
-    trips = fx.raw_daily_trips(joined)
-    # The deduplicated batch feeds several jobs (stop dimension, fact rows,
-    # checks): compute it once and cut its lineage, as a staged table would.
+    return fx.raw_daily_trips(joined)
+
+
+@per_query
+def daily_trips(spark: SparkSession, sf_dir: str, dedupe: bool = True) -> DataFrame:
+    """The daily trips; the deduplicated batch feeds several jobs, so it is
+    computed once and its lineage cut, as a staged table would."""
+    trips = trips_of_lines(spark, sf_dir, dedupe)
     return written(trips, "daily_trips") if dedupe else trips
 
 

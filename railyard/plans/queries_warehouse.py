@@ -26,7 +26,7 @@ from railyard.plans.facts import (
     keyed,
 )
 from railyard.plans.queries_core import first_route_dim, two_version_route_dim
-from railyard.plans.queries_quality import daily_trips
+from railyard.plans.queries_quality import daily_trips, trips_of_lines
 from railyard.plans.registry import per_query, register
 from railyard.plans.dims import route_dimension
 from railyard.schemas import MONEY
@@ -66,9 +66,10 @@ def payment_method_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @per_query
 def trip_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """fact_trip with trip_sk: deduplicated daily trips, five lookups."""
-    trips = daily_trips(spark, sf_dir)
-    rows = build_fact_trip(
+    """fact_trip with trip_sk: deduplicated daily trips, numbered as they are
+    staged (one write), then five lookups."""
+    trips = keyed(trips_of_lines(spark, sf_dir), None, "trip_id", "trip_sk")
+    return build_fact_trip(
         trips,
         dim_user=first_user_dim(spark, sf_dir),
         dim_route=first_route_dim(spark, sf_dir),
@@ -77,7 +78,13 @@ def trip_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         load_id=LOAD_ID,
         inserted_at=fx.LOAD_TS,
     )
-    return keyed(rows, None, "trip_id", "trip_sk")
+
+
+def trip_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """trip_id and trip_sk of the trip fact: the key alone, numbered."""
+    lines = fx.table(spark, sf_dir, "lineitem")
+    ids = lines.select(fx.trip_id_of(F.col("l_orderkey"), F.col("l_linenumber")).alias("trip_id")).distinct()
+    return keyed(ids, None, "trip_id", "trip_sk")
 
 
 # --- calendars and keys -------------------------------------------------------
@@ -235,8 +242,7 @@ def payment_trip_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each payment's trip surrogate from the trip fact (null when the
     order has no line item)."""
     payments = fx.raw_payments(spark, sf_dir).select("payment_id", "trip_id")
-    trips = keyed(daily_trips(spark, sf_dir).select("trip_id"), None, "trip_id", "trip_sk")
-    return lookup(payments, trips, "trip_id", "trip_sk")
+    return lookup(payments, trip_links(spark, sf_dir), "trip_id", "trip_sk")
 
 
 @register("stop_lookup")
@@ -260,16 +266,15 @@ def fact_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("fact_payment")
 def fact_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The payment fact, linked to methods and trips."""
-    rows = build_fact_payment(
-        fx.raw_payments(spark, sf_dir),
+    return build_fact_payment(
+        keyed(fx.raw_payments(spark, sf_dir), None, "payment_id", "payment_sk"),
         dim_user=first_user_dim(spark, sf_dir),
         dim_route=first_route_dim(spark, sf_dir),
         dim_payment_method=payment_method_dim(spark, sf_dir),
-        fact_trip=trip_fact(spark, sf_dir).select("trip_id", "trip_sk"),
+        fact_trip=trip_links(spark, sf_dir),
         load_id=LOAD_ID,
         inserted_at=fx.LOAD_TS,
     )
-    return keyed(rows, None, "payment_id", "payment_sk")
 
 
 @register("fact_vehicle_position")
