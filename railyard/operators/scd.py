@@ -109,21 +109,75 @@ def scd2_merge(
     ``history | unchanged | closed | corrected | new`` apart.
     """
     keys = _as_list(key)
-    at = ts_literal(as_of)
     cols = current.columns
-    types = {f.name: f.dataType for f in current.schema.fields}
-    defaults = dict(new_defaults or {})
-    batch_cols = set(incoming.columns) - set(keys)
-
     history = current.filter(~F.col(is_current)).withColumn(CHANGE, F.lit("history"))
     live = current.filter(F.col(is_current))
+    pairs = written(
+        _pairs(live, incoming, keys, compare_cols, as_of, "full_outer", sk, valid_from, valid_to, is_current, new_defaults),
+        "versions",
+    )
+    fresh = assign_surrogates(
+        pairs.filter(F.col(CHANGE) == "new").drop(sk), keys, sk, base=max_key(current, sk)
+    )
+    out = (
+        history.select(*cols, CHANGE)
+        .unionByName(pairs.filter(F.col(CHANGE) != "new"))
+        .unionByName(fresh.select(*cols, CHANGE))
+    )
+    return out if with_change else out.drop(CHANGE)
+
+
+def scd2_changes(
+    live: DataFrame,
+    incoming: DataFrame,
+    key,
+    compare_cols: list[str],
+    as_of,
+    *,
+    sk: str,
+    base: int = 0,
+    valid_from: str = "valid_from",
+    valid_to: str = "valid_to",
+    is_current: str = "is_current",
+    new_defaults: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Only the versions that ``incoming`` closes, corrects or opens, told
+    apart by ``_change``; new ones are numbered after ``base``.
 
+    ``live`` are the current versions. Keys that the batch lacks never enter
+    the join, and what is written follows the changes, not the dimension.
+    """
+    keys = _as_list(key)
+    pairs = _pairs(live, incoming, keys, compare_cols, as_of, "right", sk, valid_from, valid_to, is_current, new_defaults)
+    pairs = written(pairs.filter(F.col(CHANGE) != "unchanged"), "changes")
+    fresh = assign_surrogates(pairs.filter(F.col(CHANGE) == "new").drop(sk), keys, sk, base=base)
+    return pairs.filter(F.col(CHANGE) != "new").unionByName(fresh.select(*pairs.columns))
+
+
+def _pairs(
+    live: DataFrame,
+    incoming: DataFrame,
+    keys: list[str],
+    compare_cols: list[str],
+    as_of,
+    how: str,
+    sk: str,
+    valid_from: str,
+    valid_to: str,
+    is_current: str,
+    new_defaults: dict[str, Column] | None,
+) -> DataFrame:
+    """The version every joined key keeps, closes or corrects and the one it
+    opens, in the columns of ``live`` and ``_change``."""
+    at = ts_literal(as_of)
+    cols = live.columns
+    types = {f.name: f.dataType for f in live.schema.fields}
+    defaults = dict(new_defaults or {})
+    batch_cols = set(incoming.columns) - set(keys)
     # Key columns are merged by the USING join, so presence on each side is
     # read from a non-key column: the surrogate (never null in a dimension)
     # and a marker every incoming row carries.
-    joined = live.alias("c").join(
-        incoming.withColumn("_ry_in", F.lit(True)).alias("i"), keys, "full_outer"
-    )
+    joined = live.alias("c").join(incoming.withColumn("_ry_in", F.lit(True)).alias("i"), keys, how)
     in_c = F.col(f"c.{sk}").isNotNull()
     in_i = F.col("i._ry_in").isNotNull()
     changed = in_c & in_i & changed_any("c", "i", compare_cols)
@@ -164,16 +218,7 @@ def scd2_merge(
         F.when(in_c, version(before, state)),
         F.when(in_i & (~in_c | closed), version(opened, F.lit("new"))),
     )
-    pairs = written(joined.select(F.inline(F.array_compact(pair))), "versions")
-    fresh = assign_surrogates(
-        pairs.filter(F.col(CHANGE) == "new").drop(sk), keys, sk, base=max_key(current, sk)
-    )
-    out = (
-        history.select(*cols, CHANGE)
-        .unionByName(pairs.filter(F.col(CHANGE) != "new"))
-        .unionByName(fresh.select(*cols, CHANGE))
-    )
-    return out if with_change else out.drop(CHANGE)
+    return joined.select(F.inline(F.array_compact(pair)))
 
 
 def scd1_upsert(
@@ -210,6 +255,23 @@ def scd1_upsert(
     return typed(untouched).unionByName(typed(updated)).unionByName(typed(fresh))
 
 
+def scd1_changes(current: DataFrame, incoming: DataFrame, key, *, sk: str, base: int = 0) -> DataFrame:
+    """Only the rows that :func:`scd1_upsert` would change or add."""
+    keys = _as_list(key)
+    cols = current.columns
+    attrs = [c for c in cols if c in incoming.columns and c not in keys]
+    joined = current.alias("c").join(incoming.withColumn("_ry_in", F.lit(True)).alias("i"), keys, "right")
+    known = F.col(f"c.{sk}").isNotNull()
+    types = {f.name: f.dataType for f in current.schema.fields}
+    row = [
+        (F.col(c) if c in keys else F.col(f"i.{c}") if c in attrs else F.col(f"c.{c}")).cast(types[c]).alias(c)
+        for c in cols
+    ]
+    rows = written(joined.where(~known | changed_any("c", "i", attrs)).select(*row), "changes")
+    fresh = assign_surrogates(rows.filter(F.col(sk).isNull()).drop(sk), keys, sk, base=base)
+    return rows.filter(F.col(sk).isNotNull()).unionByName(fresh.select(*cols))
+
+
 def infer_members(
     dim: DataFrame,
     referenced: DataFrame,
@@ -315,7 +377,9 @@ __all__ = [
     "empty_versions",
     "scd2_first_load",
     "scd2_merge",
+    "scd2_changes",
     "scd1_upsert",
+    "scd1_changes",
     "infer_members",
     "validity_report",
 ]

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from railyard.operators.conform import conform
 from railyard.schemas import empty
+from railyard.sources.dim_store import DimStore
 
 
 def raw_path(base: str, date_str: str, name: str) -> str:
@@ -173,7 +174,10 @@ def _pointer(base: str) -> str:
 
 
 def current_version(spark: SparkSession, base: str) -> str | None:
-    """Name of the version the table's pointer designates, if any."""
+    """Name of the version the table's pointer (or manifest of segments) designates, if any."""
+    store = DimStore(spark, base)
+    if store.exists():
+        return store.version()
     if not path_exists(spark, _pointer(base)):
         return None
     marks = spark.read.schema("seq long, version string").json(_pointer(base))
@@ -182,8 +186,12 @@ def current_version(spark: SparkSession, base: str) -> str | None:
 
 
 def read_current(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """The current version of a versioned table, or None before the first
-    write."""
+    """The current version of a versioned table, all segments of a segmented
+    one, or None before the first write."""
+    store = DimStore(spark, base)
+    if store.exists():
+        df = store.read()
+        return conform(df, schema) if schema is not None else df
     version = current_version(spark, base)
     if version is None:
         return None
