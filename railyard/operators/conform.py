@@ -108,6 +108,7 @@ def dedupe_latest(
     df: DataFrame,
     key,
     order_by: list[str] | None = None,
+    copies: str | None = None,
 ) -> DataFrame:
     """one row per ``key``: the greatest by ``order_by``, then by every
     other column (a total order, so reruns pick the same row).
@@ -115,17 +116,19 @@ def dedupe_latest(
     Computed as ``max(struct(order..., rest...))`` per key: a grouped
     aggregate with partial aggregation, so even a key holding a third of the
     rows is reduced to one row per map task before the shuffle. Nulls sort
-    lowest, i.e. a non-null ``order_by`` value wins.
+    lowest, i.e. a non-null ``order_by`` value wins. ``copies`` names a column
+    for the number of rows each key had.
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = list(order_by or [])
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = F.struct(*[F.col(f"`{c}`") for c in order + rest])
+    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
     return (
         df.groupBy(*keys)
-        .agg(F.max(packed).alias("_ry_best"))
-        .select(*keys, *[F.col(f"_ry_best.`{c}`").alias(c) for c in order + rest])
-        .select(*df.columns)
+        .agg(F.max(packed).alias("_ry_best"), *counted)
+        .select(*keys, *[F.col(f"_ry_best.`{c}`").alias(c) for c in order + rest], *([copies] if copies else []))
+        .select(*df.columns, *([copies] if copies else []))
     )
 
 

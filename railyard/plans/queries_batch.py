@@ -18,6 +18,7 @@ from railyard.operators.conform import conform
 from railyard.plans import fixtures as fx
 from railyard.plans.batch import run_batch
 from railyard.plans.registry import register
+from railyard.plans.staging import REJECTED, UNCASTABLE, read_staged
 from railyard.schemas import RAW
 from railyard.session import scratch_path
 from railyard.sources.parquet import read_current, write_raw
@@ -107,16 +108,13 @@ def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fact_vehicle_position": ("event_ts", None, "route_sk"),
     }
     parts += [counted(n, spark.read.parquet(f"{wh}/fact/{n}"), *c) for n, c in facts.items()]
-    kept_aside = {
-        "quarantine": ("payments", "payment_id"),
-        "quarantine_rules": ("routes", "route_id"),
-    }
+    kept_aside = [
+        ("quarantine", UNCASTABLE, "payments", "payment_id"),
+        ("quarantine_rules", REJECTED, "routes", "route_id"),
+        ("quarantine_rules", REJECTED, "trips", "trip_id"),
+        ("quarantine_rules", REJECTED, "payments", "trip_id"),
+    ]
     parts += [
-        counted(f"{kind}.{n}", spark.read.parquet(f"{wh}/{kind}/{n}"), k, None, None)
-        for kind, (n, k) in kept_aside.items()
+        counted(f"{kind}.{n}", read_staged(spark, wh, n, what), k, None, None) for kind, what, n, k in kept_aside
     ]
-    parts.append(counted("quarantine_rules.trips", spark.read.parquet(f"{wh}/quarantine_rules/trips"), "trip_id", None, None))
-    parts.append(
-        counted("quarantine_rules.payments", spark.read.parquet(f"{wh}/quarantine_rules/payments"), "trip_id", None, None)
-    )
     return reduce(DataFrame.unionByName, parts)

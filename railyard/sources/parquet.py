@@ -117,19 +117,28 @@ def write_partitioned(
     )
 
 
-def write_clustered(df: DataFrame, path: str, partition_col: str, sort_cols: list[str], *, mode: str = "append") -> None:
+def write_clustered(
+    df: DataFrame,
+    path: str,
+    partition_col: str,
+    sort_cols: list[str],
+    *,
+    mode: str = "append",
+    whole: bool = False,
+) -> None:
     """Write ``df`` partitioned by ``partition_col``, each file sorted.
 
     Rows are rebalanced on the partition column: AQE splits a busy date over
     several tasks and puts sparse ones together, by the bytes it measured. One
     shuffle, and ``df`` is computed once (range bounds would compute it twice).
-    ``overwrite`` replaces the partitions that ``df`` has rows for.
+    ``overwrite`` replaces the partitions that ``df`` has rows for, with
+    ``whole`` all there are.
     """
     (
         df.hint("rebalance", partition_col)
         .sortWithinPartitions(partition_col, *sort_cols)
         .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(partition_col)
         .parquet(path)
     )

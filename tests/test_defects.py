@@ -75,15 +75,15 @@ def test_x14_unrouted_trips_leave_the_mart_and_are_reported(spark):
 
 def test_keys_are_unique_over_all_dates_and_null_dates(spark, workdir):
     """A key landed again on another date, or without a date, is not added twice."""
-    from railyard.plans.batch import _append_keyed
+    from railyard.sources.fact_store import TRIPS, FactStore
 
-    def load(rows):
-        df = spark.createDataFrame(rows, "trip_id string, start_ts timestamp")
-        return _append_keyed(spark, workdir, "fact_trip", df, "trip_id", "trip_sk", "trip_date", "start_ts")
+    def load(day, rows):
+        df = spark.createDataFrame(rows, "trip_id string, start_ts timestamp").withColumn("load_id", F.lit(f"batch_{day}"))
+        return FactStore(spark, workdir, TRIPS).load(day, df)["inserted"]
 
     first = dt.datetime(2024, 3, 1, 8)
-    assert load([("T1", first), ("T2", None)]) == 2
-    assert load([("T1", first + dt.timedelta(days=1)), ("T2", None), ("T3", first)]) == 1
+    assert load("2024-03-01", [("T1", first), ("T2", None)]) == 2
+    assert load("2024-03-02", [("T1", first + dt.timedelta(days=1)), ("T2", None), ("T3", first)]) == 1
     rows = spark.read.parquet(f"{workdir}/fact/fact_trip").collect()
     assert sorted(r.trip_id for r in rows) == ["T1", "T2", "T3"]
     assert sorted(r.trip_sk for r in rows) == [1, 2, 3]
@@ -99,18 +99,17 @@ def test_reserved_keys_are_not_given_again(spark, workdir):
 
 
 def test_rules_reject_before_dedupe(spark, workdir):
-    from railyard.plans.batch import _clean
-
-    staged = {
-        "users": spark.createDataFrame(
-            [(None, "a"), (None, "b"), ("U1", "c"), ("U1", "d")], "user_id string, city string"
-        ).selectExpr(
-            "user_id", "timestamp'2024-01-01' AS created_at", "city", "'x' AS load_id", "timestamp'2024-01-01' AS ingestion_ts"
-        )
-    }
-    clean = _clean(spark, workdir, staged, "users", "2024-01-01")
-    lost = spark.read.parquet(f"{workdir}/quarantine_rules/users/load_dt=2024-01-01")
-    assert clean.count() == 1 and lost.count() == 2
+    from railyard.plans.staging import REJECTED, clean_batch, read_staged, stage
+    from railyard.sources.parquet import write_raw
+
+    users = spark.createDataFrame(
+        [(None, "a"), (None, "b"), ("U1", "c"), ("U1", "d"), ("U2", "e")], "user_id string, city string"
+    )
+    write_raw(users, f"{workdir}/raw", "2024-01-01", "users")
+    staged = stage(spark, f"{workdir}/raw", workdir, "2024-01-01", "users")
+    clean = clean_batch(spark, workdir, staged, "users", "2024-01-01")
+    assert clean.count() == 2 and read_staged(spark, workdir, "users", REJECTED).count() == 2
+    assert (staged.rows, staged.rejected, staged.duplicates, staged.violations) == (5, 2, 1, {"user_id_null": 2})
 
 
 def test_nanoseconds_and_broken_json(spark):

@@ -67,6 +67,7 @@ def test_pandas_landing_with_nanosecond_timestamps(spark, workdir):
 
 def test_staging_quarantines_values_that_do_not_cast(spark, workdir):
     from railyard.plans.batch import stage_all
+    from railyard.plans.staging import CLEAN, REJECTED, UNCASTABLE, read_staged
     from railyard.sources.parquet import write_raw
 
     raw, wh = f"{workdir}/raw", f"{workdir}/wh"
@@ -77,6 +78,7 @@ def test_staging_quarantines_values_that_do_not_cast(spark, workdir):
     write_raw(trips, raw, "2024-01-01", "trips")
     counts = {}
     staged = stage_all(spark, raw, wh, "2024-01-01", "2024-01-01 01:00:00", counts)
-    assert [r.trip_id for r in staged["trips"].collect()] == ["T1"] and counts["staging.trips"] == 1
-    bad = spark.read.parquet(f"{wh}/quarantine/trips/load_dt=2024-01-01").collect()
+    cast = [r.trip_id for kind in (CLEAN, REJECTED) for r in read_staged(spark, wh, "trips", kind).collect()]
+    assert cast == ["T1"] and counts["staging.trips"] == 1 and staged["trips"].uncastable == 1
+    bad = read_staged(spark, wh, "trips", UNCASTABLE, "2024-01-01").collect()
     assert [(r.trip_id, r._conform_errors) for r in bad] == [("T2", ["distance_m"])]
