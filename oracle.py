@@ -795,3 +795,58 @@ UNION ALL SELECT 'quarantine_rules.routes', COUNT(*), 0, NULL, NULL FROM routes
 UNION ALL SELECT 'quarantine_rules.trips', COUNT(*), COUNT(DISTINCT trip_id), NULL, NULL FROM tagged WHERE reasons <> ''
 UNION ALL SELECT 'quarantine_rules.payments', COUNT(*), COUNT(DISTINCT trip_id), NULL, NULL
   FROM payments WHERE payment_id % 50 = 0"""
+
+# --- stores: key index, segments, corrections, states ---------------------------
+
+SQL["fact_key_index"] = with_(LI_DEDUP, DTRIPS, PAYMENTS) + """,
+numbered AS (SELECT trip_id, row_number() OVER (ORDER BY trip_id) AS trip_sk FROM dtrips)
+SELECT p.payment_id, p.paid_at >= TIMESTAMP '1998-01-01' AS inserted, n.trip_sk
+FROM payments p LEFT JOIN numbered n ON p.trip_id = n.trip_id"""
+
+SQL["scd2_segments"] = SQL["scd2_same_date"]
+SQL["lookup_as_of_sweep"] = SQL["lookup_as_of"]
+SQL["mart_incremental"] = SQL["mart_route_hourly"]
+
+SQL["mart_daily"] = with_(ROUTES, DIM_ROUTE1, VEHICLES, HTRIPS, POS, MART1) + """,
+rides AS (
+  SELECT route_id, name, transport_type, CAST(start_ts AS DATE) AS day, COUNT(DISTINCT trip_id) AS trip_cnt,
+         CAST(SUM(fare_amount) AS DOUBLE) / COUNT(fare_amount) AS avg_fare,
+         CAST(SUM(CAST(duration_sec AS BIGINT)) AS DOUBLE) / COUNT(duration_sec) AS avg_duration_sec,
+         CAST(SUM(distance_m) AS DOUBLE) AS sum_distance_m
+  FROM t GROUP BY 1, 2, 3, 4),
+moves AS (
+  SELECT r.route_id, CAST(p.event_ts AS DATE) AS day, CAST(SUM(p.speed) AS DOUBLE) / COUNT(p.speed) AS avg_speed,
+         COUNT(DISTINCT v.vehicle_id) AS vehicle_cnt
+  FROM pos p JOIN dim_route1 r ON p.route_id = r.route_id LEFT JOIN vehicles v ON p.vehicle_id = v.vehicle_id
+  WHERE p.event_ts >= """ + MART_FROM + " AND p.event_ts < " + MART_TO + """ GROUP BY 1, 2)
+SELECT rides.*, coalesce(m.avg_speed, 0.0) AS avg_speed, coalesce(m.vehicle_cnt, 0) AS vehicle_cnt
+FROM rides LEFT JOIN moves m ON rides.route_id = m.route_id AND rides.day = m.day"""
+
+SQL["staging_dispositions"] = with_(DTRIPS_ALL) + """,
+tagged AS (
+  SELECT trip_id, CAST(route_id AS VARCHAR) AS route_id, CAST(fare AS DOUBLE) AS fare,
+         CAST(split_part(trip_id, '-', 1) AS BIGINT) % 25 = 3 AS broken, """ + _reasons(TRIP_RULES) + """ AS reasons
+  FROM dtrips_all)
+SELECT trip_id, route_id, fare,
+       CASE WHEN broken THEN 'uncastable' WHEN reasons <> '' THEN 'rejected' ELSE 'clean' END AS disposition,
+       array_to_string(list_sort(list_filter(string_split(reasons, ','), lambda x: x <> '')), ',') AS reasons,
+       CASE WHEN broken THEN 'distance_m' ELSE '' END AS lost
+FROM tagged"""
+
+# Corrected fares, deleted trips; a key stays with the load that brought it.
+CORRECTED = HTRIPS.replace("htrips AS", "landed AS", 1) + """,
+htrips AS (
+  SELECT * REPLACE (CASE WHEN trip_id % 6 = 0 THEN CAST(fare + 1 AS DECIMAL(12,2)) ELSE fare END AS fare)
+  FROM landed WHERE trip_id % 14 <> 0)"""
+
+SQL["batch_corrections"] = with_(ROUTES, CORRECTED) + """
+SELECT 'trip' AS fact, CAST(h.trip_id AS VARCHAR) AS key, CAST(r.route_id AS VARCHAR) AS route_id,
+       CAST(h.fare AS DOUBLE) AS amount, CAST(h.start_ts AS DATE) AS day, CAST(NULL AS VARCHAR) AS linked,
+       CASE WHEN h.trip_id % 2 = 0 THEN 'batch_2024-01-01' ELSE 'batch_2024-01-15' END AS load_id
+FROM htrips h LEFT JOIN routes r ON h.route_id = r.route_id
+UNION ALL
+SELECT 'payment', CAST(l.trip_id AS VARCHAR), CAST(r.route_id AS VARCHAR), CAST(l.fare AS DOUBLE),
+       CAST(l.end_ts AS DATE), CAST(h.trip_id AS VARCHAR), 'batch_2024-01-01'
+FROM landed l LEFT JOIN routes r ON l.route_id = r.route_id LEFT JOIN htrips h ON l.trip_id = h.trip_id"""
+
+SQL["batch_mart_run"] = with_(ROUTES, DIM_ROUTE1, CORRECTED, POS, MART1) + " SELECT * FROM mart"

@@ -60,6 +60,7 @@ def queries() -> dict[str, Query]:
         queries_core,
         queries_io,
         queries_quality,
+        queries_store,
         queries_stream,
         queries_warehouse,
     )
