@@ -850,3 +850,10 @@ SELECT 'payment', CAST(l.trip_id AS VARCHAR), CAST(r.route_id AS VARCHAR), CAST(
 FROM landed l LEFT JOIN routes r ON l.route_id = r.route_id LEFT JOIN htrips h ON l.trip_id = h.trip_id"""
 
 SQL["batch_mart_run"] = with_(ROUTES, DIM_ROUTE1, CORRECTED, POS, MART1) + " SELECT * FROM mart"
+
+SQL["declared_landing"] = """
+SELECT o_orderkey AS payment_id, CASE WHEN o_orderkey % 4 <> 1 THEN o_custkey END AS user_id,
+       CAST(CASE WHEN o_orderkey % 4 = 1 THEN CAST(CAST(o_totalprice AS DECIMAL(11,1)) AS DECIMAL(12,2))
+                 ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS DOUBLE) AS amount,
+       CAST(o_orderdate AS TIMESTAMP) AS paid_at, CASE WHEN o_orderkey % 4 = 2 THEN o_orderstatus END AS note
+FROM orders WHERE o_orderkey % 4 <> 3"""

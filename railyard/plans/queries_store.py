@@ -3,8 +3,10 @@ facts, the mart from states, staging in one pass, as-of by a sweep."""
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from railyard.operators.asof import lookup_sweep
 from railyard.operators.quality import REASONS
@@ -21,6 +23,7 @@ from railyard.plans.registry import register
 from railyard.plans.staging import DISPOSITION, stage, staged_schema
 from railyard.schemas import MONEY, RAW
 from railyard.session import scratch_path
+from railyard.sources.declared import SchemaDrift, read_declared, write_declared
 from railyard.sources.key_index import KeyIndex
 from railyard.sources.parquet import read_current
 
@@ -53,7 +56,7 @@ def fact_key_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd2_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The route dimension in segments after three batches, the last
     one a correction of the second's date."""
-    store = dim_store(spark, scratch_path(spark, "segments"), "route")
+    store = dim_store(spark, scratch_path(spark, "segments"), "route", declared=False)
     again = fx.raw_routes_second_batch(spark, sf_dir)
     fare = F.when(F.col("route_id") % 10 < 4, F.col("base_fare") + 1).otherwise(F.col("base_fare"))
     batches = [
@@ -129,6 +132,45 @@ def staging_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+DECLARED_PAYMENT = T.StructType(
+    [
+        T.StructField("payment_id", T.LongType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("amount", MONEY),
+        T.StructField("paid_at", T.TimestampType()),
+    ]
+)
+
+
+@register("declared_landing")
+def declared_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments landed four times under one declaration: as declared,
+    with narrower keys and no user (widened, filled), with a column more (a new
+    schema version), and with amounts that do not fit (refused as a whole)."""
+    path = scratch_path(spark, "declared")
+    orders = fx.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("payment_id"), F.col("o_custkey").alias("user_id"),
+        F.col("o_totalprice").alias("amount"), F.col("o_orderdate").alias("paid_at"), F.col("o_orderstatus").alias("note"),
+    )
+    part = lambda i: orders.where(F.pmod("payment_id", F.lit(4)) == i)
+    keys = ("payment_id",)
+    write_declared(part(0).drop("note"), path, DECLARED_PAYMENT, keys=keys)
+    narrow = part(1).drop("note", "user_id").withColumn("payment_id", F.col("payment_id").cast("int"))
+    write_declared(narrow.withColumn("amount", F.col("amount").cast("decimal(11,1)")), path, DECLARED_PAYMENT, keys=keys)
+    write_declared(part(2), path, DECLARED_PAYMENT, keys=keys, evolve=True)
+    for bad in (
+        part(3).drop("note").withColumn("amount", F.lit("n/a")),  # does not cast
+        part(3).drop("note").withColumn("payment_id", F.lit(None).cast("long")),  # a null key
+        part(3).withColumn("surprise", F.lit(1)),  # not declared
+    ):
+        try:
+            write_declared(bad, path, DECLARED_PAYMENT, keys=keys)
+        except (SchemaDrift, PySparkException):
+            continue
+        raise AssertionError("a drifted landing was taken in")
+    return read_declared(spark, path)
+
+
 # --- corrected and late facts -----------------------------------------------------
 
 def _corrected_warehouse(spark: SparkSession, sf_dir: str) -> str:

@@ -134,6 +134,14 @@ DIM_TIME = _schema(
     ("time_sk", I), ("hh24mi", S), ("hour", SH), ("minute", SH), ("second", SH),
 )
 
+DIMENSIONS = {
+    "route": DIM_ROUTE,
+    "user": DIM_USER,
+    "vehicle": DIM_VEHICLE,
+    "stop": DIM_STOP,
+    "payment_method": DIM_PAYMENT_METHOD,
+}
+
 # --- facts ------------------------------------------------------------------
 
 FACT_TRIP = _schema(
