@@ -839,7 +839,11 @@ htrips AS (
   SELECT * REPLACE (CASE WHEN trip_id % 6 = 0 THEN CAST(fare + 1 AS DECIMAL(12,2)) ELSE fare END AS fare)
   FROM landed WHERE trip_id % 14 <> 0)"""
 
-SQL["batch_corrections"] = with_(ROUTES, CORRECTED) + """
+SQL["batch_corrections"] = with_(ROUTES, DIM_ROUTE1, CORRECTED, POS, MART1) + """
+SELECT 'mart' AS fact, strftime(hour_bucket, '%Y-%m-%d %H') AS key, CAST(route_id AS VARCHAR) AS route_id,
+       sum_distance_m AS amount, CAST(hour_bucket AS DATE) AS day, CAST(trip_cnt AS VARCHAR) AS linked, NULL AS load_id
+FROM mart
+UNION ALL
 SELECT 'trip' AS fact, CAST(h.trip_id AS VARCHAR) AS key, CAST(r.route_id AS VARCHAR) AS route_id,
        CAST(h.fare AS DOUBLE) AS amount, CAST(h.start_ts AS DATE) AS day, CAST(NULL AS VARCHAR) AS linked,
        CASE WHEN h.trip_id % 2 = 0 THEN 'batch_2024-01-01' ELSE 'batch_2024-01-15' END AS load_id
@@ -849,7 +853,7 @@ SELECT 'payment', CAST(l.trip_id AS VARCHAR), CAST(r.route_id AS VARCHAR), CAST(
        CAST(l.end_ts AS DATE), CAST(h.trip_id AS VARCHAR), 'batch_2024-01-01'
 FROM landed l LEFT JOIN routes r ON l.route_id = r.route_id LEFT JOIN htrips h ON l.trip_id = h.trip_id"""
 
-SQL["batch_mart_run"] = with_(ROUTES, DIM_ROUTE1, CORRECTED, POS, MART1) + " SELECT * FROM mart"
+SQL["batch_mart_run"] = SQL["mart_route_hourly"]
 
 SQL["declared_landing"] = """
 SELECT o_orderkey AS payment_id, CASE WHEN o_orderkey % 4 <> 1 THEN o_custkey END AS user_id,

@@ -22,7 +22,7 @@ exploded pair; the pairs are written once and read by all that follows:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,7 +149,11 @@ def scd2_changes(
     """
     keys = _as_list(key)
     pairs = _pairs(live, incoming, keys, compare_cols, as_of, "right", sk, valid_from, valid_to, is_current, new_defaults)
-    pairs = written(pairs.filter(F.col(CHANGE) != "unchanged"), "changes")
+    seen = Observation()
+    opened = F.count(F.when(F.col(CHANGE) == "new", 1)).alias("opened")
+    pairs = written(pairs.filter(F.col(CHANGE) != "unchanged").observe(seen, opened), "changes")
+    if not seen.get["opened"]:
+        return pairs
     fresh = assign_surrogates(pairs.filter(F.col(CHANGE) == "new").drop(sk), keys, sk, base=base)
     return pairs.filter(F.col(CHANGE) != "new").unionByName(fresh.select(*pairs.columns))
 
@@ -267,7 +271,11 @@ def scd1_changes(current: DataFrame, incoming: DataFrame, key, *, sk: str, base:
         (F.col(c) if c in keys else F.col(f"i.{c}") if c in attrs else F.col(f"c.{c}")).cast(types[c]).alias(c)
         for c in cols
     ]
-    rows = written(joined.where(~known | changed_any("c", "i", attrs)).select(*row), "changes")
+    seen = Observation()
+    rows = joined.where(~known | changed_any("c", "i", attrs)).select(*row)
+    rows = written(rows.observe(seen, F.count(F.when(F.col(sk).isNull(), 1)).alias("added")), "changes")
+    if not seen.get["added"]:
+        return rows
     fresh = assign_surrogates(rows.filter(F.col(sk).isNull()).drop(sk), keys, sk, base=base)
     return rows.filter(F.col(sk).isNotNull()).unionByName(fresh.select(*cols))
 

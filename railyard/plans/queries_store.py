@@ -212,7 +212,8 @@ def _corrected_warehouse(spark: SparkSession, sf_dir: str) -> str:
 @register("batch_corrections")
 def batch_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The values of both facts after corrections,
-    deletions, late trips and late routes."""
+    deletions, late trips and late routes, and of the mart's hours (trips
+    counted in ``linked``, distance in ``amount``)."""
     wh = _corrected_warehouse(spark, sf_dir)
     routes = read_current(spark, f"{wh}/dim/dim_route").select("route_sk", "route_id")
     trips = spark.read.parquet(f"{wh}/fact/fact_trip")
@@ -224,8 +225,14 @@ def batch_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     of_payments = payments.join(routes, "route_sk", "left").join(
         trips.select("trip_sk", F.col("trip_id").alias("linked")), "trip_sk", "left"
     )
-    return of_trips.unionByName(
-        of_payments.select(
+    mart = run_mart(spark, wh, fx.MART_FROM, fx.MART_TO, snapshot_ts=fx.MART_TO)
+    of_hours = mart.select(
+        F.lit("mart").alias("fact"), F.date_format("hour_bucket", "yyyy-MM-dd HH").alias("key"), "route_id",
+        F.col("sum_distance_m").alias("amount"), F.col("dt").alias("day"), F.col("trip_cnt").cast("string").alias("linked"),
+        F.lit(None).cast("string").alias("load_id"),
+    )
+    return of_hours.unionByName(of_trips.withColumn("amount", F.col("amount").cast("double"))).unionByName(
+        of_payments.withColumn("amount", F.col("amount").cast("double")).select(
             F.lit("payment").alias("fact"), F.col("payment_id").alias("key"), "route_id", "amount",
             F.col("payment_date").alias("day"), "linked", "load_id",
         )
@@ -234,9 +241,17 @@ def batch_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("batch_mart_run")
 def batch_mart_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mart of that warehouse, run twice (the second run's
-    snapshot counts), as its readers see it."""
-    wh = _corrected_warehouse(spark, sf_dir)
+    """A landing loaded, its mart run twice (part of the range
+    first; the later snapshot counts), as readers see it."""
+    base = scratch_path(spark, "mart_run")
+    raw, wh = f"{base}/raw", f"{base}/wh"
+    _land(
+        spark, raw, DAY_1,
+        routes=_typed(fx.raw_routes(spark, sf_dir), "routes"),
+        trips=_typed(fx.raw_hourly_trips(spark, sf_dir), "trips"),
+        vehicle_positions=_typed(fx.raw_positions(spark, sf_dir), "vehicle_positions"),
+    )
+    run_batch(spark, raw, wh, DAY_1, load_ts=fx.LOAD_TS)
     run_mart(spark, wh, fx.MART_FROM, fx.SECOND_FROM, snapshot_ts=fx.MART_FROM)
     run_mart(spark, wh, fx.MART_FROM, fx.MART_TO, snapshot_ts=fx.MART_TO)
     return read_mart(spark, wh).drop("dt").withColumn("route_id", F.col("route_id").cast("long"))
