@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railyard.session import scratch_path
+from railyard.session import written  # noqa: F401 - what the operators cut lineage with
 
 #: White space of the contracts: U+0020 and U+0009 to U+000D.
 SPACE = " \t\n\x0b\x0c\r"
@@ -41,14 +42,17 @@ def settled(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*rest, F.inline(F.array(F.struct(*columns))))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared scratch folder and read it back.
+def in_written_order(df: DataFrame, *columns: str) -> DataFrame:
+    """The named columns and where each row stands in the table it was read
+    from: ``place``, the number of its file and its row there.
 
-    Cuts lineage so that a lost executor costs a read of the table, not a
-    recomputation, and gives every reader the same rows.
+    Spark deals files to tasks by their size, so a table that was written in
+    order does not come back in order; sorting by ``place`` restores it. Rows
+    that were not read from files are placed by partition.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    try:
+        number = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1)
+        place = F.struct(number.try_cast("long").alias("part"), F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+        return df.select(*columns, place.alias("place"))
+    except AnalysisException:
+        return df.select(*columns, F.struct(F.monotonically_increasing_id().alias("row")).alias("place"))

@@ -6,9 +6,8 @@ carry a line is counted; documents with the same text count once, so a group
 of exact copies does not turn its own lines into boilerplate. A line carried
 by at least ``min_docs`` documents and more than ``max_share`` percent of its
 host's documents is removed from every document but its first carrier (the
-smallest doc_id). With ``max_docs`` a line of at least so many documents is
-removed whatever its share, so that a large host does not shield its
-boilerplate. A document left with less than ``min_left`` percent of its
+smallest doc_id). A line of at least ``max_docs`` documents is removed whatever
+its share, so that a large host does not shield its boilerplate. A document left with less than ``min_left`` percent of its
 words is depleted and rejected. Before that, base rules reject documents that
 are short or repeat themselves. ``quality_rules`` gives the verdicts,
 ``cleaned`` the kept documents without the removed lines.
@@ -26,6 +25,8 @@ from pyspark.sql import functions as F
 from railyard.llm.common import SPACE, UPPER, settled, words, written
 
 SYMBOLS = "[^#*$%&|<>]+"
+#: A line of so many documents of a host is removed even below the share.
+MAX_DOCS = 10_000
 
 
 def _row_key() -> Column:
@@ -179,7 +180,7 @@ def quality_rules(
     min_left: int = 30,
     min_words: int = 50,
     max_repeat: int = 50,
-    max_docs: int | None = None,
+    max_docs: int | None = MAX_DOCS,
     places: bool = False,
 ) -> DataFrame:
     """Base measures, removed words and the verdict for every row of ``df``;

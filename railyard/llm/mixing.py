@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from railyard.llm.common import words, written
+from railyard.llm.common import SPACE, SPACES, words, written
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -146,7 +146,9 @@ def mix(df: DataFrame, *keep: str, **options) -> DataFrame:
         .join(goal, F.col("source").eqNullSafe(F.col("goal_source")))
         .select("key", "part", "before", "source_size", "target", "segments")
     )
-    order = Window.partitionBy("key", "part").orderBy("place", "doc_id", "size")
+    # Of two texts with the same id and size, the hash says which one is cut.
+    tie = [F.xxhash64("row")] if keep else []
+    order = Window.partitionBy("key", "part").orderBy("place", "doc_id", "size", *tie)
     d = docs.join(offsets, ["key", "part"]).withColumn(
         "start",
         F.col("before") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"),
@@ -184,16 +186,17 @@ def mix(df: DataFrame, *keep: str, **options) -> DataFrame:
 
 def drawn_texts(df: DataFrame, *columns: str, **options) -> DataFrame:
     """One row per copy drawn, range-sorted by training position, with the
-    columns of ``df`` that are named; a copy drawn in part holds the first
-    words of its text, joined by single spaces."""
+    columns of ``df`` that are named; a copy drawn in part holds its text up to
+    the last word drawn, white space between words as it is."""
+    gap = SPACES[1:-2]
+    with_gaps = F.regexp_extract_all("text", F.lit(f"[^{gap}]+[{gap}]*"), F.lit(0))
+    cut = F.array_join(F.slice(with_gaps, F.lit(1), F.col("copy.words").cast("int")), "")
     copies = (
         mix(df, *columns, **options)
         .select("row.*", "size", F.explode("copies").alias("copy"))
         .withColumn(
             "text",
-            F.when(F.col("copy.words") == F.col("size"), F.col("text")).otherwise(
-                F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("copy.words").cast("int")), " ")
-            ),
+            F.when(F.col("copy.words") == F.col("size"), F.col("text")).otherwise(F.rtrim(cut, F.lit(SPACE))),
         )
     )
     return copies.orderBy("copy.position", "doc_id").select(*columns)

@@ -81,7 +81,7 @@ per_line AS (
 per_host AS (SELECT source, count(DISTINCT md5(body)) AS host_docs FROM docs GROUP BY source),
 frequent AS (
   SELECT l.* FROM per_line l JOIN per_host h ON l.source IS NOT DISTINCT FROM h.source
-  WHERE l.n_docs >= 20 AND l.n_docs * 100 > h.host_docs * 10),
+  WHERE l.n_docs >= 20 AND (l.n_docs * 100 > h.host_docs * 10 OR l.n_docs >= 10000)),
 removed AS (
   SELECT n.row_id, sum(line_words) AS removed_words
   FROM normal n JOIN frequent f ON n.source IS NOT DISTINCT FROM f.source AND n.line = f.line

@@ -71,6 +71,7 @@ class Piece:
     start: int  # the example's ids before it
     prompt: int  # ids of the example that bear no loss
     total: int  # ids of the whole example
+    turn: int = 0  # when the example came
 
     def loss(self) -> int:
         return self.loss_of(len(self.ids))
@@ -80,15 +81,20 @@ class Piece:
         return max(0, self.start + length - max(self.start, self.prompt))
 
     def cut(self, length: int) -> tuple[Piece, Piece]:
-        head = Piece(self.doc_id, self.ids[:length], self.start, self.prompt, self.total)
-        tail = Piece(self.doc_id, self.ids[length:], self.start + length, self.prompt, self.total)
+        head = Piece(self.doc_id, self.ids[:length], self.start, self.prompt, self.total, self.turn)
+        tail = Piece(self.doc_id, self.ids[length:], self.start + length, self.prompt, self.total, self.turn)
         return head, tail
 
 
 class Packer:
-    """Packs pieces into sequences; ``out`` collects finished ones."""
+    """Packs pieces into sequences; ``out`` collects finished ones.
 
-    def __init__(self, sequence: int, max_segments: int, max_loss: int):
+    ``in_order`` fills the first half of a sequence with the pieces that have
+    waited longest, so that none is left behind for long.
+    """
+
+    def __init__(self, sequence: int, max_segments: int, max_loss: int, in_order: bool = False):
+        self.in_order, self.came = in_order, 0
         self.limits = np.array([sequence, max_segments, max_loss], dtype=float)
         self.sequence, self.max_segments, self.max_loss = sequence, max_segments, max_loss
         self.pool: list[Piece] = []
@@ -97,6 +103,8 @@ class Packer:
 
     def add(self, piece: Piece) -> None:
         """Full sequences are cut off at once, the rest waits."""
+        self.came += 1
+        piece.turn = self.came
         while len(piece.ids) >= self.sequence and piece.loss_of(self.sequence) <= self.max_loss:
             full, piece = piece.cut(self.sequence)
             self.out.append([full])
@@ -121,7 +129,9 @@ class Packer:
         held, left = [], self.limits.copy()
         while self.pool and left.min() >= 1:
             fits = np.flatnonzero((self.demand <= left).all(axis=1))
-            if len(fits):
+            if len(fits) and self.in_order and 2 * left[0] > self.sequence:
+                piece = self._take(int(min(fits, key=lambda i: self.pool[i].turn)))
+            elif len(fits):
                 score = (self.demand[fits] / self.limits) @ (left / self.limits)
                 piece = self._take(int(fits[np.argmax(score)]))
             else:
@@ -187,15 +197,21 @@ def pack(
     max_loss: int | None = None,
     end_token: int = END_TOKEN,
     pool: int = POOL,
+    order: str | None = None,
 ) -> DataFrame:
     """One row per piece, with its ids, from ``doc_id, text`` and, if there is
-    one, ``prompt`` (put before the text; its tokens bear no loss)."""
+    one, ``prompt`` (put before the text; its tokens bear no loss).
+
+    With ``order``, a column, the documents are dealt to the tasks in ranges of
+    it and packed in its order: numbers of sequences then rise with it, but for
+    the pieces that wait in the pool of a task, and none waits for long.
+    """
     vocabulary = vocabulary or default_vocabulary()
     limits = (sequence, max_segments, sequence if max_loss is None else max_loss)
     prompt = F.col("prompt") if "prompt" in df.columns else F.lit(None).cast("string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = Encoder(vocabulary), Packer(*limits)
+        encoder, packer = Encoder(vocabulary), Packer(*limits, in_order=order is not None)
         first = TaskContext.get().partitionId() << 40
         for batch in batches:
             for doc_id, text, before in zip(*(batch.column(c).to_pylist() for c in range(3))):
@@ -211,4 +227,7 @@ def pack(
         packer.finish()
         yield _rows(packer.out, first)
 
-    return df.select("doc_id", "text", prompt.alias("prompt")).mapInArrow(run, OUTPUT_DDL)
+    docs = df.select("doc_id", "text", prompt.alias("prompt"), *([order] if order else []))
+    if order:
+        docs = docs.repartitionByRange(order).sortWithinPartitions(order).drop(order)
+    return docs.mapInArrow(run, OUTPUT_DDL)

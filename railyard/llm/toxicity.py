@@ -174,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SA
                     "doc_id": b["doc_id"],
                     "label": b["label"],
                     "ids": [g[0].astype("<i4").tobytes() for g in got],
-                    "times": [np.minimum(g[1], 255).astype("u1").tobytes() for g in got],
+                    "times": [g[1].astype("<u4").tobytes() for g in got],
                     "mentions": [[i for i, t in enumerate(IDENTITY_TERMS) if t in w] for w in found],
                 }
             )
@@ -187,7 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SA
         .sort_values(["doc_id", "ids"], kind="stable")
     )
     pairs = [
-        (np.frombuffer(i, "<i4").astype(np.int64), np.frombuffer(t, "u1"))
+        (np.frombuffer(i, "<i4").astype(np.int64), np.frombuffer(t, "<u4"))
         for i, t in zip(got["ids"], got["times"])
     ]
     return fit_rows(pairs, got["label"].to_numpy(dtype=float), [list(m) for m in got["mentions"]])
