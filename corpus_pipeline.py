@@ -14,14 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railyard.llm import lines, mixing, neardup, packing, quality
-from railyard.llm.common import table, written
+from railyard.llm.common import in_written_order, table, written
 from railyard.session import prepare_session
 
 #: The columns of ``documents``; others are left behind at the first stage.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 ORACLE_SQL = None
 #: A line of so many documents of a host is removed even below the share.
-MAX_LINE_DOCS = 10_000
+MAX_LINE_DOCS = lines.MAX_DOCS
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,8 +65,10 @@ def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training sequences of 2048 token ids, one row per piece."""
-    return packing.pack(docs.select("doc_id", "text"))
+    """Training sequences of 2048 token ids, one row per piece, numbered in
+    training order: documents are packed as they stand in the table that the
+    mixing wrote, in ranges of it."""
+    return packing.pack(in_written_order(docs, "doc_id", "text"), order="place")
 
 
 STAGES = [
