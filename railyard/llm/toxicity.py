@@ -71,6 +71,10 @@ def counts_of(words: set[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.array(ids, dtype=np.int64), return_counts=True)
 
 
+#: Texts in a step of the fitting.
+BATCH = 64
+
+
 class Model:
     """Weights of the features and an intercept."""
 
@@ -98,6 +102,7 @@ def fit_rows(
     labels: np.ndarray,
     mentions: list[list[int]],
     epochs: int = 8,
+    min_steps: int = 3000,
     l1: float = 1e-4,
     counterfactual: float = 1.0,
     min_texts: int = 3,
@@ -106,7 +111,8 @@ def fit_rows(
     """Proximal AdaGrad on log loss + counterfactual penalty + L1.
 
     Features of fewer than ``min_texts`` labelled texts get no weight: they
-    would only learn single texts by heart.
+    would only learn single texts by heart. With few texts there are more
+    epochs, so that at least ``min_steps`` steps are taken.
     """
     share = (labels.sum() + 1) / (len(labels) + 2)
     if len(np.unique(labels)) < 2:
@@ -120,10 +126,10 @@ def fit_rows(
     w, b = np.zeros(DIM), float(np.log(share / (1 - share)))
     scale, scale_b, rate = np.full(DIM, 1e-3), 1e-3, 0.3
     order = np.arange(len(rows))
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-min_steps // max(1, -(-len(rows) // BATCH))))):
         rng.shuffle(order)
-        for at in range(0, len(order), 64):
-            part = order[at : at + 64]
+        for at in range(0, len(order), BATCH):
+            part = order[at : at + BATCH]
             ids = np.concatenate([rows[i][0] for i in part])
             times = np.concatenate([rows[i][1] for i in part]).astype(float)
             owner = np.repeat(np.arange(len(part)), [len(rows[i][0]) for i in part])

@@ -270,6 +270,33 @@ def test_toxicity_held_out(spark, queries):
     assert accuracy(spark, queries, "op5_toxicity", "toxic") > 0.97
 
 
+@pytest.mark.parametrize("sf, least, most_false", [("sf0.01", 0.5, 0.02), ("sf0.1", 0.85, 0.005)])
+def test_toxicity_recall(spark, queries, sf, least, most_false):
+    folder = f"/root/testdata/{sf}"
+    toxic = dict(duckdb.sql(f"SELECT doc_id, toxic FROM '{folder}/labels.parquet'").fetchall())
+    got = [(r["predicted"], toxic[r["doc_id"]]) for r in rows(queries["op5_toxicity"](spark, folder)) if r["held_out"] and r["doc_id"] in toxic]
+    found = [p for p, y in got if y]
+    assert len(found) > 10 and np.mean(found) >= least
+    assert np.mean([p for p, y in got if not y]) <= most_false
+
+
+def test_toxicity_scores_are_those_of_the_weights(spark):
+    """A dense logit per text, over distinct words whatever their number; also for texts with many of them."""
+    from railyard.llm import toxicity as t
+
+    rng = np.random.default_rng(5)
+    model = t.Model(rng.normal(0, 0.01, t.DIM).astype(np.float32), -0.3)
+    texts = [None, "", "one two two", "Über women muslims", " ".join(f"w{i}" for i in range(3000))]
+    got = {r["doc_id"]: r["score"] for r in t.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    for i, text in enumerate(texts):
+        dense = np.zeros(t.DIM)
+        for word in t.distinct_words(text, t.Stems()):
+            for f in t.features(word):
+                dense[f] += 1
+        logit = model.intercept + dense @ model.weights.astype(float)
+        assert abs(got[i] - 1 / (1 + np.exp(-np.clip(logit, -40, 40)))) < 1e-5
+
+
 def test_toxicity_ignores_swapped_mentions():
     from railyard.llm import toxicity as t
 
