@@ -2,6 +2,7 @@
 
 import struct
 import zipfile
+from itertools import product
 
 import pytest
 
@@ -142,6 +143,44 @@ def test_broken_markup(html):
     assert isinstance(html_text.main_text(html, html_text.train()), str)
 
 
+LONG = " ".join(f"word{i}" for i in range(60))
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f'<main><section class="social-science"><p>{LONG}</p></section></main>', LONG),
+        (f'<main><div class="legal"><p>{LONG}</p></div></main>', LONG),
+        (f'<main class="legal-page"><p>{LONG}</p></main>', LONG),
+        (f'<article><div id="share-price"><p>{LONG}</p></div><p>tail</p></article>', f"{LONG}\ntail"),
+        (f'<article><div class="header-main"><h1>Title</h1></div><p>{LONG}</p></article>', f"Title\n{LONG}"),
+        (f"<article><p>{LONG}</p><p><math><mi>x</mi></math> is <object>kept</object></p></article>", f"{LONG}\nx is kept"),
+        (f"<article><p>{LONG}</p><label>Name of it</label></article>", f"{LONG}\nName of it"),
+        (f"<div id=legal><h1>Terms</h1><p>{LONG}</p><p>{LONG} too</p></div>", f"Terms\n{LONG}\n{LONG} too"),
+        # boxes inside and beside an article stay out
+        (f'<article><p>{LONG}</p><div class="newsletter"><p>Please subscribe to our newsletter now and get it every week</p></div></article>', LONG),
+        (f'<main><div class="legal"><p>{LONG}</p><div class="share"><p>Tell your friends of this page, it is the best of all pages</p></div></div></main>', LONG),
+        (f'<article><p>{LONG}</p></article><div class="sidebar"><p>{LONG} {LONG} {LONG} {LONG}</p></div>', LONG),
+        (f'<article><p>{LONG}</p><div class="related"><p>{LONG} {LONG}</p></div></article>', LONG),
+        # rows of buttons in an article
+        (f"<article><p>{LONG}</p><ul><li><a>Share on X</a></li><li><a>Tweet</a></li></ul><p>{LONG}</p></article>", f"{LONG}\n{LONG}"),
+        (f"<article><p>{LONG}</p><p><a>Read the whole report here</a></p></article>", f"{LONG}\nRead the whole report here"),
+        (f"<article><table><tr><td><a>Oslo</a></td><td>{LONG}</td></tr></table></article>", f"Oslo\n{LONG}"),
+    ],
+)
+def test_parts_by_class_are_settled_by_running_text(page, text):
+    assert html_text.main_text(page, html_text.train()) == text
+
+
+def test_inside_an_article_only_short_links_go():
+    tree = html_text.train()
+    sizes, shares = (0, 1, 2, 4, 8, 11, 23, 60, 400), (0.0, 0.2, 0.4, 0.7, 1.0)
+    for words, before, after in product(sizes[1:], sizes, sizes):
+        for links, links_before, links_after, heading in product(shares, shares, shares, (0, 1)):
+            if words > 4 or links < 0.4:
+                assert html_text.decide(tree, (words, links, before, links_before, after, links_after, heading, html_text.INSIDE))
+
+
 def test_tree_fits_its_table():
     tree = html_text.train()
     assert all(html_text.decide(tree, row[:-1]) == row[-1] for row in html_text.LABELLED)
