@@ -9,11 +9,16 @@ containment; below k shingles the estimates are exact.
 Defined cases: a null text counts as empty; two empty texts resemble each
 other fully, an empty and another text not at all; a null doc_id comes last
 in the order; rows with the same doc_id are ordered by the hash of their text;
-repeated rows follow each other; an empty table gives an empty table.
+repeated rows follow each other; a very long text is sketched whole, in the
+task that reads it; other columns stay behind, whatever their names; an empty
+table gives an empty table.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +26,7 @@ from railyard.llm.common import settled, words
 
 K = 128
 SHINGLE = 5
-#: Two parts per shuffle partition: hashing the parts over tasks stays even.
+#: Parts, and tasks, per shuffle partition.
 PARTS_PER_TASK = 2
 #: Hashes are signed 64-bit numbers; their range for the count estimate.
 HASH_RANGE = float(2**64)
@@ -93,24 +98,50 @@ def from_text(text: Column) -> Column:
     )
 
 
+def _part(cuts: list[int], null_parts: int) -> tuple[Column, int]:
+    """The number of a row's part, ascending in the order of the rows, and how
+    many parts there are.
+
+    Ids between two cuts are one part. An id that is several cuts itself holds
+    that many parts' share of the rows, and rows without an id may hold any:
+    both are cut again by the hash that orders them.
+    """
+    times = Counter(cuts)
+    bounds = sorted(times, reverse=True)
+    # The range with so many cuts at or above its ids: its greatest id may be a cut.
+    split = [0] + [times[c] if times[c] > 1 else 0 for c in bounds]
+    first = [0]
+    for n in split:
+        first.append(first[-1] + n + 1)
+    longs = F.array(*[F.lit(c) for c in bounds]).cast("array<bigint>")
+    at = F.size(F.filter(longs, lambda c: c >= F.col("doc_id")))
+    tie = F.xxhash64("text").cast("double") / HASH_RANGE + 0.5
+    slot = lambda n: F.least(F.floor(tie * n), n - 1).cast("int")
+    pick = lambda values: F.get(F.array(*[F.lit(v) for v in values]), at)
+    top = F.get(longs, at - 1) == F.col("doc_id")
+    inner = F.when(pick(split) == 0, 0).when(top, slot(pick(split))).otherwise(pick(split))
+    part = F.when(F.col("doc_id").isNull(), F.lit(first[-1]) + slot(F.lit(null_parts))).otherwise(pick(first[:-1]) + inner)
+    return part.cast("int"), first[-1] + null_parts
+
+
 def with_next(df: DataFrame, k: int = K) -> DataFrame:
     """Sketch every text and pair it with the next document, doc_id descending.
 
-    Quantiles of doc_id cut the ids into parts of about equal size. Texts are
-    shuffled once, by part; inside a part the next document is a window's
-    lead. The last of a part finds its next in the head of the following
-    part: heads (one row per part) are sent to the part before as well.
+    Quantiles of doc_id cut the ids into parts of about equal size (see
+    ``_part``). Texts are shuffled once, each part to a task of its own; inside
+    a part the next document is a window's lead. The last of a part finds its
+    next in the head of the following part: heads (one row per part) are sent
+    to the part before as well.
     """
     parts = PARTS_PER_TASK * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slim = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    cuts = slim.agg(
-        F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10 * parts).alias("cuts")
-    ).first()["cuts"]
-    bounds = F.array(*[F.lit(c) for c in sorted(set(cuts or []))]).cast("array<bigint>")
-    # Ids at or below a cut are in parts further down the descending order.
-    part = F.when(F.col("doc_id").isNull(), F.size(bounds) + 1).otherwise(
-        F.size(F.filter(bounds, lambda c: c >= F.col("doc_id")))
-    )
+    found = slim.agg(
+        F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10 * parts).alias("cuts"),
+        F.count("*").alias("n"),
+        F.count("doc_id").alias("ids"),
+    ).first()
+    share = (found["n"] - found["ids"]) / max(1, found["n"])
+    part, parts = _part(found["cuts"] or [], max(1, math.ceil(parts * share)))
     slim = slim.withColumn("part", part)
     order = F.struct(
         F.col("doc_id").isNull().alias("no_id"), (-F.col("doc_id")).alias("down"), F.xxhash64("text").alias("tie")
@@ -141,7 +172,8 @@ def with_next(df: DataFrame, k: int = K) -> DataFrame:
         .select("doc_id", "text", "o", F.explode("places").alias("place"))
         .select("doc_id", "text", "o", "place.part", "place.guest")
     )
-    sketched = with_sketch(tagged.repartition("part"), "text", "sketch", k)
+    # The part's number is the task's: no two parts fall together by hash.
+    sketched = with_sketch(tagged.repartitionById(parts, "part"), "text", "sketch", k)
     # Guests come after all documents of the part.
     following = Window.partitionBy("part").orderBy("guest", "o")
     return (
@@ -170,5 +202,10 @@ def edited_fingerprints(df: DataFrame, k: int = K) -> DataFrame:
         as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
         resemblance(F.col("sketch"), F.col("edited_sketch"), k).alias("near_edited"),
         resemblance(F.col("sketch"), F.col("next_sketch"), k).alias("near_next"),
+        distinct_shingles(F.col("sketch"), k).alias("shingles"),
+        containment(F.col("sketch"), F.col("edited_sketch"), k).alias("kept_in_edited"),
+        distinct_shingles(merge(F.col("sketch"), F.col("next_sketch"), k), k).alias("shingles_with_next"),
+    )
+    return settled(
+        d, "fingerprint", "edited_fingerprint", "near_edited", "near_next", "shingles", "kept_in_edited", "shingles_with_next"
     )
-    return settled(d, "fingerprint", "edited_fingerprint", "near_edited", "near_next")

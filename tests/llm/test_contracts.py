@@ -89,6 +89,13 @@ def test_fingerprints(spark, queries, edge_dir):
             a, b = shingles(text), shingles(other)
             exact = len(a & b) / len(a | b) if a | b else 1.0
             assert abs(value - exact) < (1e-9 if max(len(a), len(b)) < 120 else 0.16)
+        own, after, changed = shingles(text), shingles(following), shingles(edited)
+        for value, exact in (
+            (r["shingles"], len(own)),
+            (r["shingles_with_next"], len(own | after)),
+            (r["kept_in_edited"], len(own & changed) / len(own) if own else 1.0),
+        ):
+            assert abs(value - exact) <= (1e-9 if len(own | after | changed) < 120 else max(0.3, 0.35 * exact))
     by_text = defaultdict(set)
     for doc_id, text in once:
         by_text[text].add(got[doc_id][0]["fingerprint"])
@@ -107,6 +114,24 @@ def test_fingerprint_wraps_around(spark, tmp_path):
         assert got[a] == hashlib.sha256((t[: len(t) - cut] + u[:cut]).encode()).hexdigest()
 
 
+def test_hot_ids_are_cut_into_parts(spark):
+    """A third of the rows share an id, a third have none: their texts spread
+    over many parts, and every row's next is still the next in the order."""
+    from pyspark.sql import functions as F
+
+    from railyard.llm import fingerprints as fp
+
+    ids = [7] * 300 + [None] * 300 + list(range(1000, 1300)) + list(range(-5, 5))
+    df = spark.createDataFrame([(d, f"text {i} of it") for i, d in enumerate(ids)], "doc_id long, text string")
+    tie = dict(df.select("text", F.xxhash64("text")).collect())
+    got = fp.with_next(df).select("doc_id", "text", "next.text", F.spark_partition_id()).collect()
+    assert len(got) == len(ids)
+    order = sorted(got, key=lambda r: (r[0] is None, -(r[0] or 0), tie[r[1]]))
+    assert [r[2] for r in order] == [r[1] for r in order[1:] + order[:1]]
+    for d in (7, None):
+        assert max(Counter(r[3] for r in got if r[0] == d).values()) < 150
+
+
 def test_sketch_estimates(spark):
     from pyspark.sql import functions as F
 
