@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from railyard.llm.license_rules import RULES
 from railyard.llm.licenses import placed_pattern
+from railyard.llm.urls import FILTER_LIST
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
@@ -99,29 +100,40 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        AND NOT 100 * (n_words - removed_words) < 30 * n_words AS kept
 FROM measured"""
 
+#: The lines are read and turned into expressions by the SQL itself, and every
+#: rule is tried on every page.
 OP6 = rf"""
 WITH cut AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
   FROM pages),
 parsed AS (
   SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), {UPPER}, {LOWER}), '') AS host,
-         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+         coalesce(translate(regexp_extract(rest, '^[^#]*'), {UPPER}, {LOWER}), '') AS address
   FROM cut),
 rules(rule_host, rule_path, rule_verdict) AS (VALUES
   ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
   ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+lines AS (SELECT DISTINCT trim(unnest(string_split('{FILTER_LIST}', chr(10)))) AS line),
+bodies AS (
+  SELECT line, starts_with(line, '@@') AS wanted, translate(regexp_replace(line, '^@@', ''), {UPPER}, {LOWER}) AS body
+  FROM lines WHERE line <> '' AND NOT starts_with(line, '!')),
+patterns AS (
+  SELECT line, wanted,
+    CASE WHEN starts_with(body, '||') THEN '^([^/?]*[.])?' WHEN starts_with(body, '|') THEN '^' ELSE '' END
+    || replace(replace(regexp_replace(regexp_replace(body, '^[|]+|[|]$', '', 'g'), '([-.+?$(){{}}&=\[\]\\])', '\\\1', 'g'),
+                       '^', '(^|[^a-z0-9]+|$)'), '*', '.*')
+    || CASE WHEN body LIKE '%|' THEN '$' ELSE '' END AS pattern
+  FROM bodies),
 ruled AS (
   SELECT *,
     (SELECT max(struct_pack(n := length(rule_host || rule_path), r := rule_host || rule_path, v := rule_verdict))
      FROM rules WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS best,
-    (SELECT min(p) FROM (VALUES ('*adult*', 'adult'), ('*porn*', 'porn'), ('*xxx*', 'xxx'), ('*casino*', 'casino'),
-       ('*poker*', 'poker'), ('*free-bets*', 'free[^a-z0-9]+bets'), ('*cheap-pills*', 'cheap[^a-z0-9]+pills'),
-       ('*viagra*', 'viagra'), ('*spam-farm*', 'spam[^a-z0-9]+farm'), ('*ads-track*', 'ads[^a-z0-9]+track'),
-       ('*warez*', 'warez')) AS t(p, body)
-     WHERE regexp_matches(host || path, '(?i)(^|[^a-z0-9])(' || body || ')($|[^a-z0-9])')) AS pattern
+    (SELECT min(struct_pack(last := NOT wanted, line := line)) FROM patterns
+     WHERE regexp_matches(address, pattern, 's')) AS loose
   FROM parsed)
 SELECT page_id, host, path, best.r AS rule,
-       coalesce(best.v, CASE WHEN pattern IS NULL THEN 'allow' ELSE 'block' END) AS verdict, pattern
+       coalesce(best.v, CASE WHEN loose.last THEN 'block' ELSE 'allow' END) AS verdict, loose.line AS pattern
 FROM ruled"""
 
 OP9 = """
