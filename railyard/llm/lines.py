@@ -14,7 +14,9 @@ are short or repeat themselves. ``quality_rules`` gives the verdicts,
 
 Defined cases: a null text has no words and fails the base rules; a null
 source is a host of its own; a null doc_id is carried through; repeated rows
-get equal results; an empty table gives an empty table.
+get equal results; texts of any length are judged whole; other columns, also
+those named like the ones used here, are ignored; an empty table gives an
+empty table.
 """
 
 from __future__ import annotations

@@ -17,8 +17,9 @@ is taken more than ``max_repeat`` times its size.
 
 Defined cases: a null or empty text has size 0 and is taken 0 words; a null
 source is a source of its own, last in order; a null doc_id orders like an
-empty one; repeated rows count each on their own; an empty table gives an
-empty table.
+empty one; repeated rows count each on their own; texts of any length are
+counted whole; other columns, also those named like the ones used here, are
+ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -24,8 +24,10 @@ Class numbers are 64-bit hashes of the sets.
 
 Defined cases: a null text, or one without words, has no set, is linked with
 nothing and is kept; fewer than five words are one shingle; a null doc_id is
-no candidate for the smallest id, but its text links like any other; rows repeated with the same doc_id are the
-same document and get equal results; an empty table gives an empty table.
+no candidate for the smallest id, but its text links like any other; rows
+repeated with the same doc_id are the same document and get equal results; the
+set of a very long text is whole; other columns, also those named like the ones
+used here, are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ in the same order again. Sequence ids are the partition's number and a count.
 
 Defined cases: a null text is empty and has the end token only; a null prompt
 is empty; a null doc_id is carried through; repeated rows are packed each on
-their own; an empty table gives an empty table.
+their own; texts of any length are encoded whole and cut into pieces; other
+columns, also those named like the ones used here, are ignored; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations

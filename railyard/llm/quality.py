@@ -15,7 +15,9 @@ pooled sample and the network, all of fixed size.
 Defined cases: a null text counts as empty and is scored like one; with no
 labels, or labels of one class only, every score is the smoothed share of 1s;
 repeated rows get equal scores; an empty table gives an empty table; a null
-doc_id is carried through.
+doc_id is carried through; every word of a very long text counts; other columns
+are never inputs, whatever their names. A word's mark holds its letter case and
+the first three signs of punctuation at its end.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@ long clean texts do not add up to a high score.
 
 Defined cases: a null text counts as empty; with no labels, or labels of one
 class only, every score is the smoothed share of 1s; repeated rows get equal
-scores; an empty table gives an empty table; a null doc_id is carried through.
+scores; an empty table gives an empty table; a null doc_id is carried through;
+every distinct word of a very long text counts; other columns are never inputs,
+whatever their names.
 """
 
 from __future__ import annotations

@@ -17,7 +17,9 @@ once, with the largest page_id; the others are revisit records that name it.
 
 Defined cases: a null html is an empty payload; a null url is written empty; a
 null page_id counts as smaller than all others; repeated rows with the largest
-page_id are all responses; an empty table gives an empty table.
+page_id are all responses; payloads of any length are written whole; other
+columns, also those named like the ones used here, are ignored; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
