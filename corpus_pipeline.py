@@ -3,7 +3,10 @@ near duplicates, mixing to target weights, packing.
 
 Every stage takes all rows its predecessor kept and, but for the last, returns
 the columns of ``documents``; its result is written as Parquet before the next
-one starts. SQL cannot express the classifier, the signatures or the
+one starts. In every stage a null text counts as empty, texts of any length are
+taken whole, repeated rows are rows each (but for the near duplicates, where
+one stays), columns other than those of ``documents`` are left behind and an
+empty table gives an empty table. SQL cannot express the classifier, the signatures or the
 tokenizer, so there is no oracle SQL; the tests hold the stages against
 brute-force versions.
 """
@@ -26,12 +29,15 @@ MAX_LINE_DOCS = lines.MAX_DOCS
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and keep enough of their lines,
-    without their removed lines."""
+    without their removed lines. Null and empty texts fail the base rules; a
+    null source is a host of its own."""
     return lines.cleaned(docs, *COLUMNS, max_docs=MAX_LINE_DOCS)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted to be of quality; the model is fitted on this stage's input."""
+    """Documents predicted to be of quality; the model is fitted on this stage's input.
+    With no labels, or labels of one class, all have the smoothed share of 1s
+    as their score."""
     docs = docs.select(*COLUMNS)
     labels = table(spark, sf_dir, "labels", "doc_id", "quality")
     vectors, network = quality.fit(docs, labels)
@@ -60,14 +66,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The copies drawn for the mix, in training order."""
+    """The copies drawn for the mix, in training order; a document at which a
+    target falls is drawn in part."""
     return mixing.drawn_texts(docs, *COLUMNS).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences of 2048 token ids, one row per piece, numbered in
     training order: documents are packed as they stand in the table that the
-    mixing wrote, in ranges of it."""
+    mixing wrote, in ranges of it. An empty text is its end token."""
     return packing.pack(in_written_order(docs, "doc_id", "text"), order="place")
 
 
