@@ -22,7 +22,7 @@ from railyard.plans.queries_warehouse import _event_routes, first_vehicle_dim, t
 from railyard.plans.registry import register
 from railyard.plans.staging import DISPOSITION, stage, staged_schema
 from railyard.schemas import MONEY, RAW
-from railyard.session import scratch_path
+from railyard.session import scratch_path, written
 from railyard.sources.declared import SchemaDrift, read_declared, write_declared
 from railyard.sources.key_index import KeyIndex
 from railyard.sources.parquet import read_current
@@ -33,7 +33,8 @@ def fact_key_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full payment batch against an index of the payments up to
     1998, and its trip links from an index of all trips (two appends each)."""
     base = scratch_path(spark, "key_index")
-    payments = fx.raw_payments(spark, sf_dir).select("payment_id", "trip_id", "paid_at")
+    # Read by five plans below; without this each would join the line items again.
+    payments = written(fx.raw_payments(spark, sf_dir).select("payment_id", "trip_id", "paid_at"), "payments")
     day = F.to_date("paid_at").alias("date")
     paid = KeyIndex.open(spark, f"{base}/payments", "payment_id", "payment_sk")
     first = keyed(payments.where(F.col("paid_at") < F.lit(FIRST_DAY_ENDS).cast("timestamp")), None, "payment_id", "payment_sk")
