@@ -1,12 +1,19 @@
-"""What grows with the input: writes without a sort that spills."""
+"""What grows with the input: writes without a sort that spills, steps that wait
+for each other without need, keys asked for twice."""
 
 import threading
+import time
 
+import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from railyard.plans.staging import CLEAN, DISPOSITION, DISPOSITIONS, REJECTED, UNCASTABLE, stage, staged_schema
+from railyard.plans import batch
+from railyard.session import together
+from railyard.sources.key_index import KeyIndex
 from railyard.sources.parquet import setting, write_raw
+from test_staging import land
 
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
@@ -53,3 +60,49 @@ def test_a_setting_outlives_writes_at_once(spark):
         other.join()
         assert spark.conf.get(WRITERS) == "9"
     assert spark.conf.get(WRITERS) == before
+
+
+def test_steps_run_at_once_and_all_end(spark):
+    meet, ended = threading.Barrier(2, timeout=10), []
+
+    def step(n):
+        meet.wait()
+        if n == 0:
+            raise ValueError("first")
+        time.sleep(0.2)
+        ended.append(n)
+        return n
+
+    with pytest.raises(ValueError):
+        together(spark, lambda: step(0), lambda: step(1))
+    assert ended == [1]  # the other one was waited for
+    assert together(spark, lambda: step(1), lambda: step(2)) == [1, 2]
+
+
+def test_a_batch_stages_at_once_and_asks_for_trips_once(spark, workdir, monkeypatch):
+    raw, wh, day = f"{workdir}/raw", f"{workdir}/wh", "2024-01-01"
+    land(spark, raw, day)
+    now, most, asked, stage_one, known = [0], [0], [], batch.stage, KeyIndex.known
+
+    def counted(*args, **kwargs):
+        now[0] += 1
+        most[0] = max(most[0], now[0])
+        try:
+            return stage_one(*args, **kwargs)
+        finally:
+            now[0] -= 1
+
+    def asking(self, keys):
+        asked.append(self.key)
+        return known(self, keys)
+
+    monkeypatch.setattr(batch, "stage", counted)
+    monkeypatch.setattr(KeyIndex, "known", asking)
+    result = batch.run_batch(spark, raw, wh, day, load_ts="2024-01-02 00:00:00")
+    assert most[0] > 1
+    assert asked.count("trip_id") == 2  # the trips' own load, and the payments'
+    assert result["fact_trip"] == 2 and result["fact_payment"] == 2
+    linked = spark.read.parquet(f"{wh}/fact/fact_payment").where("trip_sk IS NOT NULL")
+    assert [r["payment_id"] for r in linked.collect()] == ["P1"]
+    late = spark.read.parquet(f"{wh}/late/payments").where("reference = 'trip_id'")
+    assert [(r["member"], r["rows"]) for r in late.collect()] == [("T9", 1)]
