@@ -1,5 +1,5 @@
 """What grows with the input: writes without a sort that spills, steps that wait
-for each other without need, keys asked for twice."""
+for each other without need, keys asked for twice, tasks without rows."""
 
 import threading
 import time
@@ -12,7 +12,7 @@ from railyard.plans.staging import CLEAN, DISPOSITION, DISPOSITIONS, REJECTED, U
 from railyard.plans import batch
 from railyard.session import together
 from railyard.sources.key_index import KeyIndex
-from railyard.sources.parquet import setting, write_raw
+from railyard.sources.parquet import setting, write_partitioned, write_raw
 from test_staging import land
 
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
@@ -106,3 +106,10 @@ def test_a_batch_stages_at_once_and_asks_for_trips_once(spark, workdir, monkeypa
     assert [r["payment_id"] for r in linked.collect()] == ["P1"]
     late = spark.read.parquet(f"{wh}/late/payments").where("reference = 'trip_id'")
     assert [(r["member"], r["rows"]) for r in late.collect()] == [("T9", 1)]
+
+
+def test_small_ranges_are_written_by_one_task(spark, workdir):
+    day = F.expr("date_add(date'2020-01-01', cast(id % 2 as int))")
+    write_partitioned(spark.range(64).withColumn("day", day), f"{workdir}/t", "day", ["id"])
+    files = spark.read.parquet(f"{workdir}/t").inputFiles()
+    assert len(files) == 2 and spark.read.parquet(f"{workdir}/t").count() == 64
